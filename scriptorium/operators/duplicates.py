@@ -61,12 +61,14 @@ def duplicate_docs(
 
 def duplicate_vectors(embeddings: DataFrame, papers: DataFrame) -> DataFrame:
     """(paper_id, title, n, embedding) for every vector that occurs more than
-    once. -0.0 equals 0.0 here, as in SQL equality.
+    once. -0.0 equals 0.0 here and null equals nothing, as in SQL.
 
     A 64-bit hash first finds the candidates, so that whole vectors are moved
     and compared only for those.
     """
-    hashed = embeddings.select("paper_id", "embedding", F.xxhash64("embedding").alias("h"))
+    hashed = embeddings.filter(F.col("embedding").isNotNull()).select(
+        "paper_id", "embedding", F.xxhash64("embedding").alias("h")
+    )
     repeated = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("seen")).filter(F.col("seen") > 1)
     candidates = hashed.join(repeated.select("h"), "h", "left_semi")
     copies = (
@@ -76,7 +78,7 @@ def duplicate_vectors(embeddings: DataFrame, papers: DataFrame) -> DataFrame:
     )
     paired = candidates.alias("c").join(
         copies.alias("v"),
-        (F.col("c.h") == F.col("v.h")) & (F.col("c.embedding").eqNullSafe(F.col("v.embedding"))),
+        (F.col("c.h") == F.col("v.h")) & (F.col("c.embedding") == F.col("v.embedding")),
     )
     titled = paired.select("c.paper_id", "v.n", "c.embedding").join(
         papers.select(F.col("id").alias("paper_id"), "title"), "paper_id"

@@ -28,11 +28,14 @@ def member_pairs(df: DataFrame, key: str, member: str, block: int = 2048) -> Dat
     key's members are cut into blocks by hash and each pair of blocks meets in
     its own task, so no task sees more than ``2 * block`` members of it.
     """
-    rows = df.select(key, member)
+    rows = df.select(key, member).na.drop()
     hot = hot_keys(rows, [key], above=block).select(
         key, F.ceil(F.col("n_rows") / block).cast("int").alias("blocks")
     )
-    plain = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    # An outer join, unlike an anti join, is not pushed below what made the
+    # rows, so counting and both paths read one and the same shuffle.
+    marked = rows.join(F.broadcast(hot), key, "left")
+    plain = marked.filter(F.col("blocks").isNull())
     ordered = F.col("a") < F.col("b")
 
     left = plain.select(key, F.col(member).alias("a"))
@@ -40,7 +43,7 @@ def member_pairs(df: DataFrame, key: str, member: str, block: int = 2048) -> Dat
     light = left.join(right, (F.col(key) == F.col("other_key")) & ordered).select(key, "a", "b")
 
     cut = (
-        rows.join(F.broadcast(hot), key)
+        marked.filter(F.col("blocks").isNotNull())
         .withColumn("own", F.pmod(F.xxhash64(member), F.col("blocks")).cast("int"))
         .withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     )

@@ -40,24 +40,19 @@ def coauthor_pairs(
 ) -> DataFrame:
     """(author_1, author_2, n_collabs), the smaller id first.
 
-    Pairs are counted on ids and then named. With ``top`` the names are looked
-    up only for pairs that reach the ``top``-th largest count.
+    Pairs are counted on ids and then named. ``top`` keeps the most frequent
+    ones, equal counts in id order, so that only those need names.
     """
     counts = pair_counts(links, block)
     if top is not None:
-        leaders = counts.select("n").orderBy(F.desc("n")).limit(top)
-        least = leaders.agg(F.min("n").alias("n")).scalar()
-        counts = counts.filter(F.col("n") >= least)
+        counts = F.broadcast(counts.orderBy(F.desc("n"), "a", "b").limit(top))
     first = authors.select(F.col("author_id").alias("a"), F.col("name").alias("author_1"))
     second = authors.select(F.col("author_id").alias("b"), F.col("name").alias("author_2"))
-    named = (
+    return (
         counts.join(first, "a")
         .join(second, "b")
         .select("author_1", "author_2", F.col("n").alias("n_collabs"))
     )
-    if top is not None:
-        named = named.orderBy(F.desc("n_collabs"), "author_1", "author_2").limit(top)
-    return named
 
 
 def weekly_by_category(

@@ -222,7 +222,14 @@ WITH {_LINKS}
 SELECT s_name AS name, count(*) AS n_papers
 FROM links JOIN supplier ON s_suppkey = author_id GROUP BY s_name HAVING count(*) > 590""",
     "coauthor_pairs": _PAIRS,
-    "top_coauthors": f"{_PAIRS} ORDER BY n_collabs DESC, author_1, author_2 LIMIT 20",
+    "top_coauthors": f"""
+WITH {_LINKS},
+leaders AS (
+  SELECT p1.author_id AS a, p2.author_id AS b, count(*) AS n_collabs
+  FROM links p1 JOIN links p2 ON p1.paper_id = p2.paper_id AND p1.author_id < p2.author_id
+  GROUP BY ALL ORDER BY n_collabs DESC, a, b LIMIT 20)
+SELECT a1.s_name AS author_1, a2.s_name AS author_2, n_collabs
+FROM leaders JOIN supplier a1 ON a1.s_suppkey = a JOIN supplier a2 ON a2.s_suppkey = b""",
     "weekly_by_category": _weekly("true"),
     "weekly_primary": _weekly("is_primary"),
     "ingestion_health": """
