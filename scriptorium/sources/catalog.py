@@ -8,8 +8,16 @@ from scriptorium.schemas import TABLES
 
 
 def table(spark: SparkSession, name: str, db: str = "default") -> DataFrame:
-    """A base table, a materialised model or a view, by name."""
-    return spark.table(f"{db}.{name}" if spark.catalog.tableExists(f"{db}.{name}") else name)
+    """A base table, a materialised model or a view, by name.
+
+    A session remembers the files of a table; the refresh makes it see what
+    another one, such as a streaming query's, has written since.
+    """
+    full = f"{db}.{name}"
+    if not spark.catalog.tableExists(full):
+        return spark.table(name)
+    spark.catalog.refreshTable(full)
+    return spark.table(full)
 
 
 def all_tables(spark: SparkSession, db: str = "default") -> dict[str, DataFrame]:
