@@ -12,7 +12,7 @@ from scriptorium.operators.changes import upsert
 from scriptorium.operators.embed import ClientEmbedder, HashingEmbedder, embed, pending
 from scriptorium.schemas import EMBEDDING_MODEL
 from scriptorium.session import scratch_path
-from scriptorium.sinks.tables import publish
+from scriptorium.sinks.tables import append, publish
 from scriptorium.sources.catalog import all_tables
 
 # Author positions that form one piece of a list before pieces are joined.
@@ -57,8 +57,9 @@ def run_embedding_job(
 ) -> bool:
     """Embed what is due and upsert it; False when nothing was due.
 
-    Vectors are written once to the shared folder, so a lost executor or the
-    two reads of the upsert never call the model a second time.
+    Vectors are written once to the shared folder, so a lost executor or a
+    second read never calls the model again. The stored vectors are rewritten
+    only when some of them are replaced; new ones alone are appended.
     """
     t = all_tables(spark, db)
     inputs = embedding_inputs(t["papers"], t["paper_authors"], t["authors"])
@@ -68,5 +69,9 @@ def run_embedding_job(
     path = scratch_path(spark, "vectors")
     embed(due, embedder, model).write.parquet(path)
     fresh = spark.read.parquet(path).withColumn("created_at", clock(as_of))
-    publish(upsert(t["paper_embeddings"], fresh, "paper_id"), "paper_embeddings", db, as_of=as_of)
+    stored = t["paper_embeddings"]
+    if stored.select("paper_id").join(fresh.select("paper_id"), "paper_id", "left_semi").isEmpty():
+        append(fresh, "paper_embeddings", db, as_of)
+    else:
+        publish(upsert(stored, fresh, "paper_id"), "paper_embeddings", db, as_of=as_of)
     return True

@@ -69,31 +69,27 @@ def staged_papers(
     )
 
 
-def new_papers(
-    papers: DataFrame, staging: DataFrame, as_of, options: IngestOptions
-) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) papers that are not stored yet."""
-    fresh = insert_absent(
-        papers,
-        staged_papers(staging, as_of, options.now_as_updated),
-        ["arxiv_id"],
-        [F.col("published_at"), F.col("title")],
-    )
-    return split_conflicts(papers, fresh, "title", "arxiv_id", [F.col("arxiv_id")], options.mode)
-
-
 def insert_papers(
     spark: SparkSession, staging: DataFrame, db: str, as_of, options: IngestOptions
 ) -> DataFrame:
-    """Append the accepted papers; returns the rejected ones."""
+    """Append the papers that are not stored yet; returns the rejected ones.
+
+    The new rows are written to the shared folder once: conflicts, ids and the
+    append all read them there instead of comparing with the stored papers
+    again each time.
+    """
     papers = table(spark, "papers", db)
-    accepted, rejected = new_papers(papers, staging, as_of, options)
-    # Both sets are read more than once and the first append changes what
-    # "absent" means, so the rejects are fixed beforehand.
-    rejects = scratch_path(spark, "rejects")
-    rejected.write.parquet(rejects)
+    staged = staged_papers(staging, as_of, options.now_as_updated)
+    fresh = insert_absent(papers, staged, ["arxiv_id"], [F.col("published_at"), F.col("title")])
+    path = scratch_path(spark, "new-papers")
+    fresh.write.parquet(path)
+    fresh = spark.read.schema(fresh.schema).parquet(path)
+    accepted, _ = split_conflicts(
+        papers, fresh, "title", "arxiv_id", [F.col("arxiv_id")], options.mode
+    )
     append(assign_ids(accepted, "arxiv_id", last_id(papers)), "papers", db, as_of)
-    return spark.read.schema(rejected.schema).parquet(rejects)
+    stored = table(spark, "papers", db).select("arxiv_id")
+    return fresh.join(stored, "arxiv_id", "left_anti")
 
 
 def insert_names(spark: SparkSession, values: DataFrame, name: str, db: str) -> None:
