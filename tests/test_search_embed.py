@@ -125,3 +125,21 @@ def test_pending(spark):
     assert ids(pending(inputs, done)) == [3, 4, 5]
     assert ids(pending(inputs, done, "m")) == [2, 3, 4, 5]
     assert ids(pending(inputs, done, recompute=True)) == [1, 2, 3, 4, 5]
+
+
+def test_stored_buckets(spark, corpus, tmp_path):
+    from scriptorium.operators.buckets import Directions, search_buckets, write_buckets
+
+    directions = Directions(dim=16, bits=5)
+    path = str(tmp_path / "buckets")
+    write_buckets(corpus, path, directions)
+    # The zero vector has a code, null and short ones have none.
+    assert spark.read.parquet(path).count() == 401
+    query = search.vector_of(corpus, 7)
+    exact = brute_force(corpus, query, 20)
+    everything = search_buckets(spark, path, query, directions, 20, probes=32).collect()
+    assert [r["paper_id"] for r in everything] == exact
+    some = search_buckets(spark, path, query, directions, 20, probes=8)
+    assert len({r["paper_id"] for r in some.collect()} & set(exact)) >= 10
+    assert "PartitionFilters: [code" in some._jdf.queryExecution().toString()
+    assert search_buckets(spark, path, query, directions, 300, probes=1).count() == 300
