@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def digest_of(columns: Sequence[str]) -> Column:
+    """One 32-byte digest of several texts; null differs from every text."""
+    each = [
+        F.coalesce(F.sha2(F.col(c).cast("binary"), 256), F.lit("null")) for c in columns
+    ]
+    return F.unhex(F.sha2(F.concat_ws(",", *each).cast("binary"), 256))
 
 
 def duplicate_docs(
@@ -13,38 +21,29 @@ def duplicate_docs(
     """Groups of rows equal in ``by``: ``(*by, part, n, ids, others)``, the
     two arrays in id order.
 
-    Rows are grouped by digests of the texts, so texts stay out of the
+    Rows are grouped by a digest of the texts, so texts stay out of the
     shuffle; one text per group is fetched at the end. A group of any ordinary
     size is one row with part 0. A larger group comes in several parts by
     equal id ranges, in id order, so that no array grows with the group: with
     ids from 1 to N no part passes ``sqrt(part_rows * N)`` ids.
     """
-    digests = [f"digest_{i}" for i in range(len(by))]
-    slim = df.select(
-        id_col, other, *[F.sha2(F.col(c).cast("binary"), 256).alias(d) for c, d in zip(by, digests)]
-    )
+    slim = df.select(id_col, other, digest_of(by).alias("digest"))
+    span = F.col("final_id") - F.col("first_id") + 1
     groups = (
-        slim.groupBy(*digests)
+        slim.groupBy("digest")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.min(id_col).alias("first_id"),
             F.max(id_col).alias("final_id"),
         )
         .filter(F.col("n") > 1)
-        .select(
-            *[F.col(d).alias(f"group_{d}") for d in digests],
-            "n",
-            "first_id",
-            F.ceil(
-                (F.col("final_id") - F.col("first_id") + 1) / F.ceil(F.col("n") / part_rows)
-            ).alias("width"),
-        )
+        .withColumn("width", F.ceil(span / F.ceil(F.col("n") / part_rows)))
+        .drop("final_id")
     )
-    same = [F.col(d).eqNullSafe(F.col(f"group_{d}")) for d in digests]
     part = F.floor((F.col(id_col) - F.col("first_id")) / F.col("width"))
     member = F.struct(F.col(id_col).alias("id"), F.col(other).alias("other"))
     parts = (
-        slim.join(groups, same)
+        slim.join(groups, "digest")
         .groupBy("first_id", "n", part.alias("part"))
         .agg(F.array_sort(F.collect_list(member)).alias("members"))
         .select(

@@ -71,7 +71,15 @@ def embed(
     df: DataFrame,
     embedder: HashingEmbedder | ClientEmbedder | None = None,
     model: str = EMBEDDING_MODEL,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """(paper_id, text) to (paper_id, embedding, model_used)."""
+    """(paper_id, text) to (paper_id, embedding, model_used).
+
+    ``partitions`` spreads the texts first. It pays for slow models, since
+    Spark sizes its partitions by bytes and not by calls; a cheap embedder is
+    best left where the texts are.
+    """
     embedder = embedder or HashingEmbedder()
+    if partitions is not None:
+        df = df.repartition(partitions, "paper_id")
     return embedder.apply(df).withColumn("model_used", F.lit(model))

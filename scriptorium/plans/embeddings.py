@@ -54,6 +54,7 @@ def run_embedding_job(
     model: str = EMBEDDING_MODEL,
     recompute: bool = False,
     as_of: dt.datetime | str | None = None,
+    partitions: int | None = None,
 ) -> bool:
     """Embed what is due and upsert it; False when nothing was due.
 
@@ -67,7 +68,8 @@ def run_embedding_job(
     if due.isEmpty():
         return False
     path = scratch_path(spark, "vectors")
-    embed(due, embedder, model).write.parquet(path)
+    partitions = partitions or 4 * spark.sparkContext.defaultParallelism
+    embed(due, embedder, model, partitions).write.parquet(path)
     fresh = spark.read.parquet(path).withColumn("created_at", clock(as_of))
     stored = t["paper_embeddings"]
     if stored.select("paper_id").join(fresh.select("paper_id"), "paper_id", "left_semi").isEmpty():

@@ -181,7 +181,7 @@ WITH {_TOPICS},
 counted AS (
   SELECT date_trunc('{unit}', ts)::DATE AS period, topic, count(*) AS n_papers
   FROM topics GROUP BY ALL)
-SELECT period, topic, n_papers,
+SELECT period::VARCHAR AS period, topic, n_papers,
        rank() OVER (PARTITION BY period ORDER BY n_papers DESC) AS topic_rank
 FROM counted"""
 
@@ -189,7 +189,7 @@ FROM counted"""
 def _weekly(condition: str) -> str:
     return f"""
 WITH {_PAPERS}, {_PAPER_CODES}
-SELECT date_trunc('week', published_at)::DATE AS week, code AS category, count(*) AS n_papers
+SELECT date_trunc('week', published_at)::DATE::VARCHAR AS week, code AS category, count(*) AS n_papers
 FROM papers JOIN paper_codes ON paper_id = id WHERE {condition} GROUP BY ALL"""
 
 
@@ -233,7 +233,7 @@ FROM leaders JOIN supplier a1 ON a1.s_suppkey = a JOIN supplier a2 ON a2.s_suppk
     "weekly_by_category": _weekly("true"),
     "weekly_primary": _weekly("is_primary"),
     "ingestion_health": """
-SELECT coalesce(p.day, e.day, n.day) AS day, coalesce(papers_ingested, 0) AS papers_ingested,
+SELECT coalesce(p.day, e.day, n.day)::VARCHAR AS day, coalesce(papers_ingested, 0) AS papers_ingested,
        coalesce(papers_embedded, 0) AS papers_embedded,
        coalesce(papers_enriched, 0) AS papers_enriched
 FROM (SELECT o_orderdate::DATE AS day, count(*) AS papers_ingested FROM orders GROUP BY 1) p
@@ -343,7 +343,7 @@ FROM embeddings WHERE vec_id NOT IN (SELECT o_orderkey FROM gone)""",
     "new_today": f"""
 WITH {_PAPERS} SELECT arxiv_id, title FROM papers WHERE ingested_at::DATE = DATE '1998-08-02'""",
     "run_log": """
-SELECT 'run-1' AS run_id, DATE '2024-01-01' AS run_date, 'arxiv_batch' AS category_code,
+SELECT 'run-1' AS run_id, '2024-01-01' AS run_date, 'arxiv_batch' AS category_code,
        count(*)::INTEGER AS papers_fetched,
        count(*) FILTER (WHERE o_orderstatus <> 'F')::INTEGER AS papers_new, 'success' AS status
 FROM orders""",
@@ -420,7 +420,7 @@ FROM orders""",
     "dq_model_tests": " UNION ALL ".join(_MODEL_TESTS),
     "bronze_round_trip": f"""
 WITH {_RAW}
-SELECT '2024-01-0' || length(lang) AS ds, arxiv_id,
+SELECT '2024-01-' || lpad(source[4:], 2, '0') AS ds, arxiv_id,
        CASE WHEN lang = 'es' THEN '(none)' ELSE lang || ' ' || chr(9) || chr(10) || ' ' || source
          || ' ' END AS title,
        text AS abstract, source || ', ' || lang AS authors, 'pdf/' || doc_id AS pdf_url

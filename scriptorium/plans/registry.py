@@ -44,6 +44,11 @@ def _listed(array: str) -> Column:
     return F.array_join(F.transform(array, lambda x: x.cast("string")), ",")
 
 
+def _text_date(df: DataFrame, column: str) -> DataFrame:
+    """Dates as text, which every SQL client shows alike."""
+    return df.withColumn(column, F.col(column).cast("string"))
+
+
 def _stg_authors(w: Warehouse) -> DataFrame:
     return views.stg_authors(A.authors(w))
 
@@ -103,25 +108,24 @@ def top_coauthors(w):
 
 @query
 def weekly_by_category(w):
-    return marts.weekly_by_category(
+    mart = marts.weekly_by_category(
         views.stg_papers(A.papers(w)), A.paper_codes(w), A.coded_categories(w)
     )
+    return _text_date(mart, "week")
 
 
 @query
 def weekly_primary(w):
-    return marts.weekly_by_category(
+    mart = marts.weekly_by_category(
         views.stg_papers(A.papers(w)), A.paper_codes(w), A.coded_categories(w), primary_only=True
     )
+    return _text_date(mart, "week")
 
 
 @query
 def ingestion_health(w):
-    return marts.ingestion_health(
-        A.papers(w),
-        w.lineitem.select(F.col("l_shipdate").alias("created_at")),
-        A.enrichments(w),
-    )
+    shipped = w.lineitem.select(F.col("l_shipdate").alias("created_at"))
+    return _text_date(marts.ingestion_health(A.papers(w), shipped, A.enrichments(w)), "day")
 
 
 @query
@@ -131,12 +135,14 @@ def json_topics(w):
 
 @query
 def trending_topics(w):
-    return marts.trending_topics(A.event_papers(w), A.enrichments(w), "day")
+    ranked = marts.trending_topics(A.event_papers(w), A.enrichments(w), "day")
+    return _text_date(ranked, "period")
 
 
 @query
 def trending_weekly(w):
-    return marts.trending_topics(A.event_papers(w), A.enrichments(w), "week")
+    ranked = marts.trending_topics(A.event_papers(w), A.enrichments(w), "week")
+    return _text_date(ranked, "period")
 
 
 # Text and cleaning
@@ -365,7 +371,7 @@ def run_log(w):
     inserted = papers.filter(F.col("status") != "F")
     record = run_record(papers, inserted, "run-1", "2024-01-01", started_at="2024-01-01 08:00:00",
                         finished_at="2024-01-01 08:05:00")
-    return record.select(
+    return _text_date(record, "run_date").select(
         "run_id", "run_date", "category_code", "papers_fetched", "papers_new", "status"
     )
 
@@ -595,12 +601,12 @@ def dq_model_tests(w):
 
 @query
 def bronze_round_trip(w):
-    """Raw records archived per run date and read back for some dates."""
+    """Raw records archived per run date (one for each source) and read back."""
     folder = scratch_path(w.spark, "bronze")
-    raw = A.raw_documents(w)
-    write_bronze(raw.withColumn("ds", F.concat(F.lit("2024-01-0"), F.length("primary_category"))),
-                 folder)
-    back = read_bronze(w.spark, folder, "2024-01-01", "2024-01-31")
+    day = F.lpad(F.regexp_extract(F.element_at("authors", 1), r"(\d+)$", 1), 2, "0")
+    raw = A.raw_documents(w).withColumn("ds", F.concat(F.lit("2024-01-"), day))
+    write_bronze(raw, folder)
+    back = read_bronze(w.spark, folder, "2024-01-00", "2024-01-31")
     return back.select(
         "ds", "arxiv_id", F.coalesce("title", F.lit("(none)")).alias("title"), "abstract",
         X.joined(F.col("authors")).alias("authors"), "pdf_url",
