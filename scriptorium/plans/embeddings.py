@@ -12,7 +12,7 @@ from scriptorium.operators.changes import upsert
 from scriptorium.operators.embed import ClientEmbedder, HashingEmbedder, embed, pending
 from scriptorium.schemas import EMBEDDING_MODEL
 from scriptorium.session import scratch_path
-from scriptorium.sinks.tables import append, publish
+from scriptorium.sinks.tables import append, change_rows
 from scriptorium.sources.catalog import all_tables
 
 # Author positions that form one piece of a list before pieces are joined.
@@ -59,8 +59,8 @@ def run_embedding_job(
     """Embed what is due and upsert it; False when nothing was due.
 
     Vectors are written once to the shared folder, so a lost executor or a
-    second read never calls the model again. The stored vectors are rewritten
-    only when some of them are replaced; new ones alone are appended.
+    second read never calls the model again. New vectors alone are appended;
+    when some are replaced, the id ranges they fall into are rewritten.
     """
     t = all_tables(spark, db)
     inputs = embedding_inputs(t["papers"], t["paper_authors"], t["authors"])
@@ -75,5 +75,8 @@ def run_embedding_job(
     if stored.select("paper_id").join(fresh.select("paper_id"), "paper_id", "left_semi").isEmpty():
         append(fresh, "paper_embeddings", db, as_of)
     else:
-        publish(upsert(stored, fresh, "paper_id"), "paper_embeddings", db, as_of=as_of)
+        change_rows(
+            spark, "paper_embeddings", fresh.select("paper_id"),
+            lambda rows: upsert(rows, fresh, "paper_id"), db, as_of,
+        )
     return True

@@ -28,7 +28,7 @@ from scriptorium.operators.links import author_links, category_links, unnest
 from scriptorium.schemas import TABLES
 from scriptorium.session import scratch_path
 from scriptorium.sinks.logs import failed_run, run_record
-from scriptorium.sinks.tables import append, publish
+from scriptorium.sinks.tables import append, change_rows, publish
 from scriptorium.sources.bronze import BRONZE_ORDER
 from scriptorium.sources.catalog import all_tables, table
 
@@ -47,7 +47,7 @@ class IngestOptions:
 def stage(raw: DataFrame, db: str = "default") -> DataFrame:
     """Clean raw records and rebuild the staging table from them."""
     order = [F.col(c) for c in BRONZE_ORDER if c in raw.columns]
-    publish(clean(raw, order=order), "staging_papers", db, "staged")
+    publish(clean(raw, order=order), "staging_papers", db)
     return table(raw.sparkSession, "staging_papers", db)
 
 
@@ -174,33 +174,42 @@ def with_object_paths(papers: DataFrame, inventory: DataFrame) -> DataFrame:
 
 
 def record_objects(spark: SparkSession, inventory: DataFrame, db: str = "default") -> bool:
-    """Store the paths of landed objects; False when no paper waits for one."""
+    """Store the paths of landed objects; False when no paper waits for one.
+    Only the id ranges of papers that get a path are rewritten."""
     papers = table(spark, "papers", db)
-    if pending_objects(papers).isEmpty():
+    waiting = papers.filter(F.col("pdf_object_path").isNull())
+    if waiting.isEmpty():
         return False
-    publish(with_object_paths(papers, inventory), "papers", db, cluster_by="published_at")
+    arrived = waiting.join(inventory.select("arxiv_id"), "arxiv_id", "left_semi").select("id")
+    change_rows(
+        spark, "papers", arrived, lambda rows: with_object_paths(rows, inventory), db,
+        cluster_by="published_at",
+    )
     return True
 
 
-def delete_papers(spark: SparkSession, survivors: DataFrame, db: str = "default") -> None:
-    """Keep only ``survivors`` of the papers, and of every child table the
-    rows whose paper survives. Children go first, parents last."""
-    papers = table(spark, "papers", db)
-    kept_path = scratch_path(spark, "kept-papers")
-    survivors.select("id").write.parquet(kept_path)
-    kept = spark.read.schema("id bigint").parquet(kept_path)
-    deleted = papers.join(kept, "id", "left_anti").select("id")
+def delete_papers(spark: SparkSession, deleted: DataFrame, db: str = "default") -> None:
+    """Delete the papers with the given ids and every row that refers to one.
+    Children go first, parents last."""
+    path = scratch_path(spark, "deleted-papers")
+    deleted.select("id").write.parquet(path)
+    gone = spark.read.schema("id bigint").parquet(path)
     for name, spec in TABLES.items():
         for fk, (parent, key) in spec.parents.items():
             if parent == "papers":
-                child = table(spark, name, db)
-                publish(cascade(child, deleted, fk, key), name, db)
-    publish(papers.join(kept, "id", "left_semi"), "papers", db, cluster_by="published_at")
+                change_rows(
+                    spark, name, gone, lambda rows, fk=fk, key=key: cascade(rows, gone, fk, key), db
+                )
+    change_rows(
+        spark, "papers", gone, lambda rows: rows.join(gone, "id", "left_anti"), db,
+        cluster_by="published_at",
+    )
 
 
 def delete_older_titles(spark: SparkSession, db: str = "default") -> None:
     """Of papers with one title keep the one with the largest id."""
-    delete_papers(spark, keep_latest(table(spark, "papers", db), "title"), db)
+    papers = table(spark, "papers", db).select("id", "title")
+    delete_papers(spark, papers.join(keep_latest(papers, "title"), "id", "left_anti"), db)
 
 
 def new_on_day(papers: DataFrame, day: str) -> DataFrame:

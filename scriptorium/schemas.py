@@ -67,6 +67,7 @@ class TableSpec:
     unique: tuple[tuple[str, ...], ...] = ()
     parents: dict[str, tuple[str, str]] = field(default_factory=dict)
     defaults: dict[str, object] = field(default_factory=dict)
+    id_col: str | None = None  # partitioned by ranges of this id
 
     @property
     def columns(self) -> list[str]:
@@ -79,6 +80,11 @@ class TableSpec:
 
 NOW = "now"  # default marker: the run's clock value
 
+# Tables that change are partitioned by ranges of so many paper ids. Ids grow
+# with time, so a change of recent papers touches few partitions.
+BUCKET = "id_bucket"
+IDS_PER_BUCKET = 1_000_000
+
 TABLES: dict[str, TableSpec] = {
     "staging_papers": TableSpec(STAGING, unique=(("arxiv_id",),)),
     "papers": TableSpec(
@@ -95,6 +101,7 @@ TABLES: dict[str, TableSpec] = {
         ),
         unique=(("id",), ("arxiv_id",), ("title",)),
         defaults={"ingested_at": NOW},
+        id_col="id",
     ),
     "authors": TableSpec(
         _struct(("id", _LONG, False), ("name", _STR, False)),
@@ -104,6 +111,7 @@ TABLES: dict[str, TableSpec] = {
         _struct(("paper_id", _LONG, False), ("author_id", _LONG, False), ("position", _INT, False)),
         unique=(("paper_id", "author_id"),),
         parents={"paper_id": ("papers", "id"), "author_id": ("authors", "id")},
+        id_col="paper_id",
     ),
     "categories": TableSpec(
         _struct(("id", _LONG, False), ("code", _STR, False), ("name", _STR, True)),
@@ -118,6 +126,7 @@ TABLES: dict[str, TableSpec] = {
         unique=(("paper_id", "category_id"),),
         parents={"paper_id": ("papers", "id"), "category_id": ("categories", "id")},
         defaults={"is_primary": False},
+        id_col="paper_id",
     ),
     "paper_enrichments": TableSpec(
         _struct(
@@ -134,6 +143,7 @@ TABLES: dict[str, TableSpec] = {
         unique=(("id",), ("paper_id",)),
         parents={"paper_id": ("papers", "id")},
         defaults={"enriched_at": NOW},
+        id_col="paper_id",
     ),
     "paper_embeddings": TableSpec(
         _struct(
@@ -145,6 +155,7 @@ TABLES: dict[str, TableSpec] = {
         unique=(("paper_id",),),
         parents={"paper_id": ("papers", "id")},
         defaults={"created_at": NOW},
+        id_col="paper_id",
     ),
     "ingestion_runs": TableSpec(
         _struct(

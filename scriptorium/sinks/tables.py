@@ -1,32 +1,43 @@
 """Base tables: external Parquet tables of the Spark catalog.
 
-Inserts append. Whatever changes or removes rows writes a new folder first and
-then moves the table's location to it, so readers see the old rows or the new
-ones, and a plan never overwrites the files it reads.
+Inserts append. Whatever changes or removes rows writes new files first and
+then moves the location of the table, or of the id ranges it touched, to them:
+readers see the old rows or the new ones, untouched ranges are not rewritten,
+and a plan never overwrites the files it reads.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from scriptorium.functions.temporal import clock
-from scriptorium.schemas import NOW, TABLES
+from scriptorium.schemas import BUCKET, IDS_PER_BUCKET, NOW, TABLES
+from scriptorium.sources.bronze import path_exists
+from scriptorium.sources.catalog import table_buckets
 
 
 def create_tables(spark: SparkSession, root: str, db: str = "default") -> None:
     """Create the absent tables, empty, under ``root``. Idempotent."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     for name, spec in TABLES.items():
-        if not spark.catalog.tableExists(f"{db}.{name}"):
-            spark.catalog.createTable(
-                f"{db}.{name}",
-                path=_fresh_path(root, name, "empty"),
-                source="parquet",
-                schema=_relaxed(spec.schema),
-            )
+        # Parquet tables enforce no NOT NULL; the checks do.
+        columns = [f"{f.name} {f.dataType.simpleString()}" for f in spec.schema.fields]
+        layout = ""
+        if spec.id_col is not None:
+            columns.append(f"{BUCKET} bigint")
+            layout = f"PARTITIONED BY ({BUCKET})"
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {db}.{name} ({', '.join(columns)}) USING parquet "
+            f"{layout} LOCATION '{_fresh_path(root, name, 'base')}'"
+        )
+
+
+def bucket_of(ids: Column) -> Column:
+    return F.coalesce(F.floor(ids / IDS_PER_BUCKET), F.lit(0)).cast("bigint")
 
 
 def conform(df: DataFrame, name: str, as_of: dt.datetime | str | None = None) -> DataFrame:
@@ -46,37 +57,86 @@ def append(
     df: DataFrame, name: str, db: str = "default", as_of: dt.datetime | str | None = None
 ) -> None:
     """Add rows; those present are never touched."""
-    conform(df, name, as_of).write.insertInto(f"{db}.{name}")
+    _bucketed(conform(df, name, as_of), name).write.insertInto(f"{db}.{name}")
 
 
 def publish(
     df: DataFrame,
     name: str,
     db: str = "default",
-    run_id: str | None = None,
     as_of: dt.datetime | str | None = None,
     cluster_by: str | None = None,
 ) -> None:
-    """Replace a table by a new snapshot and move the table to it last.
+    """Replace all rows of a table."""
+    spark, full = df.sparkSession, f"{db}.{name}"
+    if TABLES[name].id_col is not None:
+        new = df.select(bucket_of(F.col(TABLES[name].id_col)).alias(BUCKET)).distinct()
+        buckets = {row[0] for row in new.collect()} | set(_stored_buckets(spark, full))
+        replace_buckets(df, sorted(buckets), name, db, as_of, cluster_by)
+        return
+    target = _fresh_path(_root_of(spark, full), name, "snapshot")
+    conform(df, name, as_of).write.parquet(target)
+    spark.sql(f"ALTER TABLE {full} SET LOCATION '{target}'")
+    spark.catalog.refreshTable(full)
+
+
+def replace_buckets(
+    rows: DataFrame,
+    buckets: Sequence[int],
+    name: str,
+    db: str = "default",
+    as_of: dt.datetime | str | None = None,
+    cluster_by: str | None = None,
+) -> None:
+    """Make ``rows`` the whole content of the given id ranges.
 
-    ``cluster_by`` range-partitions and sorts the files, so that a filter on
-    that column skips files and row groups.
+    ``cluster_by`` sorts each file, so that a filter on that column skips row
+    groups. A range that is left without rows keeps an empty folder: dropping
+    it would let a later insert find the old files again.
     """
-    spark = df.sparkSession
-    full = f"{db}.{name}"
-    target = _fresh_path(_root_of(spark, full), name, run_id or "snapshot")
-    rows = conform(df, name, as_of)
+    spark, full = rows.sparkSession, f"{db}.{name}"
+    target = _fresh_path(_root_of(spark, full), name, "change")
+    written = _bucketed(conform(rows, name, as_of), name)
     if cluster_by is not None:
-        rows = rows.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
-    rows.write.parquet(target)
-    spark.sql(f"ALTER TABLE {full} SET LOCATION '{target}'")
+        written = written.sortWithinPartitions(BUCKET, cluster_by)
+    written.write.partitionBy(BUCKET).parquet(target)
+    stored = set(_stored_buckets(spark, full))
+    for bucket in buckets:
+        folder, partition = f"{target}/{BUCKET}={bucket}", f"PARTITION ({BUCKET}={bucket})"
+        if not path_exists(spark, folder):
+            spark.createDataFrame([], TABLES[name].schema).write.parquet(folder)
+        if bucket in stored:
+            spark.sql(f"ALTER TABLE {full} {partition} SET LOCATION '{folder}'")
+        else:
+            spark.sql(f"ALTER TABLE {full} ADD {partition} LOCATION '{folder}'")
     spark.catalog.refreshTable(full)
 
 
+def change_rows(
+    spark: SparkSession,
+    name: str,
+    changed_ids: DataFrame,
+    change: Callable[[DataFrame], DataFrame],
+    db: str = "default",
+    as_of: dt.datetime | str | None = None,
+    cluster_by: str | None = None,
+) -> None:
+    """Rewrite the id ranges in which the one column of ``changed_ids`` falls.
+
+    ``change`` maps the present rows of those ranges to the new ones. The list
+    of ranges is short: one entry per million ids at most.
+    """
+    touched = changed_ids.select(bucket_of(F.col(changed_ids.columns[0])).alias("b")).distinct()
+    buckets = sorted(row["b"] for row in touched.collect())
+    if buckets:
+        rows = change(table_buckets(spark, name, buckets, db))
+        replace_buckets(rows, buckets, name, db, as_of, cluster_by)
+
+
 def truncate(spark: SparkSession, db: str = "default") -> None:
     """Empty every table. Ids start at 1 again, as no largest id is left."""
     for name, spec in TABLES.items():
-        publish(spark.createDataFrame([], _relaxed(spec.schema)), name, db, "truncated")
+        publish(spark.createDataFrame([], spec.schema), name, db)
 
 
 def materialize(df: DataFrame, name: str, as_table: bool = False, db: str = "default") -> None:
@@ -87,9 +147,18 @@ def materialize(df: DataFrame, name: str, as_table: bool = False, db: str = "def
         df.createOrReplaceTempView(name)
 
 
-def _relaxed(schema: T.StructType) -> T.StructType:
-    # Parquet tables enforce no NOT NULL; the checks do.
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+def _bucketed(df: DataFrame, name: str) -> DataFrame:
+    """Add the id range and gather its rows; a range that holds a large share
+    of all rows is split over several files."""
+    id_col = TABLES[name].id_col
+    if id_col is None:
+        return df
+    return df.withColumn(BUCKET, bucket_of(F.col(id_col))).hint("rebalance", BUCKET)
+
+
+def _stored_buckets(spark: SparkSession, full: str) -> list[int]:
+    shown = spark.sql(f"SHOW PARTITIONS {full}").collect()  # one row per id range
+    return [int(row["partition"].split("=")[1]) for row in shown]
 
 
 def _fresh_path(root: str, name: str, label: str) -> str:

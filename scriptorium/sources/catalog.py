@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
 
-from scriptorium.schemas import TABLES
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from scriptorium.schemas import BUCKET, TABLES
 
 
 def table(spark: SparkSession, name: str, db: str = "default") -> DataFrame:
@@ -17,7 +19,16 @@ def table(spark: SparkSession, name: str, db: str = "default") -> DataFrame:
     if not spark.catalog.tableExists(full):
         return spark.table(name)
     spark.catalog.refreshTable(full)
-    return spark.table(full)
+    return spark.table(full).drop(BUCKET)
+
+
+def table_buckets(
+    spark: SparkSession, name: str, buckets: Sequence[int], db: str = "default"
+) -> DataFrame:
+    """The rows of some id ranges of a base table; other ranges are pruned."""
+    full = f"{db}.{name}"
+    spark.catalog.refreshTable(full)
+    return spark.table(full).filter(F.col(BUCKET).isin(list(buckets))).drop(BUCKET)
 
 
 def all_tables(spark: SparkSession, db: str = "default") -> dict[str, DataFrame]:

@@ -10,7 +10,13 @@ from scriptorium.session import cut_lineage, scratch_path, shared_dir
 from scriptorium.sinks import tables as sink
 from scriptorium.sinks.bronze import write_bronze
 from scriptorium.sources.bronze import read_bronze, read_landed
-from scriptorium.sources.catalog import all_tables, describe_tables, list_tables, table
+from scriptorium.sources.catalog import (
+    all_tables,
+    describe_tables,
+    list_tables,
+    table,
+    table_buckets,
+)
 from scriptorium.sources.feed import read_feed
 from scriptorium.sources.objects import object_inventory
 from tests.conftest import record
@@ -139,11 +145,45 @@ def test_append_fills_defaults_and_publish_replaces(spark, db):
     sink.append(row.withColumn("id", F.lit(3)), "papers", db)
     assert sorted(r["id"] for r in table(spark, "papers", db).collect()) == [2, 3]
     sink.truncate(spark, db)
+    sink.append(row.withColumn("id", F.lit(4)), "papers", db)
+    assert [r["id"] for r in table(spark, "papers", db).collect()] == [4]
+    sink.truncate(spark, db)
     assert {name: df.count() for name, df in all_tables(spark, db).items()} == dict.fromkeys(
         TABLES, 0
     )
 
 
+def test_only_touched_id_ranges_are_rewritten(spark, db, monkeypatch):
+    monkeypatch.setattr(sink, "IDS_PER_BUCKET", 10)
+    rows = [(i, i % 3, 1) for i in range(35)]
+    schema = "paper_id long, author_id long, position int"
+    sink.append(spark.createDataFrame(rows, schema), "paper_authors", db)
+
+    def files():
+        stored = spark.table(f"{db}.paper_authors")
+        return {
+            r["id_bucket"]: r["file"]
+            for r in stored.select("id_bucket", F.col("_metadata.file_path").alias("file")).collect()
+        }
+
+    before = files()
+    assert sorted(before) == [0, 1, 2, 3]
+    gone = spark.createDataFrame([(15,), (16,), *[(i,) for i in range(30, 35)]], "id long")
+    sink.change_rows(
+        spark, "paper_authors", gone,
+        lambda df: df.join(gone.withColumnRenamed("id", "paper_id"), "paper_id", "left_anti"), db,
+    )
+    after = files()
+    assert sorted(after) == [0, 1, 2]
+    assert (after[0], after[2]) == (before[0], before[2]) and after[1] != before[1]
+    left = sorted(r["paper_id"] for r in table(spark, "paper_authors", db).collect())
+    assert left == [i for i in range(30) if i not in (15, 16)]
+    sink.append(spark.createDataFrame([(15, 9, 1), (31, 9, 1)], schema), "paper_authors", db)
+    assert table(spark, "paper_authors", db).count() == 30
+    plan = table_buckets(spark, "paper_authors", [1], db)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(id_bucket" in plan
+
+
 def test_create_tables_twice_keeps_rows(spark, db, tmp_path):
     sink.append(spark.createDataFrame([(1, "n")], "id long, name string"), "authors", db)
     sink.create_tables(spark, str(tmp_path / "tables"), db)
