@@ -82,4 +82,4 @@ def duplicate_vectors(embeddings: DataFrame, papers: DataFrame) -> DataFrame:
     titled = paired.select("c.paper_id", "v.n", "c.embedding").join(
         papers.select(F.col("id").alias("paper_id"), "title"), "paper_id"
     )
-    return titled.select("paper_id", "title", "n", "embedding")
+    return titled.select("paper_id", "title", "n", "embedding").distinct()

@@ -150,7 +150,10 @@ def ingest(
         staging = stage(raw, db)
         before = table(spark, "papers", db).select("id")
         known = last_id(before)
-        rejected = distribute(spark, staging, db, as_of, options)
+        if staging.isEmpty():
+            rejected = staged_papers(staging, as_of)
+        else:
+            rejected = distribute(spark, staging, db, as_of, options)
         inserted = table(spark, "papers", db).filter(F.col("id") > known)
         record = run_record(staging, inserted, run_id, run_date, started_at=as_of)
         append(record, "ingestion_runs", db)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from scriptorium.functions.jsonx import each_string
 from scriptorium.functions.temporal import day_of, period_of, week_of
-from scriptorium.operators.skew import member_pairs, rank_desc
+from scriptorium.operators.skew import HOT_KEYS, member_pairs, rank_desc
 
 
 def author_counts(
@@ -45,7 +45,9 @@ def coauthor_pairs(
     """
     counts = pair_counts(links, block)
     if top is not None:
-        counts = F.broadcast(counts.orderBy(F.desc("n"), "a", "b").limit(top))
+        counts = counts.orderBy(F.desc("n"), "a", "b").limit(top)
+        if top <= HOT_KEYS:
+            counts = F.broadcast(counts)
     first = authors.select(F.col("author_id").alias("a"), F.col("name").alias("author_1"))
     second = authors.select(F.col("author_id").alias("b"), F.col("name").alias("author_2"))
     return (

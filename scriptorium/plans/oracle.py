@@ -381,6 +381,11 @@ titled AS (
 repeated AS (SELECT embedding, count(*) AS n FROM copies GROUP BY embedding HAVING count(*) > 1)
 SELECT paper_id, title, n, {_CHECKSUM.replace('embedding', 'c.embedding')} AS checksum
 FROM copies c JOIN repeated r ON r.embedding = c.embedding JOIN titled ON id = paper_id""",
+    "vector_text_form": f"SELECT vec_id, {_CHECKSUM} AS checksum FROM embeddings",
+    "stream_ingest": f"""
+WITH {_RAW}
+SELECT DISTINCT arxiv_id, {_SQUEEZED.format('text')} AS abstract
+FROM raw WHERE title IS NOT NULL""",
     "vector_dim_check": """
 SELECT 'vector_dim' AS check_name, count(*) AS violations FROM embeddings WHERE label = 7""",
     "qc_duplicate_ids": _DUPLICATE_IDS,

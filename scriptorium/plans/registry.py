@@ -20,8 +20,9 @@ from scriptorium.plans.adapters import Warehouse
 from scriptorium.session import scratch_path
 from scriptorium.sinks.bronze import write_bronze
 from scriptorium.sinks.logs import run_record
-from scriptorium.sources.bronze import read_bronze
+from scriptorium.sources.bronze import path_exists, read_bronze
 from scriptorium.sources.feed import read_feed
+from scriptorium.streaming.ingest_stream import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -471,6 +472,15 @@ def vector_dim_check(w):
     return quality.wrong_dim(vectors, 64)
 
 
+@query
+def vector_text_form(w):
+    """Vectors to text and back."""
+    text = V.text_form(F.col("embedding"))
+    return w.embeddings.select("vec_id", V.parse(text, 64).alias("embedding")).select(
+        "vec_id", _checksum().alias("checksum")
+    )
+
+
 # Quality
 
 
@@ -648,3 +658,24 @@ def feed_round_trip(w):
         X.joined(F.col("authors")).alias("authors"),
         X.joined(F.col("all_categories")).alias("all_categories"),
     )
+
+
+@query
+def stream_ingest(w):
+    """The archive of raw records as a stream: each micro-batch is cleaned and
+    what is absent is appended."""
+    archive, stored = scratch_path(w.spark, "archive"), scratch_path(w.spark, "stored")
+    write_bronze(A.raw_documents(w), archive, "2024-01-01")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        new = clean(batch).select("arxiv_id", "abstract")
+        if path_exists(batch.sparkSession, f"{stored}/part-*"):
+            known = batch.sparkSession.read.schema(new.schema).parquet(stored)
+            new = changes.insert_absent(known, new, ["arxiv_id"])
+        new.write.mode("append").parquet(stored)
+
+    ingest_stream(
+        w.spark, archive, scratch_path(w.spark, "progress"), handle,
+        array_files=False, files_per_batch=4,
+    ).awaitTermination()
+    return w.spark.read.schema("arxiv_id string, abstract string").parquet(stored)

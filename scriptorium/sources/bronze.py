@@ -7,11 +7,12 @@ stores it; files split across tasks and dates prune.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from scriptorium.schemas import BRONZE
 
-LANDED_NAME = r"arxiv_papers_(\d{4}-\d{2}-\d{2})\.json$"  # fixed value
+# The run date in a landed file's name or in a lake folder's.
+RUN_DATE = r"(?:/arxiv_papers_|/ds=)(\d{4}-\d{2}-\d{2})(?:\.json$|/)"
 
 # Where a raw record stood: the stated order for "keep the first".
 ORIGIN = T.StructType(
@@ -45,7 +46,7 @@ def _in_range(df: DataFrame, start_ds: str | None, end_ds: str | None) -> DataFr
     return df
 
 
-def with_origin(df: DataFrame, ds) -> DataFrame:
+def with_origin(df: DataFrame, ds: Column) -> DataFrame:
     """Add ``ORIGIN``. A file is read front to back, so within one file the
     row number rises in file order."""
     return df.select(
@@ -56,8 +57,9 @@ def with_origin(df: DataFrame, ds) -> DataFrame:
     )
 
 
-def landed_ds() -> F.Column:
-    return F.regexp_extract(F.col("_metadata.file_path"), LANDED_NAME, 1)
+def run_date() -> Column:
+    """The run date of the file a row comes from."""
+    return F.regexp_extract(F.col("_metadata.file_path"), RUN_DATE, 1)
 
 
 def read_landed(
@@ -69,7 +71,7 @@ def read_landed(
     if not path_exists(spark, pattern):
         return empty_bronze(spark)
     raw = spark.read.schema(BRONZE).option("multiLine", True).json(pattern)
-    return _in_range(with_origin(raw, landed_ds()), start_ds, end_ds)
+    return _in_range(with_origin(raw, run_date()), start_ds, end_ds)
 
 
 def read_bronze(

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from scriptorium.plans.ingest import IngestOptions, ingest
 from scriptorium.schemas import BRONZE
-from scriptorium.sources.bronze import landed_ds
+from scriptorium.sources.bronze import run_date
 
 
 def bronze_stream(
@@ -24,8 +24,11 @@ def bronze_stream(
     if array_files:
         reader = reader.option("multiLine", True)
     raw = reader.json(folder)
-    return raw.select("*", F.col("_metadata.file_path").alias("source_file"),
-                      landed_ds().alias("ds"))
+    return raw.select(
+        *BRONZE.fieldNames(),
+        run_date().alias("ds"),
+        F.col("_metadata.file_path").alias("source_file"),
+    )
 
 
 def ingest_stream(

@@ -95,3 +95,11 @@ def test_vector_literal_dim_and_text_form(spark):
     assert one(spark, "[0.5]", "string", lambda c: V.parse(c, 2)) is None
     df = spark.sql("SELECT array(float(0), float('-0.0')) AS v")
     assert df.select(V.text_form(F.col("v"))).first()[0] == "[0.0, -0.0]"
+
+
+def test_row_json_round_trip(spark):
+    df = spark.createDataFrame([(1, ["a", None], None)], "id long, names array<string>, x string")
+    parsed = df.select(
+        F.from_json(jsonx.row_json("id", "names"), "id long, names array<string>").alias("r")
+    ).select("r.*")
+    assert [tuple(r) for r in parsed.collect()] == [(1, ["a", None])]

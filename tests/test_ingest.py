@@ -275,3 +275,15 @@ def test_stream_with_own_handler(spark, tmp_path):
         spark, str(folder), str(tmp_path / "c"), handler=lambda df, i: seen.append(df.count())
     ).awaitTermination()
     assert seen == [3]
+
+
+def test_stream_over_the_archive(spark, db, bronze, tmp_path):
+    from scriptorium.sinks.bronze import write_bronze
+
+    lake = str(tmp_path / "lake")
+    write_bronze(bronze(BATCH_1), lake, "2026-06-02")
+    write_bronze(bronze([record("9v1", "Nine")]), lake, "2026-06-03")
+    ingest_stream(spark, lake, str(tmp_path / "c"), db=db, array_files=False).awaitTermination()
+    assert [p[0] for p in state(spark, db)["papers"]] == ["1v1", "2v1", "9v1"]
+    (run,) = table(spark, "ingestion_runs", db).collect()
+    assert (str(run["run_date"]), run["papers_new"]) == ("2026-06-03", 3)

@@ -79,3 +79,26 @@ def test_quality_and_freshness(spark, ingested):
     with pytest.raises(QualityError, match="duplicate_papers: 1"):
         jobs.run_quality(spark, ingested)
     assert all_tables(spark, ingested)["quality_checks"].count() == 24
+
+
+def test_marts_in_reading_order(spark):
+    from scriptorium.plans.marts import sorted_mart
+
+    counts = spark.createDataFrame([("b", 1), ("c", 5), ("a", 1)], "name string, n_papers long")
+    assert [r["name"] for r in sorted_mart(counts, "author_counts").collect()] == ["c", "a", "b"]
+    days = spark.sql("SELECT * FROM VALUES (null), (date'2024-01-02'), (date'2024-01-01') AS v(day)")
+    assert [str(r["day"]) for r in sorted_mart(days, "ingestion_health").collect()] == [
+        "2024-01-01",
+        "2024-01-02",
+        "None",
+    ]
+
+
+def test_a_day_without_papers(spark, db, tmp_path):
+    landing = tmp_path / "none"
+    landing.mkdir()
+    (landing / "feed.xml").write_text(feed())
+    rejected = jobs.run_day(spark, str(landing), str(tmp_path / "lake"), "2026-06-05", db)
+    assert rejected.count() == 0
+    (run,) = table(spark, "ingestion_runs", db).collect()
+    assert (run["papers_fetched"], run["papers_new"], run["status"]) == (0, 0, "success")
