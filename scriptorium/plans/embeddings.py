@@ -47,6 +47,16 @@ def embedding_inputs(papers: DataFrame, links: DataFrame, authors: DataFrame) ->
     )
 
 
+def pending_papers(
+    papers: DataFrame, embeddings: DataFrame, model: str | None = None, recompute: bool = False
+) -> DataFrame:
+    """Papers whose object has landed and that have no vector yet. Decided on
+    ids, before any author list is put together."""
+    ready = papers.filter(F.col("pdf_object_path").isNotNull())
+    keyed = ready.withColumn("paper_id", F.col("id"))
+    return pending(keyed, embeddings, model, recompute).drop("paper_id")
+
+
 def run_embedding_job(
     spark: SparkSession,
     db: str = "default",
@@ -63,14 +73,16 @@ def run_embedding_job(
     when some are replaced, the id ranges they fall into are rewritten.
     """
     t = all_tables(spark, db)
-    inputs = embedding_inputs(t["papers"], t["paper_authors"], t["authors"])
-    due = pending(inputs, t["paper_embeddings"], model, recompute)
+    due = pending_papers(t["papers"], t["paper_embeddings"], model, recompute)
     if due.isEmpty():
         return False
+    inputs = embedding_inputs(due, t["paper_authors"], t["authors"])
     path = scratch_path(spark, "vectors")
     partitions = partitions or 4 * spark.sparkContext.defaultParallelism
-    embed(due, embedder, model, partitions).write.parquet(path)
+    embed(inputs, embedder, model, partitions).write.parquet(path)
     fresh = spark.read.parquet(path).withColumn("created_at", clock(as_of))
+    if fresh.isEmpty():
+        return False
     stored = t["paper_embeddings"]
     if stored.select("paper_id").join(fresh.select("paper_id"), "paper_id", "left_semi").isEmpty():
         append(fresh, "paper_embeddings", db, as_of)

@@ -28,9 +28,9 @@ from scriptorium.operators.links import author_links, category_links, unnest
 from scriptorium.schemas import TABLES
 from scriptorium.session import scratch_path
 from scriptorium.sinks.logs import failed_run, run_record
-from scriptorium.sinks.tables import append, change_rows, publish
+from scriptorium.sinks.tables import append, change_rows, publish, touched_buckets
 from scriptorium.sources.bronze import BRONZE_ORDER
-from scriptorium.sources.catalog import all_tables, table
+from scriptorium.sources.catalog import all_tables, table, table_buckets
 
 
 @dataclass(frozen=True)
@@ -115,17 +115,25 @@ def distribute(
     insert_names(spark, codes, "categories", db)
 
     t = all_tables(spark, db)
-    by_author = author_links(staging, t["papers"], t["authors"])
+    # Links are compared with those of the same id ranges only.
+    seen = staging.select("arxiv_id").join(t["papers"].select("arxiv_id", "id"), "arxiv_id")
+    buckets = touched_buckets(seen.select("id"))
     append(
         insert_absent_links(
-            t["paper_authors"], by_author, ["paper_id", "author_id"], least="position"
+            table_buckets(spark, "paper_authors", buckets, db),
+            author_links(staging, t["papers"], t["authors"]),
+            ["paper_id", "author_id"],
+            least="position",
         ),
         "paper_authors",
         db,
     )
-    by_category = category_links(staging, t["papers"], t["categories"])
     append(
-        insert_absent(t["paper_categories"], by_category, ["paper_id", "category_id"]),
+        insert_absent(
+            table_buckets(spark, "paper_categories", buckets, db),
+            category_links(staging, t["papers"], t["categories"]),
+            ["paper_id", "category_id"],
+        ),
         "paper_categories",
         db,
     )

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from scriptorium.functions import text as X, vector as V
 from scriptorium.operators import changes, duplicates, links, quality, search, skew, topics
 from scriptorium.operators.clean import clean
-from scriptorium.operators.embed import HashingEmbedder, embed, pending
+from scriptorium.operators.embed import HashingEmbedder, embed
 from scriptorium.operators.ids import assign_ids
 from scriptorium.plans import adapters as A, embeddings as E, ingest, marts, views
 from scriptorium.plans.adapters import Warehouse
@@ -407,8 +407,8 @@ def embedding_inputs(w):
 
 @query
 def pending_embeddings(w):
-    inputs = E.embedding_inputs(A.papers(w), A.paper_authors(w), A.authors(w))
-    return pending(inputs, A.embeddings(w))
+    due = E.pending_papers(A.papers(w), A.embeddings(w))
+    return E.embedding_inputs(due, A.paper_authors(w), A.authors(w))
 
 
 @query

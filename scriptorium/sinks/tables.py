@@ -112,6 +112,13 @@ def replace_buckets(
     spark.catalog.refreshTable(full)
 
 
+def touched_buckets(ids: DataFrame) -> list[int]:
+    """The id ranges in which the one column of ``ids`` falls. The list is
+    short: one entry per million ids at most."""
+    ranges = ids.select(bucket_of(F.col(ids.columns[0])).alias("b")).distinct()
+    return sorted(row["b"] for row in ranges.collect())
+
+
 def change_rows(
     spark: SparkSession,
     name: str,
@@ -121,13 +128,9 @@ def change_rows(
     as_of: dt.datetime | str | None = None,
     cluster_by: str | None = None,
 ) -> None:
-    """Rewrite the id ranges in which the one column of ``changed_ids`` falls.
-
-    ``change`` maps the present rows of those ranges to the new ones. The list
-    of ranges is short: one entry per million ids at most.
-    """
-    touched = changed_ids.select(bucket_of(F.col(changed_ids.columns[0])).alias("b")).distinct()
-    buckets = sorted(row["b"] for row in touched.collect())
+    """Rewrite the id ranges of the changed ids. ``change`` maps the present
+    rows of those ranges to the new ones."""
+    buckets = touched_buckets(changed_ids)
     if buckets:
         rows = change(table_buckets(spark, name, buckets, db))
         replace_buckets(rows, buckets, name, db, as_of, cluster_by)
