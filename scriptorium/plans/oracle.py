@@ -193,12 +193,20 @@ SELECT date_trunc('week', published_at)::DATE::VARCHAR AS week, code AS category
 FROM papers JOIN paper_codes ON paper_id = id WHERE {condition} GROUP BY ALL"""
 
 
-_PAIRS = f"""
-WITH {_LINKS}
-SELECT a1.s_name AS author_1, a2.s_name AS author_2, count(*) AS n_collabs
-FROM links p1 JOIN links p2 ON p1.paper_id = p2.paper_id AND p1.author_id < p2.author_id
-JOIN supplier a1 ON a1.s_suppkey = p1.author_id JOIN supplier a2 ON a2.s_suppkey = p2.author_id
-GROUP BY ALL"""
+# All pairs of one paper out of its sorted list of authors, without a self-join.
+_PAIR_COUNTS = (
+    _LINKS
+    + """,
+teams AS (
+  SELECT list(author_id ORDER BY author_id) AS team FROM links GROUP BY paper_id),
+firsts AS (SELECT team, unnest(team) AS a FROM teams),
+pairs AS (SELECT a, unnest(team[list_position(team, a) + 1:]) AS b FROM firsts),
+pair_counts AS (SELECT a, b, count(*) AS n_collabs FROM pairs GROUP BY ALL)"""
+)
+
+_NAMED_PAIRS = """
+SELECT x.s_name AS author_1, y.s_name AS author_2, n_collabs
+FROM {0} JOIN supplier x ON x.s_suppkey = a JOIN supplier y ON y.s_suppkey = b"""
 
 ORACLE: dict[str, str] = {
     "stg_papers": f"""
@@ -221,26 +229,22 @@ FROM links JOIN supplier ON s_suppkey = author_id GROUP BY s_name""",
 WITH {_LINKS}
 SELECT s_name AS name, count(*) AS n_papers
 FROM links JOIN supplier ON s_suppkey = author_id GROUP BY s_name HAVING count(*) > 590""",
-    "coauthor_pairs": _PAIRS,
+    "coauthor_pairs": f"WITH {_PAIR_COUNTS} {_NAMED_PAIRS.format('pair_counts')}",
     "top_coauthors": f"""
-WITH {_LINKS},
-leaders AS (
-  SELECT p1.author_id AS a, p2.author_id AS b, count(*) AS n_collabs
-  FROM links p1 JOIN links p2 ON p1.paper_id = p2.paper_id AND p1.author_id < p2.author_id
-  GROUP BY ALL ORDER BY n_collabs DESC, a, b LIMIT 20)
-SELECT a1.s_name AS author_1, a2.s_name AS author_2, n_collabs
-FROM leaders JOIN supplier a1 ON a1.s_suppkey = a JOIN supplier a2 ON a2.s_suppkey = b""",
+WITH {_PAIR_COUNTS},
+leaders AS (SELECT * FROM pair_counts ORDER BY n_collabs DESC, a, b LIMIT 20)
+{_NAMED_PAIRS.format('leaders')}""",
     "weekly_by_category": _weekly("true"),
     "weekly_primary": _weekly("is_primary"),
     "ingestion_health": """
-SELECT coalesce(p.day, e.day, n.day)::VARCHAR AS day, coalesce(papers_ingested, 0) AS papers_ingested,
-       coalesce(papers_embedded, 0) AS papers_embedded,
-       coalesce(papers_enriched, 0) AS papers_enriched
-FROM (SELECT o_orderdate::DATE AS day, count(*) AS papers_ingested FROM orders GROUP BY 1) p
-FULL JOIN (SELECT l_shipdate::DATE AS day, count(*) AS papers_embedded FROM lineitem GROUP BY 1) e
-  ON e.day = p.day
-FULL JOIN (SELECT ts::DATE AS day, count(*) AS papers_enriched FROM events GROUP BY 1) n
-  ON n.day = coalesce(p.day, e.day)""",
+SELECT day::VARCHAR AS day,
+       count(*) FILTER (WHERE kind = 'order') AS papers_ingested,
+       count(*) FILTER (WHERE kind = 'line') AS papers_embedded,
+       count(*) FILTER (WHERE kind = 'event') AS papers_enriched
+FROM (SELECT o_orderdate::DATE AS day, 'order' AS kind FROM orders
+      UNION ALL SELECT l_shipdate::DATE, 'line' FROM lineitem
+      UNION ALL SELECT ts::DATE, 'event' FROM events)
+GROUP BY day""",
     "json_topics": f"WITH {_TOPICS} SELECT paper_id, topic FROM topics",
     "trending_topics": _trending("day"),
     "trending_weekly": _trending("week"),

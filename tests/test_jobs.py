@@ -22,7 +22,7 @@ def feed(*entries):
         for i, t, x, c, d, names in entries
     )
     return (
-        '<feed xmlns="http://www.w3.org/2005/Atom" xmlns:arxiv="http://arxiv.org/schemas/atom">'
+        '<feed xmlns="http://www.w3.org/2005/Atom" xmlns:arxiv="http://host/schemas/atom">'
         f"{body}</feed>"
     )
 

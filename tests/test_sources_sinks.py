@@ -22,10 +22,10 @@ from scriptorium.sources.objects import object_inventory
 from tests.conftest import record
 
 FEED = """<?xml version="1.0" encoding="UTF-8"?>
-<feed xmlns="http://www.w3.org/2005/Atom" xmlns:arxiv="http://arxiv.org/schemas/atom">
+<feed xmlns="http://www.w3.org/2005/Atom" xmlns:arxiv="http://host/schemas/atom">
   <title>query results</title>
   <entry>
-    <id>http://arxiv.org/abs/2301.12345v1</id>
+    <id>http://host/abs/2301.12345v1</id>
     <title>  A title
   with a break </title>
     <summary>
@@ -33,9 +33,9 @@ FEED = """<?xml version="1.0" encoding="UTF-8"?>
     </summary>
     <published>2026-06-01T10:00:00Z</published>
     <updated>2026-06-02T10:00:00Z</updated>
-    <link href="http://arxiv.org/abs/2301.12345v1" rel="alternate" type="text/html"/>
-    <link title="pdf" href="http://arxiv.org/pdf/first" rel="related"/>
-    <link title="pdf" href="http://arxiv.org/pdf/2301.12345v1" rel="related"/>
+    <link href="http://host/abs/2301.12345v1" rel="alternate" type="text/html"/>
+    <link title="pdf" href="http://host/pdf/first" rel="related"/>
+    <link title="pdf" href="http://host/pdf/2301.12345v1" rel="related"/>
     <author><name>Zoe Last</name></author>
     <author><name>Ada First</name></author>
     <arxiv:primary_category term="cs.CL" scheme="s"/>
@@ -43,12 +43,12 @@ FEED = """<?xml version="1.0" encoding="UTF-8"?>
     <category term="cs.AI" scheme="s"/>
   </entry>
   <entry>
-    <id>http://arxiv.org/abs/2301.99999v2</id>
+    <id>http://host/abs/2301.99999v2</id>
     <title>Second</title>
     <summary>Text</summary>
     <published>2026-06-01T11:00:00Z</published>
     <updated>2026-06-01T11:00:00Z</updated>
-    <link href="http://arxiv.org/abs/2301.99999v2" rel="alternate"/>
+    <link href="http://host/abs/2301.99999v2" rel="alternate"/>
     <author><name>Solo</name></author>
     <category term="stat.ML"/>
   </entry>
@@ -67,7 +67,7 @@ def test_feed(spark, tmp_path):
     assert first["authors"] == ["Zoe Last", "Ada First"]
     assert first["primary_category"] == "cs.CL"
     assert first["all_categories"] == ["cs.CL", "cs.AI"]
-    assert first["pdf_url"] == "http://arxiv.org/pdf/2301.12345v1"
+    assert first["pdf_url"] == "http://host/pdf/2301.12345v1"
     assert first["published_at"] == "2026-06-01T10:00:00Z"
     assert second["primary_category"] is None and second["pdf_url"] is None
     assert second["authors"] == ["Solo"]
