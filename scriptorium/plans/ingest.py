@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from scriptorium.functions.temporal import clock
 from scriptorium.functions.text import object_path
 from scriptorium.operators.changes import (
+    ConflictError,
     cascade,
     insert_absent,
     insert_absent_links,
@@ -22,7 +23,7 @@ from scriptorium.operators.changes import (
     split_conflicts,
     update_from,
 )
-from scriptorium.operators.clean import clean
+from scriptorium.operators.clean import clean, drop_incomplete
 from scriptorium.operators.ids import assign_ids, last_id
 from scriptorium.operators.links import author_links, category_links, unnest
 from scriptorium.schemas import TABLES
@@ -35,8 +36,9 @@ from scriptorium.sources.catalog import all_tables, table, table_buckets
 
 @dataclass(frozen=True)
 class IngestOptions:
-    """``mode`` says what a second paper of the same title does: ``quarantine``
-    sets it aside, ``strict`` stops before anything is written.
+    """``mode`` says what a paper does that lacks a required value or has the
+    title of another: ``quarantine`` sets it aside, ``strict`` stops before
+    anything is written to the normalised tables.
     ``now_as_updated`` stamps ``updated_at`` with the clock instead of the
     value the source gave."""
 
@@ -84,8 +86,13 @@ def insert_papers(
     path = scratch_path(spark, "new-papers")
     fresh.write.parquet(path)
     fresh = spark.read.schema(fresh.schema).parquet(path)
+    complete = drop_incomplete(fresh, [c for c in TABLES["papers"].required if c != "id"])
+    if options.mode == "strict":
+        lacking = fresh.join(complete.select("arxiv_id"), "arxiv_id", "left_anti")
+        if not lacking.isEmpty():
+            raise ConflictError(f"no value in a required column, as in: {lacking.first()}")
     accepted, _ = split_conflicts(
-        papers, fresh, "title", "arxiv_id", [F.col("arxiv_id")], options.mode
+        papers, complete, "title", "arxiv_id", [F.col("arxiv_id")], options.mode
     )
     append(assign_ids(accepted, "arxiv_id", last_id(papers)), "papers", db, as_of)
     stored = table(spark, "papers", db).select("arxiv_id")

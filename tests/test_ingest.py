@@ -132,6 +132,16 @@ def test_quarantine_and_strict(spark, db, bronze):
     assert violations(spark, db) == set()
 
 
+def test_a_paper_without_a_date_is_set_aside(spark, db, bronze):
+    batch = bronze([record("1v1", "Dated"), record("2v1", "Undated", published_at=None)])
+    with pytest.raises(ConflictError, match="2v1"):
+        ingest(batch, "r1", "2026-06-02", db, NOW, IngestOptions(mode="strict"))
+    rejected = ingest(batch, "r2", "2026-06-02", db, NOW)
+    assert [r["arxiv_id"] for r in rejected.collect()] == ["2v1"]
+    assert [p[0] for p in state(spark, db)["papers"]] == ["1v1"]
+    assert violations(spark, db) == set()
+
+
 def test_titles_that_differ_in_whitespace_clash(spark, db, bronze):
     rejected = ingest(
         bronze([record("1v1", "A  b"), record("2v1", "A b\n")]), "r", "2026-06-02", db, NOW
