@@ -147,17 +147,17 @@ def near_duplicates(
     group (its class is its own id). Repeated rows come back repeated. Other
     columns are ignored; an empty table gives no rows.
     """
-    text = F.col("text")
-    bag = bag_of(text)
-    digest = F.when(F.size("bag") > 0, F.xxhash64("bag", F.reverse("bag"), F.size("bag"))).otherwise(
-        F.xxhash64(F.lit("raw"), text))
-    usable = docs.filter("doc_id is not null and text is not null").select("doc_id", bag.alias("bag"), "text")
-    members = stored(usable.select("doc_id", digest.alias("node")), "members")
+    def bagged(rows: DataFrame) -> DataFrame:
+        text = F.col("text")
+        node = F.when(F.size("bag") > 0, F.xxhash64("bag")).otherwise(F.xxhash64(F.lit("raw"), text))
+        return rows.select("doc_id", bag_of(text).alias("bag"), "text").select(
+            "doc_id", node.alias("node"), "bag")
+
+    usable = docs.filter("doc_id is not null and text is not null").select("doc_id", "text")
+    members = stored(bagged(usable).select("doc_id", "node"), "members")
     heads = members.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    bags = (
-        usable.join(heads.select("doc_id").distinct(), "doc_id", "left_semi")
-        .filter(F.size("bag") > 0).select(digest.alias("node"), "bag")
-    )
+    bags = bagged(usable.join(heads.select("doc_id").distinct(), "doc_id", "left_semi"))
+    bags = bags.filter(F.size("bag") > 0).select("node", "bag")
     nodes = stored(signed(bags, bands, rows).dropDuplicates(["node"]), "nodes")
     keyed = nodes.select("node", "size", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n")).filter("n > 1")
