@@ -122,7 +122,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     one = nodes.select("node", "size", "marks")
     left = dealt.join(one.select(F.col("node").alias("a"), F.col("marks").alias("ma")), "a")
     right = one.join(heavy, one["node"] == heavy["b"]).select(
-        "b", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).cast("long").alias("salt"),
+        "b", F.explode(F.sequence(F.lit(0).cast("long"), (F.col("salts") - 1).cast("long"))).alias("salt"),
         F.col("marks").alias("mb"))
     both = left.join(right, ["b", "salt"])
     shared = F.size(F.array_intersect("ma", "mb"))

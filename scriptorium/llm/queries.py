@@ -123,14 +123,14 @@ FROM escaped GROUP BY conv_id"""
 
 CONTAINED_SQL = r"""
 WITH w AS (
-  SELECT 'd' AS side, doc_id AS id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'),
-    x -> x <> '') AS words FROM documents
+  SELECT 'd' AS side, doc_id AS id, [x FOR x IN regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')
+    IF x <> ''] AS words FROM documents
   UNION ALL
-  SELECT 'i', item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '')
+  SELECT 'i', item_id, [x FOR x IN regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') IF x <> '']
   FROM benchmark),
 s AS (
-  SELECT DISTINCT side, id, unnest(list_transform(range(1, len(words) - 3),
-    i -> array_to_string(words[i:i + 4], ' '))) AS shingle FROM w WHERE len(words) >= 5),
+  SELECT DISTINCT side, id, unnest([array_to_string(words[i:i + 4], ' ')
+    FOR i IN range(1, len(words) - 3)]) AS shingle FROM w WHERE len(words) >= 5),
 n AS (SELECT id, count(*) AS n_item FROM s WHERE side = 'i' GROUP BY id)
 SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared, any_value(n_item) AS n_item,
   count(*) / any_value(n_item) AS containment

@@ -9,7 +9,7 @@ NAMES = r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc
 ASSIGN = NAMES + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
-TOKEN = r"[A-Za-z0-9+/_-]+={0,2}"
+TOKEN = r"[A-Za-z0-9+/_-]{18,}={0,2}"
 ORDER = ["assign", "access", "hex", "random"]
 
 # Shortest token the battery judges, its false-discovery rate, and the level
@@ -26,24 +26,30 @@ def spans_of(text: Column, pattern: str, group: int, shortest: int) -> Column:
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
-    rows = F.transform(whole, lambda m, i: F.struct(
-        F.get(gaps, i).alias("gap"), F.length(m).alias("size"), F.get(value, i).alias("value")))
+    rows = F.filter(
+        F.arrays_zip(gaps.alias("gap"), whole.alias("found"), value.alias("value")),
+        lambda r: r["found"].isNotNull())
     step = "struct<at:int,out:array<struct<start:int,end:int,value:string>>>"
     walk = F.aggregate(
         rows,
         F.struct(F.lit(0).alias("at"), F.array().cast(
             "array<struct<start:int,end:int,value:string>>").alias("out")).cast(step),
         lambda s, m: F.struct(
-            (s["at"] + m["gap"] + m["size"]).alias("at"),
+            (s["at"] + m["gap"] + F.length(m["found"])).alias("at"),
             F.when(F.length(m["value"]) >= shortest, F.concat(s["out"], F.array(F.struct(
                 (s["at"] + m["gap"]).alias("start"),
-                (s["at"] + m["gap"] + m["size"]).alias("end"), m["value"].alias("value"),
+                (s["at"] + m["gap"] + F.length(m["found"])).alias("end"), m["value"].alias("value"),
             )))).otherwise(s["out"]).alias("out"),
         ).cast(step),
     )
     return walk["out"]
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def below(z: Column) -> Column:
     """The normal distribution function, by its logistic approximation."""
     x = F.greatest(F.lit(-8.0), F.least(F.lit(8.0), z))
@@ -60,51 +66,66 @@ def judged(token: Column) -> Column:
     the three tests (uniformity, runs above and below the middle value, serial
     correlation) rejects a uniform source.
     """
-    body = F.regexp_replace(token, r"=+$", "")
-    n = F.length(body).cast("double")
-    size = (
-        F.when(body.rlike(r"^([0-9a-f]+|[0-9A-F]+)$"), 16.0)
-        .when(body.rlike(r"^[A-Z2-7]+$"), 32.0)
-        .when(body.rlike(r"^([0-9a-z]+|[0-9A-Z]+)$"), 36.0)
-        .when(body.rlike(r"^[0-9A-Za-z]+$"), 62.0).otherwise(64.0)
-    )
-    chars = F.split(body, "")
     alphabet = F.lit("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/-_")
-    squares = F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda s, c: s + F.pow(
-        n - F.length(F.replace(body, c, F.lit(""))), F.lit(2.0)))
-    chi = size / n * squares - n
-    codes = F.transform(chars, lambda c: F.position(c, alphabet).cast("double"))
-    sums = F.aggregate(codes, F.struct(
-        F.lit(0.0).alias("s"), F.lit(0.0).alias("q"), F.lit(0.0).alias("x"), F.lit(-1.0).alias("last")),
-        lambda a, v: F.struct(
-            (a["s"] + v).alias("s"), (a["q"] + v * v).alias("q"),
-            F.when(a["last"] < 0, a["x"]).otherwise(a["x"] + a["last"] * v).alias("x"),
-            v.alias("last")))
-    mean = sums["s"] / n
-    spread = F.greatest(sums["q"] - n * mean * mean, F.lit(1e-9))
-    first = F.get(codes, F.lit(0))
-    serial = (sums["x"] + sums["last"] * first - n * mean * mean) / spread
-    z_serial = (serial + 1 / (n - 1)) * F.sqrt(n)
-    signs = F.aggregate(codes, F.struct(
-        F.lit(0.0).alias("up"), F.lit(1.0).alias("runs"), (first > mean).alias("last")),
-        lambda a, v: F.struct(
-            (a["up"] + (v > mean).cast("double")).alias("up"),
-            (a["runs"] + ((v > mean) != a["last"]).cast("double")).alias("runs"),
-            (v > mean).alias("last")))
-    up, down = signs["up"], n - signs["up"]
-    expect = 2 * up * down / n + 1
-    z_runs = (signs["runs"] - expect) / F.sqrt(
-        F.greatest((expect - 1) * (expect - 2) / (n - 1), F.lit(1e-9)))
-    z_chi = (chi - (size - 1)) / F.sqrt(2 * (size - 1))
-    shift = F.when(size == 16.0, 1.0).otherwise(size * TEXT_COINCIDENCE - 1)
-    text_mean = size - 1 + n * shift
-    p = below((chi - text_mean) / F.sqrt(2 * (size - 1) + 4 * n * shift))
-    sound = (
-        (below(-z_chi) > REJECT) & (2 * below(-F.abs(z_runs)) > REJECT)
-        & (2 * below(-F.abs(z_serial)) > REJECT)
-        & body.rlike("[0-9]") & body.rlike("[A-Za-z]")
-    )
-    return F.struct(p.alias("p"), sound.alias("random"))
+
+    def sized(body: Column) -> Column:
+        chars = F.split(body, "")
+        squares = F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda s, c: s + F.pow(
+            F.length(body).cast("double") - F.length(F.replace(body, c, F.lit(""))), F.lit(2.0)))
+        size = (
+            F.when(body.rlike(r"^([0-9a-f]+|[0-9A-F]+)$"), 16.0)
+            .when(body.rlike(r"^[A-Z2-7]+$"), 32.0)
+            .when(body.rlike(r"^([0-9a-z]+|[0-9A-Z]+)$"), 36.0)
+            .when(body.rlike(r"^[0-9A-Za-z]+$"), 62.0).otherwise(64.0)
+        )
+        codes = F.transform(chars, lambda c: F.position(c, alphabet).cast("double"))
+        mixed = body.rlike("[0-9]") & body.rlike("[A-Za-z]")
+        return F.struct(
+            F.length(body).cast("double").alias("n"), size.alias("size"), codes.alias("codes"),
+            squares.alias("squares"), mixed.alias("mixed"))
+
+    def moments(b: Column) -> Column:
+        sums = F.aggregate(b["codes"], F.struct(
+            F.lit(0.0).alias("s"), F.lit(0.0).alias("q"), F.lit(0.0).alias("x"), F.lit(-1.0).alias("last")),
+            lambda a, v: F.struct(
+                (a["s"] + v).alias("s"), (a["q"] + v * v).alias("q"),
+                F.when(a["last"] < 0, a["x"]).otherwise(a["x"] + a["last"] * v).alias("x"),
+                v.alias("last")))
+        return let(sums, lambda m: F.struct(b.alias("b"), m.alias("m"), (m["s"] / b["n"]).alias("mean")))
+
+    def runs(c: Column) -> Column:
+        mean = c["mean"]
+        signs = F.aggregate(c["b"]["codes"], F.struct(
+            F.lit(0.0).alias("up"), F.lit(1.0).alias("runs"),
+            (F.get(c["b"]["codes"], F.lit(0)) > mean).alias("last")),
+            lambda a, v: F.struct(
+                (a["up"] + (v > mean).cast("double")).alias("up"),
+                (a["runs"] + ((v > mean) != a["last"]).cast("double")).alias("runs"),
+                (v > mean).alias("last")))
+        return let(signs, lambda g: F.struct(
+            c["b"]["n"].alias("n"), c["b"]["size"].alias("size"), c["b"]["mixed"].alias("mixed"),
+            (c["b"]["size"] / c["b"]["n"] * c["b"]["squares"] - c["b"]["n"]).alias("chi"),
+            ((c["m"]["x"] + c["m"]["last"] * F.get(c["b"]["codes"], F.lit(0)) - c["b"]["n"] * mean * mean)
+             / F.greatest(c["m"]["q"] - c["b"]["n"] * mean * mean, F.lit(1e-9))).alias("serial"),
+            g["runs"].alias("runs"),
+            (2 * g["up"] * (c["b"]["n"] - g["up"]) / c["b"]["n"] + 1).alias("expect")))
+
+    def verdict(r: Column) -> Column:
+        n, size = r["n"], r["size"]
+        z_serial = (r["serial"] + 1 / (n - 1)) * F.sqrt(n)
+        z_runs = (r["runs"] - r["expect"]) / F.sqrt(
+            F.greatest((r["expect"] - 1) * (r["expect"] - 2) / (n - 1), F.lit(1e-9)))
+        z_chi = (r["chi"] - (size - 1)) / F.sqrt(2 * (size - 1))
+        shift = F.when(size == 16.0, 1.0).otherwise(size * TEXT_COINCIDENCE - 1)
+        p = below((r["chi"] - (size - 1 + n * shift)) / F.sqrt(2 * (size - 1) + 4 * n * shift))
+        sound = (
+            (below(-z_chi) > REJECT) & (2 * below(-F.abs(z_runs)) > REJECT)
+            & (2 * below(-F.abs(z_serial)) > REJECT) & r["mixed"]
+        )
+        return F.struct(p.alias("p"), sound.alias("random"))
+
+    body = F.regexp_replace(token, r"=+$", "")
+    return let(let(let(let(body, sized), moments), runs), verdict)
 
 
 def random_spans(text: Column) -> Column:
@@ -123,15 +144,19 @@ def random_spans(text: Column) -> Column:
 
 
 def controlled(tested: Column) -> Column:
-    m = F.size(tested).cast("double")
+    """The tokens the step-up procedure keeps and no single test rejects."""
+    def keep(f: Column) -> Column:
+        m = F.size(f["tested"]).cast("double")
+        ranked = F.array_sort(F.transform(f["tested"], lambda t: F.struct(
+            (t["j"]["p"] * f["total"] / m / (t["end"] - t["start"])).alias("q"),
+            t["start"].alias("start"), t["end"].alias("end"), t["j"]["random"].alias("random"))))
+        return let(ranked, lambda r: let(F.aggregate(
+            F.transform(r, lambda x, i: F.when(x["q"] <= RATE * (i + 1) / m, x["q"])),
+            F.lit(-1.0), lambda s, q: F.greatest(s, F.coalesce(q, F.lit(-1.0)))),
+            lambda bound: F.filter(r, lambda x: (x["q"] <= bound) & x["random"])))
+
     total = F.aggregate(tested, F.lit(0.0), lambda s, t: s + (t["end"] - t["start"]))
-    ranked = F.array_sort(F.transform(tested, lambda t: F.struct(
-        (t["j"]["p"] * total / m / (t["end"] - t["start"])).alias("q"),
-        t["start"].alias("start"), t["end"].alias("end"), t["j"]["random"].alias("random"))))
-    bound = F.aggregate(
-        F.transform(ranked, lambda r, i: F.when(r["q"] <= RATE * (i + 1) / m, r["q"])),
-        F.lit(-1.0), lambda s, q: F.greatest(s, F.coalesce(q, F.lit(-1.0))))
-    return F.filter(ranked, lambda r: (r["q"] <= bound) & r["random"])
+    return let(F.struct(tested.alias("tested"), total.alias("total")), keep)
 
 
 def scan_secrets(docs: DataFrame, text: str = "text") -> DataFrame:

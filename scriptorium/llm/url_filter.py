@@ -84,7 +84,7 @@ def filter_urls(
     merged = rows.withColumn("kind", F.lit(1)).withColumn(
         "stack", F.lit(None).cast(stack_type)
     ).unionByName(
-        marks.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).cast("long"))
+        marks.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
         .withColumn("kind", F.lit(0)),
         allowMissingColumns=True,
     )
