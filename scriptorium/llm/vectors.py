@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from scriptorium.llm.common import components, stored
 
-COSINE, PASSES, BITS, WINDOW = 0.95, 16, 32, 64
+COSINE, PASSES, BITS, WINDOW, BLOCK = 0.95, 16, 32, 64, 2048
 
 
 def hash_keys(vectors: np.ndarray, passes: int, bits: int) -> np.ndarray:
@@ -36,6 +36,42 @@ def window_pairs(ids, vecs, new_from: int, window: int, least: float):
     return np.minimum(a, b), np.maximum(a, b)
 
 
+def units(column) -> np.ndarray:
+    vecs = np.array(column.tolist(), dtype=np.float64)
+    vecs /= np.abs(vecs).max(axis=1, keepdims=True)
+    return vecs / np.linalg.norm(vecs, axis=1, keepdims=True)
+
+
+def counted(members: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
+    """``(class, beyond)``: per class of a component how many vectors of its
+    other classes link with it. This finds the links that the windows of a
+    dense component pass over. A component is cut into blocks by hash; two
+    blocks meet in a task, which gives counts, never pairs."""
+    cut = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    dealt = members.join(cut, "root").withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = dealt.select("root", "class", "embedding", F.col("own").alias("i"), every.alias("j"))
+    right = dealt.select(
+        F.col("root").alias("to_root"), F.col("class").alias("to"), F.col("n").alias("to_n"),
+        F.col("embedding").alias("to_embedding"), F.col("own").alias("to_j"), every.alias("to_i"))
+
+    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if a.empty or b.empty:
+            return pd.DataFrame({"class": [], "beyond": []}).astype("int64")
+        x, y, n = units(a["embedding"]), units(b["to_embedding"]), b["to_n"].to_numpy()
+        out = np.zeros(len(a), dtype=np.int64)
+        for begin in range(0, len(a), 256):
+            part = slice(begin, begin + 256)
+            near = x[part] @ y.T >= least
+            near &= a["class"].to_numpy()[part, None] != b["to"].to_numpy()[None, :]
+            out[part] = near @ n
+        return pd.DataFrame({"class": a["class"].to_numpy(), "beyond": out})
+
+    met = left.groupBy("root", "i", "j").cogroup(right.groupBy("to_root", "to_i", "to_j"))
+    return met.applyInPandas(meet, "class long, beyond long").groupBy("class").agg(
+        F.sum("beyond").alias("beyond"))
+
+
 def near_vectors(
     rows: DataFrame, least: float = COSINE, passes: int = PASSES, bits: int = BITS,
     window: int = WINDOW,
@@ -44,8 +80,8 @@ def near_vectors(
 
     Equal vectors are one class, its number the smallest ``vec_id``; every
     class is put in the order of each pass and compared, in double precision,
-    with its ``window`` neighbours there. Pairs of all passes are united, so a
-    link between classes counts the members on its other side. Windows reach
+    with its ``window`` neighbours there. Pairs of all passes are united into
+    components; inside a component all links are then counted, in blocks. Windows reach
     across the bounds of partitions. Vectors that are null, empty, zero or
     hold null or non-finite components link with nothing, nor do vectors of
     another length. Rows with a repeated ``vec_id`` are one vector if equal;
@@ -86,11 +122,6 @@ def near_vectors(
         .sortWithinPartitions("size", "pass", "key", "class")
     )
 
-    def unit(column) -> np.ndarray:
-        vecs = np.array(column.tolist(), dtype=np.float64)
-        vecs /= np.abs(vecs).max(axis=1, keepdims=True)
-        return vecs / np.linalg.norm(vecs, axis=1, keepdims=True)
-
     def pair_frame(a, b):
         return pd.DataFrame({"a": a, "b": b, "edge": pd.Series([None] * len(a), dtype="object"),
                              "at": 0, "size": 0, "pass": 0, "embedding": None})
@@ -113,7 +144,7 @@ def near_vectors(
             fresh = 0 if held is None else len(held)
             for key, span in both.groupby(["size", "pass"], sort=False).indices.items():
                 a, b = window_pairs(
-                    both["class"].to_numpy()[span], unit(both["embedding"].iloc[span]),
+                    both["class"].to_numpy()[span], units(both["embedding"].iloc[span]),
                     int((span < fresh).sum()), window, least)
                 yield pair_frame(a, b)
             held = both.tail(window)
@@ -127,7 +158,7 @@ def near_vectors(
     def bridged(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("at")
         old = int((group["at"] < window).sum())
-        a, b = window_pairs(group["a"].to_numpy(), unit(group["embedding"]), old, window, least)
+        a, b = window_pairs(group["a"].to_numpy(), units(group["embedding"]), old, window, least)
         return pd.DataFrame({"a": a, "b": b})
 
     bridges = found.filter("edge is not null").groupBy("edge", "size", "pass").applyInPandas(
@@ -135,13 +166,8 @@ def near_vectors(
     pairs = stored(
         found.filter("edge is null").select("a", "b").unionByName(bridges)
         .filter("a <> b").distinct(), "pairs")
-    sizes = classes.select("class", "n")
-    turned = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    links = (
-        turned.join(sizes.withColumnRenamed("class", "b"), "b")
-        .groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("beyond"))
-    )
-    roots = components(pairs).withColumnRenamed("id", "class")
+    roots = stored(components(pairs).withColumnRenamed("id", "class"), "roots")
+    links = counted(classes.join(roots, "class").select("root", "class", "n", "embedding"), least)
     known = stored(classes.select("digest", "class", "n").join(links, "class", "left").join(roots, "class", "left").select(
         "digest", (F.col("n") - 1 + F.coalesce("beyond", F.lit(0))).alias("n_links"),
         F.coalesce("root", "class").alias("component_id")), "known")
