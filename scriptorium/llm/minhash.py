@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from scriptorium.llm.common import SIMILAR, WIDTH, components, stored, words_of
 from scriptorium.llm.decontaminate import hashes_at
 
-BANDS, ROWS, SALTS, CHUNK = 25, 5, 16, 128
+BANDS, ROWS, SALTS, CHUNK, BLOCK = 25, 5, 16, 128, 256
 U = np.uint64
 
 
@@ -130,6 +130,53 @@ def verified(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
         F.col("s") >= least - 1e-12).select("a", "b")
 
 
+def joined_roots(placed: DataFrame, nodes: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
+    """Pairs of roots ``(a, b)`` between which some nodes of one key are
+    similar enough; ``placed`` has ``key, salt, node, root``.
+
+    Within a key, nodes outside its most frequent root meet all its nodes,
+    block by block. A task compares two blocks on the whole multisets and
+    gives each pair of roots once, so pairs of nodes are never rows.
+    """
+    counts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    mixed = stored(counts.groupBy("key").agg(
+        F.count(F.lit(1)).alias("roots"), F.sum("n").alias("n"), F.max("n").alias("top"),
+        F.max_by("root", F.struct("n", "root")).alias("main")).filter("roots > 1").select(
+        "key", "main", F.ceil((F.col("n") - F.col("top")) / block).cast("int").alias("few"),
+        F.ceil(F.col("n") / block).cast("int").alias("all")), "mixed")
+    copied = mixed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    open_ = stored(placed.join(copied, ["key", "salt"]).join(
+        nodes.select("node", "marks"), "node").drop("salt"), "open")
+
+    def own(blocks: str) -> Column:
+        return F.pmod(F.xxhash64("node", F.lit("block")), F.col(blocks)).cast("int")
+
+    def every(blocks: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+    left = open_.filter("root <> main").select(
+        "key", own("few").alias("i"), every("all").alias("j"), "root", "marks")
+    right = open_.select(
+        F.col("key").alias("to_key"), every("few").alias("to_i"), own("all").alias("to_j"),
+        F.col("root").alias("to_root"), F.col("marks").alias("to_marks"))
+
+    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        found: set[tuple[int, int]] = set()
+        if len(a) and len(b):
+            sizes = np.array([len(m) for m in b["to_marks"]])
+            names, at = np.unique(np.concatenate(list(b["to_marks"])), return_inverse=True)
+            starts, others = np.r_[0, np.cumsum(sizes)[:-1]], b["to_root"].to_numpy()
+            for root, marks in zip(a["root"], a["marks"]):
+                held = np.isin(names, marks).astype(np.int64)
+                both = np.add.reduceat(held[at], starts)
+                near = both / (len(marks) + sizes - both) >= least - 1e-12
+                found.update((int(root), int(r)) for r in np.unique(others[near & (others != root)]))
+        return pd.DataFrame(sorted(found), columns=["a", "b"]).astype("int64")
+
+    met = left.groupBy("key", "i", "j").cogroup(right.groupBy("to_key", "to_i", "to_j"))
+    return stored(met.applyInPandas(meet, "a long, b long").distinct(), "joined")
+
+
 def near_duplicates(
     docs: DataFrame, least: float = SIMILAR, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -139,9 +186,9 @@ def near_duplicates(
     Texts with equal shingle multisets are one node. Nodes of equal band key
     are first compared with the key's smallest node; then nodes of the key
     that these links leave in different components are compared with each
-    other. Pairs already joined by links need no comparison, so a large group
-    of copies costs about one comparison per member. Each pair is verified on
-    the whole multisets.
+    other in blocks (``joined_roots``). Pairs already joined by links need no
+    comparison, so a large group of copies costs about one comparison per
+    member. Each pair is verified on the whole multisets.
 
     Texts without words are compared as they are; a null text or id is in no
     group (its class is its own id). Repeated rows come back repeated. Other
@@ -167,17 +214,9 @@ def near_duplicates(
     star = held.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     links = stored(verified(star, nodes, least), "star")
     roots = components(links)
-    placed = held.join(roots, held["node"] == roots["id"], "left").select(
-        "key", "node", "size", "pivot", F.coalesce("root", "node").alias("root"))
-    placed = stored(placed, "placed")
-    mixed = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y")
-    open_ = placed.join(mixed.select("key"), "key", "left_semi")
-    x, y = open_.alias("x"), open_.alias("y")
-    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root"))
-                  & (F.col("x.node") != F.col("x.pivot")) & (F.col("y.node") != F.col("y.pivot"))
-                  & (F.least("x.size", "y.size") >= (least - 1e-12) * F.greatest("x.size", "y.size")))
-    rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    links = links.unionByName(verified(stored(rest, "rest"), nodes, least))
+    placed = stored(held.join(roots, held["node"] == roots["id"], "left").select(
+        "key", "salt", "node", F.coalesce("root", "node").alias("root")), "placed")
+    links = links.unionByName(joined_roots(placed, nodes, least))
     roots = components(links)
     named = members.join(roots, members["node"] == roots["id"], "left").select(
         "doc_id", "node", F.coalesce("root", "node").alias("root"))

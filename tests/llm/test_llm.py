@@ -187,3 +187,22 @@ def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert rows.count() > 0
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "quality_classifier"
+
+
+def test_joined_roots_finds_all_roots_that_meet(spark):
+    """Blocks of two nodes against every pair compared."""
+    rng = np.random.default_rng(5)
+    base = [int(x) for x in rng.integers(0, 10**6, 40)]
+    marks = {n: sorted(set(base[: 30 + n % 8] + [int(x) for x in rng.integers(10**7, 10**8, n % 9)])) for n in range(40)}
+    root = {n: n if n % 3 else 0 for n in marks}
+    nodes = spark.createDataFrame([(n, len(m), m) for n, m in marks.items()], "node long, size int, marks array<long>")
+    placed = spark.createDataFrame(
+        [(k, n % 16, n, root[n]) for n in marks for k in (1, 2) if k == 1 or n < 10],
+        "key long, salt int, node long, root long")
+    want = {
+        frozenset((root[a], root[b])) for a in marks for b in marks if root[a] != root[b]
+        and len({*marks[a]} & {*marks[b]}) >= 0.8 * len({*marks[a]} | {*marks[b]}) - 1e-12}
+    got = {frozenset(r) for r in minhash.joined_roots(placed, nodes, 0.8, block=2).collect()}
+    assert got == want and want
+    none = placed.filter("key < 0")
+    assert minhash.joined_roots(none, nodes, 0.8).count() == 0
