@@ -132,16 +132,21 @@ def verified(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
 
 def joined_roots(placed: DataFrame, nodes: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
     """Pairs of roots ``(a, b)`` between which some nodes of one key are
-    similar enough; ``placed`` has ``key, salt, node, root``.
+    similar enough; ``placed`` has ``key, salt, node, size,
+    root``.
 
     Within a key, nodes outside its most frequent root meet all its nodes,
     block by block. A task compares two blocks on the whole multisets and
     gives each pair of roots once, so pairs of nodes are never rows.
     """
-    counts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    counts = placed.groupBy("key", "root").agg(
+        F.count(F.lit(1)).alias("n"), F.min("size").alias("low"), F.max("size").alias("high"))
+    # Two nodes alone on a key, too unlike in size to be similar, need no task.
+    apart = (F.col("n") == 2) & (F.col("low") < (least - 1e-12) * F.col("high"))
     mixed = stored(counts.groupBy("key").agg(
         F.count(F.lit(1)).alias("roots"), F.sum("n").alias("n"), F.max("n").alias("top"),
-        F.max_by("root", F.struct("n", "root")).alias("main")).filter("roots > 1").select(
+        F.max_by("root", F.struct("n", "root")).alias("main"), F.min("low").alias("low"),
+        F.max("high").alias("high")).filter("roots > 1").filter(~apart).select(
         "key", "main", F.ceil((F.col("n") - F.col("top")) / block).cast("int").alias("few"),
         F.ceil(F.col("n") / block).cast("int").alias("all")), "mixed")
     copied = mixed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -215,7 +220,7 @@ def near_duplicates(
     links = stored(verified(star, nodes, least), "star")
     roots = components(links)
     placed = stored(held.join(roots, held["node"] == roots["id"], "left").select(
-        "key", "salt", "node", F.coalesce("root", "node").alias("root")), "placed")
+        "key", "salt", "node", "size", F.coalesce("root", "node").alias("root")), "placed")
     links = links.unionByName(joined_roots(placed, nodes, least))
     roots = components(links)
     named = members.join(roots, members["node"] == roots["id"], "left").select(

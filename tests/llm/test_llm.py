@@ -197,8 +197,8 @@ def test_joined_roots_finds_all_roots_that_meet(spark):
     root = {n: n if n % 3 else 0 for n in marks}
     nodes = spark.createDataFrame([(n, len(m), m) for n, m in marks.items()], "node long, size int, marks array<long>")
     placed = spark.createDataFrame(
-        [(k, n % 16, n, root[n]) for n in marks for k in (1, 2) if k == 1 or n < 10],
-        "key long, salt int, node long, root long")
+        [(k, n % 16, n, len(marks[n]), root[n]) for n in marks for k in (1, 2) if k == 1 or n < 10],
+        "key long, salt int, node long, size int, root long")
     want = {
         frozenset((root[a], root[b])) for a in marks for b in marks if root[a] != root[b]
         and len({*marks[a]} & {*marks[b]}) >= 0.8 * len({*marks[a]} | {*marks[b]}) - 1e-12}
