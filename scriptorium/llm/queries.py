@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scriptorium.llm import (
-    chat_format, decontaminate, licenses, lm_score, minhash, packing, quality, secrets, url_filter,
-    vectors,
+    ann, chat_format, decontaminate, lexical, licenses, lm_score, minhash, packing, phrases, quality,
+    secrets, url_filter, vectors,
 )
 from scriptorium.llm.common import table
 
@@ -81,9 +81,23 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vecs = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vecs, vecs.filter("vec_id % 20 = 0"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_quality, op3_minhash, op4_url_filter, op5_lm_score, op6_chat_format,
-    op7_packing, op8_licenses, op9_secrets, op10_vectors)}
+    op7_packing, op8_licenses, op9_secrets, op10_vectors, op11_phrases, op12_lexical, op13_ann)}
 
 URL_SQL = r"""
 WITH cut AS (
@@ -137,4 +151,64 @@ SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared, any_value(n_item)
 FROM s d JOIN s i ON d.shingle = i.shingle AND d.side = 'd' AND i.side = 'i' JOIN n ON n.id = i.id
 GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(n_item) - 1e-9"""
 
-ORACLE = {"op1_decontaminate": CONTAINED_SQL, "op4_url_filter": URL_SQL, "op6_chat_format": CHAT_SQL}
+PHRASES_SQL = r"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS piece, p FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS p
+    FROM documents)),
+spelled AS (SELECT lang, piece, [w FOR w IN regexp_split_to_array(p, '[ \t]+') IF w <> ''] AS w FROM pieces),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM spelled GROUP BY lang),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM spelled),
+grams AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+  FROM starts, (SELECT unnest([1, 2, 3, 4, 5]) AS size) WHERE i + size - 1 <= len(w)
+  GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE size > 1),
+inner_ AS (
+  SELECT DISTINCT lang, array_to_string(w[s:s + z - 1], ' ') AS phrase, a
+  FROM (SELECT lang, w, size, a, unnest(range(2, size)) AS z FROM c), (SELECT unnest([1, 2, 3, 4]) AS s)
+  WHERE s + z - 1 <= size),
+kept AS (
+  SELECT * FROM c WHERE NOT EXISTS (
+    SELECT 1 FROM inner_ h WHERE h.lang = c.lang AND h.phrase = c.phrase AND 100 * h.a >= 100 * c.a)),
+cuts AS (
+  SELECT *, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:size], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM kept)),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, k, h.f AS l, t.f AS r, n,
+    CAST((1000 * CAST(a AS HUGEINT) * n) // (CAST(h.f AS HUGEINT) * t.f) AS BIGINT) AS score
+  FROM cuts JOIN grams h ON h.lang = cuts.lang AND h.phrase = head
+  JOIN grams t ON t.lang = cuts.lang AND t.phrase = tail JOIN total ON total.lang = cuts.lang),
+least_ AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM least_ QUALIFY rank <= 2000"""
+
+LEXICAL_SQL = r"""
+WITH terms AS (
+  SELECT side, id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT 'd' AS side, doc_id AS id, text FROM documents
+        UNION ALL SELECT 'i', item_id, text FROM benchmark)),
+tf AS (SELECT side, id, term, count(*) AS tf FROM terms GROUP BY ALL),
+lengths AS (SELECT id, CAST(sum(tf) AS BIGINT) AS n FROM tf WHERE side = 'd' GROUP BY id),
+total AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM lengths),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, total WHERE side = 'd' GROUP BY term),
+damped AS (SELECT id, 100 - 75 + ((75 * n * big_n) // big_l) AS m FROM lengths, total),
+scores AS (
+  SELECT i.id AS item_id, d.id AS doc_id,
+    CAST(sum(i.tf * w * ((1000000000 * d.tf) // (1000 * d.tf + 8 * m))) AS BIGINT) AS score
+  FROM tf i JOIN tf d ON i.side = 'i' AND d.side = 'd' AND d.term = i.term
+  JOIN weights ON weights.term = i.term JOIN damped ON damped.id = d.id
+  GROUP BY i.id, d.id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+  doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10"""
+
+ORACLE = {"op1_decontaminate": CONTAINED_SQL, "op4_url_filter": URL_SQL, "op6_chat_format": CHAT_SQL,
+          "op11_phrases": PHRASES_SQL, "op12_lexical": LEXICAL_SQL}
