@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scriptorium.llm.common import stored
 
-TOP, ITEMS = 10, 256  # documents per item; items per block
+TOP = 10
 HASHES, BITS, ROWS, CELLS = 4, 16, 512, 1 << 25  # CELLS: bits of one block's signatures at most
-BROADCAST_BYTES = 8 << 20
+ITEM_BYTES = 16 << 20  # terms of the items searched at once
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 # A signature holds a term once per level that its count reaches: 1, 2, 3, 4, 6, 8, 12, 16, ...
 LEVELS = np.array(sorted({1} | {b << i for i in range(62) for b in (2, 3)}), dtype=np.int64)[:120]
@@ -89,16 +89,16 @@ def build_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class ItemBlock:
-    """The terms and weights of a block of items, ready for signatures."""
+    """The terms and weights of some items, ready for signatures. It goes to
+    the tasks with their code, so its size is bounded by ``ITEM_BYTES``."""
 
-    def __init__(self, items: list[dict], floors: bool):
-        names = sorted({t["term"] for item in items for t in item["terms"]})
+    def __init__(self, items: dict[int, list[tuple[bytes, int]]]):
+        names = sorted({term for terms in items.values() for term, _ in terms})
         place = {name: i for i, name in enumerate(names)}
+        self.items, self.ids = items, list(items)
         self.hashes = _hashes(names) if names else np.zeros(0, np.uint64)
-        self.ids = [item["item_id"] for item in items]
-        self.floors = [item["floor"] if floors else 0 for item in items]
-        self.terms = [np.array([place[t["term"]] for t in item["terms"]]) for item in items]
-        self.weights = [np.array([t["weight"] for t in item["terms"]], dtype=np.float64) for item in items]
+        self.terms = [np.array([place[t] for t, _ in terms], dtype=int) for terms in items.values()]
+        self.weights = [np.array([w for _, w in terms], dtype=np.float64) for terms in items.values()]
 
     def bounds(self, lengths, most, bits: int, slices: bytes, n_docs: int, n_terms: int) -> np.ndarray:
         """Per item and document of a block a score that is not exceeded.
@@ -135,71 +135,51 @@ class ItemBlock:
         return sums
 
 
-def _bounded(n_docs: int, n_terms: int, top: int | None):
+def _bounded(block: ItemBlock, n_docs: int, n_terms: int, top: int | None, floors: dict[int, int]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Documents not below an item's floor; with ``top`` only as many of a
         task, those with the highest bounds."""
-        blocks: dict[int, ItemBlock] = {}
-        best: dict[tuple, list[tuple[int, int]]] = {}
+        floor = np.array([[max(floors.get(i, 1), 1)] for i in block.ids], dtype=np.int64)
+        best: list[list[tuple[int, int]]] = [[] for _ in block.ids]
 
         def rows(found: list[tuple]) -> pa.RecordBatch:
-            cols = list(zip(*found)) if found else [[], [], [], []]
+            cols = list(zip(*found)) if found else [[], [], []]
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in cols], names=["item_block", "item_id", "doc_id", "bound"])
-
-        def kept() -> pa.RecordBatch:
-            return rows([(*key, d, b) for key, some in best.items() for b, d in some])
+                [pa.array(c, pa.int64()) for c in cols], names=["item_id", "doc_id", "bound"])
 
         for batch in batches:
-            for row in batch.to_pylist():
-                number = row["item_block"]
-                if number not in blocks:
-                    if len(blocks) >= 8:
-                        blocks.clear()
-                    blocks[number] = ItemBlock(row["items"], top is None)
-                block, ids = blocks[number], np.array([i or 0 for i in row["ids"]], dtype=np.int64)
+            for at in range(len(batch)):
+                row = batch.slice(at, 1).to_pylist()[0]
+                ids = np.array([i or 0 for i in row["ids"]], dtype=np.int64)
                 bound = block.bounds(
                     np.array(row["lengths"]), np.array(row["most"]), row["bits"], row["slices"],
                     n_docs, n_terms)
                 bound[:, [i is None for i in row["ids"]]] = 0
                 if top is None:
-                    item, doc = np.nonzero(bound >= np.maximum(block.floors, 1)[:, None])
+                    item, doc = np.nonzero(bound >= floor)
                     yield rows(list(zip(
-                        [number] * len(item), [block.ids[i] for i in item], ids[doc].tolist(),
-                        bound[item, doc].tolist())))
+                        [block.ids[i] for i in item], ids[doc].tolist(), bound[item, doc].tolist())))
                     continue
                 take = min(top, len(ids))
                 for i, some in enumerate(np.argpartition(-bound, take - 1, axis=1)[:, :take]):
-                    own = best.setdefault((number, block.ids[i]), [])
-                    own += [(int(bound[i, d]), int(ids[d])) for d in some if bound[i, d]]
-                    best[number, block.ids[i]] = sorted(own, reverse=True)[:top]
-                if len(best) > 100_000:
-                    yield kept()
-                    best.clear()
-        if best:
-            yield kept()
+                    best[i] += [(int(bound[i, d]), int(ids[d])) for d in some if bound[i, d]]
+                    best[i] = sorted(best[i], reverse=True)[:top]
+        yield rows([(block.ids[i], d, b) for i, some in enumerate(best) for b, d in some])
     return run
 
 
-def _scored(n_docs: int, n_terms: int):
+def _scored(block: ItemBlock, n_docs: int, n_terms: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Exact scores of documents for some items of a block."""
-        blocks: dict[int, dict] = {}
+        """Exact scores of documents for the wanted items."""
         for batch in batches:
             out: list[tuple[int, int, int]] = []
             for row in batch.to_pylist():
-                if row["item_block"] not in blocks:
-                    if len(blocks) >= 8:
-                        blocks.clear()
-                    blocks[row["item_block"]] = {
-                        item["item_id"]: [(t["term"], t["weight"]) for t in item["terms"]] for item in row["items"]}
-                items = blocks[row["item_block"]]
                 counts = Counter(_WORD.findall(row["text"].lower()))
                 damper = 8 * (25 + (75 * counts.total() * n_docs) // n_terms)
                 for item in row["wanted"]:
                     score = sum(
                         weight * ((1_000_000_000 * tf) // (1000 * tf + damper))
-                        for term, weight in items[item] if (tf := counts.get(term)))
+                        for term, weight in block.items[item] if (tf := counts.get(term)))
                     if score > 0:
                         out.append((item, row["doc_id"], score))
             cols = list(zip(*out)) if out else [[], [], []]
@@ -223,7 +203,8 @@ def search(
 
     Signatures bound every score from above. The exact scores of the documents
     with the highest bounds give each item a floor; every document whose bound
-    is not below it is scored exactly. Null texts hold no terms, as empty ones;
+    is not below it is scored exactly. More items than ``ITEM_BYTES`` holds are
+    searched group after group. Null texts hold no terms, as empty ones;
     an item or document without terms is in no row. The rows of one item_id are
     one text; each row of ``docs`` is a document, also where ids repeat. Rows
     with a null id are left out of the results but count in the statistics.
@@ -243,52 +224,42 @@ def search(
     held = docs.select(F.explode(F.array_distinct(terms_of(F.col(text_col)))).alias("term"))
     df = held.join(asked.select("term").distinct(), "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weight = F.floor(1000 * F.log((F.lit(2.0 * n_docs + 2)) / (2 * F.col("df") + 1)))
-    n_items, size = asked.agg(F.countDistinct("item_id"), F.sum(F.octet_length("term") + 24)).first()
-    if not n_items:
-        return empty
-    n_blocks = -(-n_items // ITEMS)
-    weighed = asked.join(df, "term").groupBy("item_id").agg(
-        F.collect_list(F.struct(F.col("term").cast("binary").alias("term"), (weight * F.col("reps")).alias("weight")))
-        .alias("terms"))
+    size = asked.agg(F.sum(F.octet_length("term") + 64)).first()[0]
+    groups = -(-(size or 0) // ITEM_BYTES)
     weighed = stored(
-        weighed.withColumn("item_block", F.pmod(F.xxhash64("item_id"), F.lit(n_blocks))), "items")
-
-    def with_items(left: DataFrame, floors: DataFrame) -> DataFrame:
-        """Rows next to the items of their block. Items beyond the broadcast
-        bound are shuffled, each block in copies so that no task gets all rows."""
-        blocks = weighed.join(floors, "item_id", "left").groupBy("item_block").agg(
-            F.collect_list(F.struct("item_id", "terms", F.coalesce("floor", F.lit(0)).alias("floor"))).alias("items"))
-        if size <= BROADCAST_BYTES:
-            return left.join(F.broadcast(blocks), "item_block")
-        salts = max(1, 4096 // n_blocks)
-        copies = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        return left.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")).join(
-            copies, ["item_block", "salt"]).drop("salt")
-
-    def scores(pairs: DataFrame) -> DataFrame:
-        """Pairs of an item and a document to exact scores; the texts of a
-        document are read once per block of items."""
-        wanted = pairs.groupBy("doc_id", "item_block").agg(F.collect_set("item_id").alias("wanted"))
-        texts = docs.filter(F.col(text_col).isNotNull()).select(
-            F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-        rows = with_items(texts.join(wanted, "doc_id"), no_floor)
-        return rows.select("doc_id", "text", "wanted", "item_block", "items").mapInArrow(
-            _scored(n_docs, n_terms), "item_id long, doc_id long, score long")
+        asked.join(df, "term").groupBy("item_id").agg(F.collect_list(F.struct(
+            F.col("term").cast("binary").alias("term"), (weight * F.col("reps")).alias("weight"))).alias("terms")),
+        "items")
+    texts = docs.filter(F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
 
     def first(rows: DataFrame, by: str) -> DataFrame:
         window = Window.partitionBy("item_id").orderBy(F.desc(by), "doc_id")
         return rows.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= top)
 
-    no_floor = spark.createDataFrame([], "item_id long, floor long")
-    every = index.withColumn("item_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
-    shape = "item_block long, item_id long, doc_id long, bound long"
-    likely = with_items(every, no_floor).mapInArrow(_bounded(n_docs, n_terms, top), shape)
-    likely = stored(first(likely, "bound").drop("rank"), "likely")
-    tried = first(scores(likely), "score")
-    floors = tried.groupBy("item_id").agg(
-        F.when(F.count(F.lit(1)) >= top, F.min("score")).otherwise(F.lit(0)).alias("floor"))
-    floors = stored(floors, "floors")
-    open_ = with_items(every, floors).mapInArrow(_bounded(n_docs, n_terms, None), shape)
-    open_ = stored(open_.drop("bound"), "candidates")
-    return first(scores(open_), "score").select(
-        "item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
+    def ranked(group: int) -> DataFrame:
+        """The search for the items of one group, which are about ``ITEM_BYTES``."""
+        own = weighed.filter(F.pmod(F.xxhash64("item_id"), F.lit(groups)) == group)
+        block = ItemBlock({r["item_id"]: [(bytes(t), w) for t, w in r["terms"]] for r in own.toLocalIterator()})
+
+        def bounded(most: int | None, floors: dict[int, int], label: str) -> DataFrame:
+            return stored(index.mapInArrow(
+                _bounded(block, n_docs, n_terms, most, floors), "item_id long, doc_id long, bound long"), label)
+
+        def scores(pairs: DataFrame) -> DataFrame:
+            wanted = pairs.groupBy("doc_id").agg(F.collect_set("item_id").alias("wanted"))
+            return first(
+                texts.join(wanted, "doc_id").mapInArrow(
+                    _scored(block, n_docs, n_terms), "item_id long, doc_id long, score long"), "score")
+
+        likely = first(bounded(top, {}, "likely"), "bound")
+        tried = scores(likely).groupBy("item_id").agg(
+            F.count(F.lit(1)).alias("n"), F.min("score").alias("floor")).filter(F.col("n") >= top)
+        floors = {r["item_id"]: r["floor"] for r in tried.collect()}  # one number per item of the group
+        return scores(bounded(None, floors, "candidates"))
+
+    found = empty
+    for group in range(groups):
+        found = found.unionByName(ranked(group).select(
+            "item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score"))
+    return found

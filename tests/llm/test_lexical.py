@@ -62,10 +62,9 @@ def asked(docs):
 
 @pytest.mark.parametrize("small", [False, True])
 def test_ranking_equals_scoring_all(spark, monkeypatch, small):
-    if small:  # several blocks of items and documents, shuffled
-        monkeypatch.setattr(lexical, "ITEMS", 10)
+    if small:  # several groups of items, many blocks of documents
         monkeypatch.setattr(lexical, "ROWS", 16)
-        monkeypatch.setattr(lexical, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(lexical, "ITEM_BYTES", 30_000)
     docs = texts()
     items = asked(docs)
     table = spark.createDataFrame(
@@ -88,8 +87,8 @@ def test_bounds_are_never_below_scores_and_exclude_documents():
     spelled = {i or -1: Counter(lexical._WORD.findall(t)) for i, t in docs}
     n_docs, n_terms = sum(len(b["ids"]) for b in blocks), sum(sum(b["lengths"]) for b in blocks)
     assert n_docs == sum(bool(lexical._WORD.findall(t)) for _, t in docs)
-    terms = [{"term": t, "weight": 10 + i} for i, t in enumerate(sorted(set().union(*spelled.values()))[::9])]
-    block = lexical.ItemBlock([{"item_id": 1, "terms": terms}, {"item_id": 2, "terms": terms[:3]}], False)
+    terms = [(t, 10 + i) for i, t in enumerate(sorted(set().union(*spelled.values()))[::9])]
+    block = lexical.ItemBlock({1: terms, 2: terms[:3]})
     below = 0
     for b in blocks:
         lengths, most = np.array(b["lengths"]), np.array(b["most"])
@@ -99,7 +98,7 @@ def test_bounds_are_never_below_scores_and_exclude_documents():
                 continue  # the other row of a repeated id
             damper = 8 * (25 + (75 * int(lengths[j]) * n_docs) // n_terms)
             for i, some in enumerate((terms, terms[:3])):
-                exact = sum(t["weight"] * ((10**9 * n) // (1000 * n + damper)) for t in some if (n := spelled[doc][t["term"]]))
+                exact = sum(w * ((10**9 * n) // (1000 * n + damper)) for t, w in some if (n := spelled[doc][t]))
                 assert bounds[i, j] >= exact
                 below += bounds[i, j] == 0
     assert below > 20
