@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from scriptorium.llm.common import stored
 
-K, RECALL = 20, 0.95
+K, RECALL = 20, 0.93
 SAMPLE, BRANCHES, LEAF = 32_768, 16, 32  # the tree is fitted on at most SAMPLE vectors
 PROBES = 256  # queries with exact answers, on which the number of leaves is set
 BIN_ROWS, BIN_QUERIES = 65_536, 4_096
@@ -90,33 +90,57 @@ def fit_tree(vectors: np.ndarray, branches: int = BRANCHES, leaf: int = LEAF, ro
     return tree
 
 
-def best_of(queries, query_ids, vectors, ids, k: int):
-    """Exact top ``k`` of one block for each query: (query row, row, score) in
-    the order of queries, larger scores, smaller ids.
+class Best:
+    """The top ``k`` (larger scores, then smaller ids) per query over many blocks.
 
     A matrix product finds who comes into question, with a margin for its
-    rounding; their products are then summed in order of the components, so
-    that equal vectors get equal scores wherever they are.
+    rounding: only what reaches the k-th score held so far. Those products are
+    then summed in order of the components, so that equal vectors get equal
+    scores wherever they are.
     """
-    found: list[tuple[np.ndarray, ...]] = []
-    margin = 4 * vectors.shape[1] * np.finfo(float).eps * np.abs(vectors).max(initial=0.0)
-    for begin in range(0, len(queries), 256):
-        part = queries[begin : begin + 256]
-        rough = part @ vectors.T
-        rough[query_ids[begin : begin + 256, None] == ids[None, :]] = -np.inf
-        take = min(k, len(ids))
-        edge = np.partition(rough, len(ids) - take, axis=1)[:, len(ids) - take]
-        edge = edge - margin * np.abs(part).sum(axis=1)
-        q, r = np.nonzero((rough >= edge[:, None]) & (rough > -np.inf))
-        score = np.cumsum(part[q] * vectors[r], axis=1)[:, -1]
-        order = np.lexsort((ids[r], -score, q))
-        q, r, score = q[order], r[order], score[order]
-        place = np.arange(len(q)) - np.searchsorted(q, q)
-        keep = place < k
-        found.append((q[keep] + begin, r[keep], score[keep]))
-    if not found:
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    return tuple(np.concatenate(x) for x in zip(*found))
+
+    def __init__(self, queries: np.ndarray, query_ids: np.ndarray, k: int):
+        self.queries, self.query_ids, self.k = queries, query_ids, k
+        self.held = [np.zeros(0, int), np.zeros(0), np.zeros(0, int), np.zeros(0, int)]
+        self.new: list[tuple[np.ndarray, ...]] = []
+        self.waiting = 0
+        self.edge = np.full(len(queries), -np.inf)
+        self.length = np.abs(queries).sum(axis=1)
+
+    def offer(self, own: np.ndarray, vectors: np.ndarray, ids: np.ndarray, tags: np.ndarray) -> None:
+        """Rows that the queries with the numbers ``own`` shall look at; a tag
+        is kept with its row."""
+        slack = 4 * vectors.shape[1] * np.finfo(float).eps * np.abs(vectors).max(initial=0.0)
+        step = max(1, 2_000_000 // max(len(ids), 1))
+        for begin in range(0, len(own), step):
+            part = own[begin : begin + step]
+            rough = self.queries[part] @ vectors.T
+            rough[self.query_ids[part, None] == ids[None, :]] = np.nan
+            least = self.edge[part]
+            if len(ids) > self.k:
+                top = np.partition(np.nan_to_num(rough, nan=-np.inf), len(ids) - self.k, axis=1)
+                least = np.maximum(least, top[:, len(ids) - self.k])
+            q, r = np.nonzero(rough >= (least - slack * self.length[part])[:, None])
+            for at in range(0, len(q), 100_000):
+                i, j = part[q[at : at + 100_000]], r[at : at + 100_000]
+                score = np.cumsum(self.queries[i] * vectors[j], axis=1)[:, -1]
+                self.new.append((i, score, ids[j], tags[j]))
+                self.waiting += len(i)
+                if self.waiting > 500_000:
+                    self.merge()
+
+    def merge(self) -> list[np.ndarray]:
+        """Query number, score, id and tag of the rows held, in order."""
+        if self.new:
+            q, score, ids, tags = (np.concatenate(x) for x in zip(self.held, *self.new))
+            order = np.lexsort((ids, -score, q))
+            q, score, ids, tags = q[order], score[order], ids[order], tags[order]
+            place = np.arange(len(q)) - np.searchsorted(q, q)
+            keep = place < self.k
+            self.held, self.new, self.waiting = [q[keep], score[keep], ids[keep], tags[keep]], [], 0
+            last = place == self.k - 1
+            self.edge[q[last]] = score[last]
+        return self.held
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
@@ -162,18 +186,13 @@ def _probe_answers(index: DataFrame, probes: np.ndarray, probe_ids: np.ndarray,
     rows: a task keeps the best ``k`` per probe."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = [np.zeros(0, int)] * 3 + [np.zeros(0)]
+        best, every = Best(probes, probe_ids, k), np.arange(len(probes))
         for batch in batches:
-            ids, leaf = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            q, r, score = best_of(probes, probe_ids, _matrix(batch.column(1), dim), ids, k)
-            held = [np.concatenate(x) for x in zip(held, (q, ids[r], leaf[r], score))]
-            order = np.lexsort((held[1], -held[3], held[0]))
-            held = [x[order] for x in held]
-            keep = np.arange(len(order)) - np.searchsorted(held[0], held[0]) < k
-            held = [x[keep] for x in held]
+            best.offer(every, _matrix(batch.column(1), dim), batch.column(0).to_numpy(), batch.column(2).to_numpy())
+        probe, score, ids, leaf = best.merge()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(held[0], pa.int32()), pa.array(held[1], pa.int64()), pa.array(held[2], pa.int32()),
-             pa.array(held[3], pa.float64())], names=["probe", "id", "leaf", "score"])
+            [pa.array(probe, pa.int32()), pa.array(ids, pa.int64()), pa.array(leaf, pa.int32()),
+             pa.array(score, pa.float64())], names=["probe", "id", "leaf", "score"])
 
     best = index.mapInArrow(run, "probe int, id long, leaf int, score double")
     window = Window.partitionBy("probe").orderBy(F.desc("score"), "id")
@@ -247,31 +266,23 @@ def _visits(queries: DataFrame, tree: Tree, visits: int, bins: dict[int, tuple[i
 def _meet(dim: int, k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
         """The best of one bin for one block of queries."""
-        if not rows.num_rows or not queries.num_rows:
-            found = [np.zeros(0, int), np.zeros(0, int), np.zeros(0)]
-        else:
-            ids, leaf = rows["id"].to_numpy(), rows["leaf"].to_numpy()
-            vectors, query_ids = _matrix(rows["vector"], dim), queries["id"].to_numpy()
-            asked = _matrix(queries["vector"], dim)
-            lists = queries["leaves"].to_pylist()
-            pairs = np.array([(x, i) for i, some in enumerate(lists) for x in some], dtype=np.int64)
-            pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
-            order = np.argsort(leaf, kind="stable")
-            parts = []
-            for x in np.unique(pairs[:, 0]):
-                own = pairs[slice(*np.searchsorted(pairs[:, 0], [x, x + 1])), 1]
-                at = order[slice(*np.searchsorted(leaf, [x, x + 1], sorter=order))]
-                if len(at):
-                    q, r, score = best_of(asked[own], query_ids[own], vectors[at], ids[at], k)
-                    parts.append((own[q], ids[at[r]], score))
-            found = [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, int)] * 3
-            order = np.lexsort((found[1], -found[2], found[0]))
-            found = [x[order] for x in found]
-            keep = np.arange(len(order)) - np.searchsorted(found[0], found[0]) < k
-            found = [query_ids[found[0][keep]], found[1][keep], found[2][keep]]
+        query_ids = queries["id"].to_numpy() if queries.num_rows else np.zeros(0, int)
+        best = Best(_matrix(queries["vector"], dim) if len(query_ids) else np.zeros((0, dim)), query_ids, k)
+        if rows.num_rows and len(query_ids):
+            ids, leaf, vectors = rows["id"].to_numpy(), rows["leaf"].to_numpy(), _matrix(rows["vector"], dim)
+            wanted = queries["leaves"].combine_chunks()
+            asker = np.repeat(np.arange(len(query_ids)), wanted.value_lengths().to_numpy())
+            asked = wanted.flatten().to_numpy()
+            by_leaf, by_row = np.argsort(asked, kind="stable"), np.argsort(leaf, kind="stable")
+            for x in np.unique(leaf):
+                own = asker[by_leaf[slice(*np.searchsorted(asked, [x, x + 1], sorter=by_leaf))]]
+                at = by_row[slice(*np.searchsorted(leaf, [x, x + 1], sorter=by_row))]
+                if len(own):
+                    best.offer(own, vectors[at], ids[at], ids[at])
+        query, score, found, _ = best.merge()
         return pa.table({
-            "query_id": pa.array(found[0], pa.int64()), "vec_id": pa.array(found[1], pa.int64()),
-            "score": pa.array(found[2], pa.float64())})
+            "query_id": pa.array(query_ids[query], pa.int64()), "vec_id": pa.array(found, pa.int64()),
+            "score": pa.array(score, pa.float64())})
     return run
 
 

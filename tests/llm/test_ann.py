@@ -83,7 +83,9 @@ def test_fewer_leaves_are_read_than_there_are(clouds):
     vectors = np.array(list(clouds.values()))
     tree = ann.fit_tree(vectors)
     leaf = tree.leaf_of(vectors)
-    q, r, _ = ann.best_of(vectors[:400:20], np.arange(0, 400, 20), vectors, np.arange(len(vectors)), 20)
+    best = ann.Best(vectors[:400:20], np.arange(0, 400, 20), 20)
+    best.offer(np.arange(20), vectors, np.arange(len(vectors)), np.arange(len(vectors)))
+    q, _, r, _ = best.merge()
     visits = ann.calibrate(tree, vectors[:400:20], list(zip(q.tolist(), leaf[r].tolist())), 0.95)
     assert 1 <= visits < sum(not c for c in tree.children) / 2
     seen = [set(tree.leaves_in_order(p, visits)) for p in vectors[:400:20] @ tree.centers.T]
