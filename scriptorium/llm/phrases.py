@@ -182,54 +182,59 @@ def _compact(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(old, symbols), old
 
 
+def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+    """One shard at a time; its words are Python objects only meanwhile."""
+    for batch in batches:
+        for at in range(len(batch)):
+            yield batch.slice(at, 1).to_pylist()[0]
+
+
 def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of neighbouring frequent words per shard."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            ids, frequent = np.frombuffer(row["ids"], dtype="<i4"), np.zeros(len(row["words"]) + 1, bool)
-            frequent[row["frequent"]] = True
-            symbols, old = _compact(chains(ids, frequent[ids[:-1]] & frequent[ids[1:]]))
-            if not len(symbols):
-                continue
-            for words, count, _, _ in FmIndex(symbols, 2).grams(2):
-                names = np.array([""] + row["words"], dtype=object)[old][words]
-                a, b = old[words[:, 0]] - 1, old[words[:, 1]] - 1
-                for at in range(0, len(count), 50_000):
-                    part = slice(at, at + 50_000)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([row["shard"]] * len(count[part]), pa.int64()),
-                        pa.array([row["lang"]] * len(count[part]), pa.string()),
-                        pa.array(a[part], pa.int32()), pa.array(b[part], pa.int32()),
-                        pa.array([" ".join(x) for x in names[part]], pa.string()),
-                        pa.array(count[part], pa.int64())],
-                        names=["shard", "lang", "a", "b", "phrase", "n"])
+    for row in _rows(batches):
+        ids, frequent = np.frombuffer(row["ids"], dtype="<i4"), np.zeros(len(row["words"]) + 1, bool)
+        frequent[row["frequent"]] = True
+        symbols, old = _compact(chains(ids, frequent[ids[:-1]] & frequent[ids[1:]]))
+        if not len(symbols):
+            continue
+        for words, count, _, _ in FmIndex(symbols, 2).grams(2):
+            names = np.array([""] + row["words"], dtype=object)[old][words]
+            a, b = old[words[:, 0]] - 1, old[words[:, 1]] - 1
+            for at in range(0, len(count), 50_000):
+                part = slice(at, at + 50_000)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([row["shard"]] * len(count[part]), pa.int64()),
+                    pa.array([row["lang"]] * len(count[part]), pa.string()),
+                    pa.array(a[part], pa.int32()), pa.array(b[part], pa.int32()),
+                    pa.array([" ".join(x) for x in names[part]], pa.string()),
+                    pa.array(count[part], pa.int64())],
+                    names=["shard", "lang", "a", "b", "phrase", "n"])
 
 
 def _grams(depth: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Counts and sole neighbours of the grams of linked words per shard."""
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids = np.frombuffer(row["ids"], dtype="<i4").astype(np.int64)
-                width = len(row["words"]) + 1
-                wanted = np.sort(np.array([a * width + b for a, b in row["links"]], dtype=np.int64))
-                key = np.where((ids[:-1] >= 0) & (ids[1:] >= 0), ids[:-1] * width + ids[1:], -1)
-                at = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
-                symbols, old = _compact(chains(ids, wanted[at] == key))
-                if not len(symbols):
-                    continue
-                names = np.array([None] + row["words"], dtype=object)[old]
-                for words, count, left, right in FmIndex(symbols, depth).grams(depth):
-                    for begin in range(0, len(count), 50_000):
-                        part = slice(begin, begin + 50_000)
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array([row["lang"]] * len(count[part]), pa.string()),
-                            pa.array([" ".join(x) for x in names[words[part]]], pa.string()),
-                            pa.array(np.full(len(count[part]), words.shape[1]), pa.int32()),
-                            pa.array(count[part], pa.int64()),
-                            pa.array(names[left[part]], pa.string()),
-                            pa.array(names[right[part]], pa.string())],
-                            names=["lang", "phrase", "size", "n", "left", "right"])
+        for row in _rows(batches):
+            ids = np.frombuffer(row["ids"], dtype="<i4").astype(np.int64)
+            width = len(row["words"]) + 1
+            wanted = np.sort(np.array([a * width + b for a, b in row["links"]], dtype=np.int64))
+            key = np.where((ids[:-1] >= 0) & (ids[1:] >= 0), ids[:-1] * width + ids[1:], -1)
+            at = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
+            symbols, old = _compact(chains(ids, wanted[at] == key))
+            if not len(symbols):
+                continue
+            names = np.array([None] + row["words"], dtype=object)[old]
+            for words, count, left, right in FmIndex(symbols, depth).grams(depth):
+                for begin in range(0, len(count), 50_000):
+                    part = slice(begin, begin + 50_000)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([row["lang"]] * len(count[part]), pa.string()),
+                        pa.array([" ".join(x) for x in names[words[part]]], pa.string()),
+                        pa.array(np.full(len(count[part]), words.shape[1]), pa.int32()),
+                        pa.array(count[part], pa.int64()),
+                        pa.array(names[left[part]], pa.string()),
+                        pa.array(names[right[part]], pa.string())],
+                        names=["lang", "phrase", "size", "n", "left", "right"])
     return run
 
 
