@@ -74,19 +74,21 @@ def cut_shards(batches: Iterable[pa.RecordBatch], limit: int = SHARD_WORDS) -> I
 
 
 def _suffix_order(ids: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in the order of their first ``depth`` symbols, ties by place.
+    """Suffixes in the order of their first ``depth`` symbols, ties in any.
     Ranks of twice as many symbols come from pairs of ranks."""
     rank, have, n = ids.astype(np.int64), 1, len(ids)
     while have < depth:
         step = min(have, depth - have)
         after = np.zeros(n, dtype=np.int64)
         after[: n - step] = rank[step:]
-        order = np.argsort(key := rank * (int(rank.max()) + 1) + after, kind="stable")
-        changed = np.diff(key[order], prepend=-1) != 0
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.cumsum(changed)
+        key = rank * (int(rank.max()) + 1) + after
+        order = np.argsort(key)
         have += step
-    return np.argsort(rank, kind="stable")
+        if have < depth:
+            changed = np.diff(key[order], prepend=-1) != 0
+            rank = np.empty(n, dtype=np.int64)
+            rank[order] = np.cumsum(changed)
+    return order
 
 
 class HalfIndex:
@@ -270,14 +272,13 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, shard
     frequent = (
         local.join(common, ["lang", "phrase"], "left_semi")
         .groupBy("shard").agg(F.collect_list("id").alias("frequent")))
-    pairs = stored(
+    pairs = (
         shards.drop("counts").join(frequent, "shard").select("shard", "lang", "words", "ids", "frequent")
-        .mapInArrow(_pairs, "shard long, lang string, a int, b int, phrase string, n long"), "pairs")
-    linked = (
-        pairs.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
-        .filter(F.col("f") >= least).select("lang", "phrase"))
+        .mapInArrow(_pairs, "shard long, lang string, a int, b int, phrase string, n long"))
+    # A pair has one row per shard at most; they meet once.
+    whole = F.sum("n").over(Window.partitionBy("lang", "phrase"))
     links = (
-        pairs.join(linked, ["lang", "phrase"], "left_semi")
+        pairs.withColumn("f", whole).filter(F.col("f") >= least)
         .groupBy("shard").agg(F.collect_list(F.struct("a", "b")).alias("pairs")))
     chained = (
         shards.drop("counts").join(links, "shard")
