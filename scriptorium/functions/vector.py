@@ -37,14 +37,24 @@ def cosine_distance(a: Column, b: Column) -> Column:
 
 def unit(a: Column) -> Column:
     """The vector scaled to length 1; null for a zero vector."""
-    size = norm(a)
-    return F.when(size > 0, F.transform(a, lambda x: (x / size).cast("float")))
+    # As an array of one the length is computed once, not for each element.
+    scaled = F.transform(
+        F.array(norm(a)),
+        lambda size: F.when(size > 0, F.transform(a, lambda x: (x / size).cast("float"))),
+    )
+    return F.get(scaled, F.lit(0))
 
 
 def has_dim(a: Column, dim: int) -> Column:
     return F.coalesce(F.size(a) == dim, F.lit(False))
 
 
+def has_direction(a: Column) -> Column:
+    """Whether a vector has elements, all finite, and not all zero."""
+    finite = F.forall(a, lambda x: F.coalesce((F.abs(x) < float("inf")) & ~F.isnan(x), F.lit(False)))
+    return F.coalesce(finite & F.exists(a, lambda x: x != 0), F.lit(False))
+
+
 def text_form(a: Column) -> Column:
     """The vector as text; tells -0.0 from 0.0, as value equality does not."""
     return a.cast("string")

@@ -1,18 +1,15 @@
-"""Nearest neighbours of one query vector by cosine distance."""
+"""Nearest neighbours of one query vector, or of many, by cosine distance."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from scriptorium.functions import vector as V
+from scriptorium.functions.vector import has_direction
 
 
 def vector_of(embeddings: DataFrame, id_value: int, id_col: str = "paper_id") -> list[float]:
@@ -39,7 +36,8 @@ def distance_to(query: Sequence[float]) -> Callable[[str], Column]:
         matrix = flat.astype("float64").reshape(-1, len(target))
         distances = np.full(len(vectors), np.nan)
         with np.errstate(divide="ignore", invalid="ignore"):
-            cosines = (matrix @ target) / np.linalg.norm(matrix, axis=1)
+            # Summed row by row, so that copies of a vector tie exactly.
+            cosines = (matrix * target).sum(axis=1) / np.linalg.norm(matrix, axis=1)
         distances[fits.to_numpy(zero_copy_only=False)] = 1.0 - cosines
         return pa.array(distances, mask=np.isnan(distances))
 
@@ -69,38 +67,97 @@ def knn(
 
 
 def with_titles(nearest: DataFrame, papers: DataFrame) -> DataFrame:
-    return nearest.join(papers.select(F.col("id").alias("paper_id"), "title"), "paper_id")
+    """The rows found, nearest first, with their titles; a row without a paper
+    has none."""
+    titled = nearest.join(papers.select(F.col("id").alias("paper_id"), "title"), "paper_id", "left")
+    return titled.orderBy(F.col("distance").asc_nulls_last(), "paper_id")
 
 
-def approx_knn(
+class TopRows:
+    """The ``k`` nearest rows per query over any number of blocks of rows.
+
+    A matrix product finds which rows come into question: those not farther
+    than the k-th held, give or take its rounding. Their distances are then
+    summed element by element, so that copies of a vector tie exactly.
+    """
+
+    def __init__(self, queries: np.ndarray, k: int):
+        self.queries, self.k = queries, k
+        self.sizes = np.sqrt(np.cumsum(queries * queries, axis=1)[:, -1])
+        self.edge = np.full(len(queries), np.inf)
+        self.held = [np.zeros(0, int), np.zeros(0), np.zeros(0, int)]
+
+    def add(self, vectors: np.ndarray, ids: np.ndarray) -> None:
+        sizes = np.sqrt(np.cumsum(vectors * vectors, axis=1)[:, -1])
+        rough = 1.0 - (self.queries @ vectors.T) / (self.sizes[:, None] * sizes[None, :])
+        edge = self.edge
+        if len(ids) > self.k:
+            edge = np.minimum(edge, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1])
+        q, r = np.nonzero(rough <= (edge + 1e-9)[:, None])
+        exact = np.empty(len(q))
+        for at in range(0, len(q), 50_000):
+            part = slice(at, at + 50_000)
+            dots = np.cumsum(self.queries[q[part]] * vectors[r[part]], axis=1)[:, -1]
+            exact[part] = 1.0 - dots / (self.sizes[q[part]] * sizes[r[part]])
+        held = [np.concatenate(x) for x in zip(self.held, (q, np.maximum(exact, 0.0), ids[r]))]
+        order = np.lexsort((held[2], held[1], held[0]))
+        held = [x[order] for x in held]
+        place = np.arange(len(order)) - np.searchsorted(held[0], held[0])
+        full = place == self.k - 1
+        self.edge[held[0][full]] = held[1][full]
+        self.held = [x[place < self.k] for x in held]
+
+
+def knn_many(
+    queries: DataFrame,
     corpus: DataFrame,
-    query: Sequence[float],
     k: int = 100,
-    bucket_length: float = 0.5,
-    tables: int = 8,
-    seed: int = 42,
     id_col: str = "paper_id",
     vector_col: str = "embedding",
+    block: int = 4096,
 ) -> DataFrame:
-    """Approximate neighbours by random projections of unit vectors.
-
-    Between unit vectors the cosine distance is half the squared Euclidean
-    one. Should the probed buckets hold fewer than ``k`` rows, the exact scan
-    answers instead.
+    """``(query_id, rank, id, distance)``: the ``k`` nearest rows of each query,
+    exactly, in one scan of the corpus per ``block`` queries.
+
+    ``queries`` is ``(query_id, vector)``. Each task compares its rows with all
+    queries of the block by matrix products and keeps ``k`` rows per query;
+    those lists are merged per query. Ties go to smaller ids. Rows that have
+    no distance to a query (null or zero vectors, another length) are left
+    out. Queries come to the driver a block at a time, dealt by hash.
     """
-    unit = V.unit(F.col(vector_col))
-    comparable = corpus.filter(V.has_dim(F.col(vector_col), len(query)))
-    points = comparable.select(id_col, unit.alias("unit")).filter(F.col("unit").isNotNull())
-    points = points.select(id_col, array_to_vector("unit").alias("point"))
-    scale = sum(float(x) * float(x) for x in query) ** 0.5
-    if scale == 0:
-        raise ValueError("the query vector is zero")
-    model = BucketedRandomProjectionLSH(
-        inputCol="point", outputCol="hashes", bucketLength=bucket_length,
-        numHashTables=tables, seed=seed,
-    ).fit(points)
-    probe = Vectors.dense([float(x) / scale for x in query])
-    found = model.approxNearestNeighbors(points, probe, k, distCol="gap")
-    if found.count() < k:
-        return knn(corpus, query, k, id_col, vector_col)
-    return found.select(id_col, (F.col("gap") * F.col("gap") / 2).alias("distance"))
+    query_id, query_vector = queries.columns
+    asked = queries.select(
+        F.col(query_id).alias("query_id"), F.col(query_vector).alias("vector"), F.size(query_vector).alias("dim")
+    ).filter(has_direction(F.col("vector")))
+    rows = corpus.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector")).filter(has_direction(F.col("vector")))
+    sizes = asked.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per length
+    found = corpus.sparkSession.createDataFrame([], "query_id long, id long, distance double")
+    for size in sorted(sizes):
+        dim, parts = size["dim"], -(-size["n"] // block)
+        alike = rows.filter(F.size("vector") == dim)
+        for part in range(parts):
+            own = asked.filter(
+                (F.col("dim") == dim) & (F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part))
+            found = found.unionByName(_nearest_of(own.select("query_id", "vector").collect(), alike, dim, k))
+    window = Window.partitionBy("query_id").orderBy("distance", "id")
+    ranked = found.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "distance")
+
+
+def _nearest_of(asked: list, rows: DataFrame, dim: int, k: int) -> DataFrame:
+    numbers = np.array([r["query_id"] for r in asked], dtype="int64")
+    matrix = np.array([r["vector"] for r in asked], dtype="float64").reshape(-1, dim)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top = TopRows(matrix, k)
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(-1, dim)
+            for at in range(0, len(ids), 2048):
+                top.add(flat[at : at + 2048], ids[at : at + 2048])
+        query, distance, ids = top.held
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(numbers[query]), pa.array(ids, pa.int64()), pa.array(distance)],
+            names=["query_id", "id", "distance"])
+
+    return rows.mapInArrow(run, "query_id long, id long, distance double")

@@ -102,6 +102,18 @@ _SQUEEZED = r"trim(regexp_replace({0}, '\s+', ' ', 'g'))"
 
 _CHECKSUM = "round(list_sum(embedding::DOUBLE[]), 4) + 0.0"
 
+_KNN = """
+WITH q AS (SELECT embedding AS v FROM embeddings WHERE vec_id = 0),
+scored AS (
+  SELECT vec_id AS paper_id,
+         greatest(1 - list_dot_product(embedding::DOUBLE[], v::DOUBLE[])
+           / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])
+                  * list_dot_product(v::DOUBLE[], v::DOUBLE[])), 0) AS distance
+  FROM embeddings, q ORDER BY distance, paper_id LIMIT 100)
+SELECT paper_id, o_orderpriority || ' #' || o_orderkey AS title,
+       round(distance, 6) + 0.0 AS distance
+FROM scored LEFT JOIN orders ON o_orderkey = paper_id"""
+
 _DUPLICATE_IDS = """
 SELECT 'duplicate_papers' AS check_name, count(*) AS violations
 FROM orders WHERE o_orderstatus = 'P'"""
@@ -366,17 +378,20 @@ SELECT paper_id, text FROM inputs WHERE paper_id NOT IN (SELECT vec_id FROM embe
 SELECT doc_id AS paper_id, 'embeddinggemma' AS model_used, 768::BIGINT AS dim,
        1.0::DOUBLE AS norm
 FROM documents""",
-    "knn_cosine": """
-WITH q AS (SELECT embedding AS v FROM embeddings WHERE vec_id = 0),
+    "knn_cosine": _KNN,
+    "knn_buckets": _KNN,
+    "knn_many": """
+WITH q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id % 10 = 0),
 scored AS (
-  SELECT vec_id AS paper_id,
-         greatest(1 - list_dot_product(embedding::DOUBLE[], v::DOUBLE[])
-           / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])
-                  * list_dot_product(v::DOUBLE[], v::DOUBLE[])), 0) AS distance
-  FROM embeddings, q ORDER BY distance, paper_id LIMIT 100)
-SELECT paper_id, o_orderpriority || ' #' || o_orderkey AS title,
-       round(distance, 6) + 0.0 AS distance
-FROM scored JOIN orders ON o_orderkey = paper_id""",
+  SELECT query_id, vec_id AS paper_id,
+         greatest(1 - list_dot_product(embedding::DOUBLE[], v)
+           / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) * list_dot_product(v, v)),
+           0) AS distance
+  FROM embeddings, q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, paper_id)::INTEGER AS rank
+  FROM scored)
+SELECT query_id, rank, paper_id, round(distance, 6) + 0.0 AS distance FROM ranked WHERE rank <= 100""",
     "dup_embeddings": f"""
 WITH {_COPIES}, {_PAPERS},
 titled AS (

@@ -15,6 +15,7 @@ from scriptorium.operators import changes, duplicates, links, quality, search, s
 from scriptorium.operators.clean import clean
 from scriptorium.operators.embed import HashingEmbedder, embed
 from scriptorium.operators.ids import assign_ids
+from scriptorium.operators.inverted import Inverted, write_inverted
 from scriptorium.plans import adapters as A, embeddings as E, ingest, marts, views
 from scriptorium.plans.adapters import Warehouse
 from scriptorium.session import scratch_path
@@ -432,15 +433,40 @@ def knn_cosine(w):
     )
 
 
+def _inverted(w: Warehouse) -> Inverted:
+    path = scratch_path(w.spark, "inverted")
+    write_inverted(A.embeddings(w), path, 64)
+    return Inverted(w.spark, path)
+
+
+@query
+def knn_buckets(w):
+    """The exact search through an inverted file."""
+    nearest = _inverted(w).search(search.vector_of(A.embeddings(w), 0), 100)
+    return search.with_titles(nearest, A.papers(w)).select(
+        "paper_id", "title", (F.round("distance", 6) + F.lit(0.0)).alias("distance")
+    )
+
+
 @query
 def knn_approx(w):
-    corpus = A.embeddings(w)
-    nearest = search.approx_knn(corpus, search.vector_of(corpus, 0), 100)
+    """At most about three quarters of the vectors are read."""
+    nearest = _inverted(w).search_some(search.vector_of(A.embeddings(w), 0), 100, share=0.75)
     return search.with_titles(nearest, A.papers(w)).select(
         "paper_id", "title", F.round("distance", 6).alias("distance")
     )
 
 
+@query
+def knn_many(w):
+    """Every tenth vector as a query against all."""
+    corpus = A.embeddings(w)
+    asked = corpus.filter("paper_id % 10 = 0").select("paper_id", "embedding")
+    found = search.knn_many(asked, corpus, 100)
+    return found.select(
+        "query_id", "rank", "paper_id", (F.round("distance", 6) + F.lit(0.0)).alias("distance"))
+
+
 _SHIFT = 1_000_000_000  # ids of planted copies
 
 

@@ -65,18 +65,39 @@ def test_a_null_element_gives_no_distance(spark):
     assert got == {1: None, 2: 0.0}
 
 
-def test_approximate_search_recall(corpus):
-    query = search.vector_of(corpus, 7)
-    exact = {r["paper_id"] for r in search.knn(corpus, query, 20).collect()}
-    rows = search.approx_knn(corpus, query, 20, bucket_length=1.0, tables=10).collect()
-    assert len(rows) == 20
-    assert len({r["paper_id"] for r in rows} & exact) >= 10
-
-
-def test_approximate_search_falls_back_when_buckets_are_too_small(corpus):
-    query = search.vector_of(corpus, 7)
-    rows = search.approx_knn(corpus, query, 20, bucket_length=0.001, tables=1).collect()
-    assert [r["paper_id"] for r in rows] == brute_force(corpus, query, 20)
+def test_many_queries_equal_one_after_the_other(spark, corpus):
+    asked = corpus.filter("paper_id % 7 = 0 or paper_id >= 400").withColumnRenamed("paper_id", "asked")
+    copies = corpus.unionByName(corpus.filter("paper_id < 30").select((corpus.paper_id + 500).alias("paper_id"), "embedding"))
+    for block in (4096, 20):
+        got = {}
+        for r in search.knn_many(asked, copies, 25, block=block).orderBy("query_id", "rank").collect():
+            got.setdefault(r["query_id"], []).append(r["paper_id"])
+            assert r["rank"] == len(got[r["query_id"]])
+        # The query of three elements has one row of its length, itself.
+        assert got.pop(402) == [402]
+        assert sorted(got) == list(range(0, 400, 7))
+        for query, found in got.items():
+            assert found == brute_force(copies, search.vector_of(corpus, query), 25)
+    assert search.knn_many(asked, corpus.limit(0)).count() == 0
+    assert search.knn_many(asked.limit(0), corpus).count() == 0
+
+
+def test_a_row_without_a_paper_keeps_its_place(spark, corpus):
+    papers = spark.createDataFrame([(7, "seven")], "id long, title string")
+    nearest = search.knn(corpus, search.vector_of(corpus, 7), 5)
+    got = search.with_titles(nearest, papers).collect()
+    assert [r["paper_id"] for r in got] == brute_force(corpus, search.vector_of(corpus, 7), 5)
+    assert [r["title"] for r in got] == ["seven", None, None, None, None]
+
+
+def test_unit_is_linear_in_the_dimension(spark):
+    import time
+
+    wide = spark.range(2000).select(F.transform(F.sequence(F.lit(1), F.lit(768)), lambda i: (i % 7 + 1).cast("float")).alias("v"))
+    begun = time.perf_counter()
+    total = wide.select(V.unit(F.col("v")).alias("u")).agg(F.sum(F.aggregate("u", F.lit(0.0), lambda a, x: a + x * x))).first()[0]
+    assert abs(total - 2000) < 1e-2
+    assert time.perf_counter() - begun < 10
 
 
 def test_unknown_vector(corpus):
@@ -127,19 +148,36 @@ def test_pending(spark):
     assert ids(pending(inputs, done, recompute=True)) == [1, 2, 3, 4, 5]
 
 
-def test_stored_buckets(spark, corpus, tmp_path):
-    from scriptorium.operators.buckets import Directions, search_buckets, write_buckets
-
-    directions = Directions(dim=16, bits=5)
-    path = str(tmp_path / "buckets")
-    write_buckets(corpus, path, directions)
-    # The zero vector has a code, null and short ones have none.
-    assert spark.read.parquet(path).count() == 401
-    query = search.vector_of(corpus, 7)
-    exact = brute_force(corpus, query, 20)
-    everything = search_buckets(spark, path, query, directions, 20, probes=32).collect()
-    assert [r["paper_id"] for r in everything] == exact
-    some = search_buckets(spark, path, query, directions, 20, probes=8)
-    assert len({r["paper_id"] for r in some.collect()} & set(exact)) >= 10
-    assert "PartitionFilters: [code" in some._jdf.queryExecution().toString()
-    assert search_buckets(spark, path, query, directions, 300, probes=1).count() == 300
+def test_inverted_file_is_exact_and_reads_a_part(spark, tmp_path):
+    from scriptorium.operators.inverted import Inverted, write_inverted
+
+    rng = np.random.default_rng(3)
+    middles = rng.standard_normal((12, 16))
+    points = middles[np.arange(1200) % 12] + 0.2 * rng.standard_normal((1200, 16))
+    points[100:140] = points[100]
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    rows += [(1200, None), (1201, [0.0] * 16), (1202, [1.0] * 3), (1203, [float("nan")] * 16)]
+    corpus = spark.createDataFrame(rows, "paper_id long, embedding array<float>")
+    path = str(tmp_path / "inverted")
+    write_inverted(corpus, path, 16)
+    index = Inverted(spark, path)
+    assert index.rows().count() == 1204
+    least = 1200
+    for query_id in (0, 7, 100, 555):
+        query = search.vector_of(corpus, query_id)
+        for k in (1, 20, 150):
+            want = [tuple(r) for r in search.knn(corpus, query, k).collect()]
+            assert [tuple(r) for r in index.search(query, k).collect()] == want
+        least = min(least, index.rows(index.needed(query, 20)).count())
+        some = index.search_some(query, 20, share=0.3)
+        exact = {r["paper_id"] for r in search.knn(corpus, query, 20).collect()}
+        assert len({r["paper_id"] for r in some.collect()} & exact) >= 18
+        assert "PartitionFilters: [bucket" in some._jdf.queryExecution().toString()
+    assert least < 600
+    query = search.vector_of(corpus, 3)
+    assert "PartitionFilters: [bucket" in index.search(query, 20)._jdf.queryExecution().toString()
+    everything = index.search(query, 2000).collect()
+    assert sorted(r["paper_id"] for r in everything) == list(range(1204))
+    assert [r["paper_id"] for r in index.search([0.0] * 16, 5).collect()] == [0, 1, 2, 3, 4]
+    write_inverted(corpus.filter("paper_id >= 1200"), str(tmp_path / "none"), 16)
+    assert [r["paper_id"] for r in Inverted(spark, str(tmp_path / "none")).search(query, 3).collect()] == [1200, 1201, 1202]
