@@ -1,8 +1,10 @@
-"""Raw records to staging to the normalised tables, as one re-runnable batch.
+"""Raw records to staging to the normalised tables, all or nothing.
 
-Parents are appended before children and every step inserts only what is
-absent, so running a batch again after a failure completes it, and running it
-again after a success changes nothing.
+The rows of a batch carry the id of its attempt and are visible to others only
+when the run log holds that id as a success, which is the batch's last write. A
+batch that stops earlier shows nothing; run again, it starts afresh under a new
+id. Every step inserts only what is absent, so a batch that is run again after
+a success changes nothing.
 """
 
 from __future__ import annotations
@@ -28,10 +30,10 @@ from scriptorium.operators.ids import assign_ids, last_id
 from scriptorium.operators.links import author_links, category_links, unnest
 from scriptorium.schemas import TABLES
 from scriptorium.session import scratch_path
-from scriptorium.sinks.logs import failed_run, run_record
+from scriptorium.sinks.logs import failed_run, new_attempt, run_record
 from scriptorium.sinks.tables import append, change_rows, publish, touched_buckets
 from scriptorium.sources.bronze import BRONZE_ORDER
-from scriptorium.sources.catalog import all_tables, table, table_buckets
+from scriptorium.sources.catalog import all_tables, committed_loads, table, table_buckets
 
 
 @dataclass(frozen=True)
@@ -72,21 +74,24 @@ def staged_papers(
 
 
 def insert_papers(
-    spark: SparkSession, staging: DataFrame, db: str, as_of, options: IngestOptions
+    spark: SparkSession, staging: DataFrame, db: str, as_of, options: IngestOptions,
+    load: int | None = None,
 ) -> DataFrame:
-    """Append the papers that are not stored yet; returns the rejected ones.
+    """Append the papers that are not stored yet; returns ``(arxiv_id, reason)``
+    of the rejected ones.
 
     The new rows are written to the shared folder once: conflicts, ids and the
     append all read them there instead of comparing with the stored papers
     again each time.
     """
-    papers = table(spark, "papers", db)
+    papers = table(spark, "papers", db, load)
     staged = staged_papers(staging, as_of, options.now_as_updated)
     fresh = insert_absent(papers, staged, ["arxiv_id"], [F.col("published_at"), F.col("title")])
     path = scratch_path(spark, "new-papers")
     fresh.write.parquet(path)
     fresh = spark.read.schema(fresh.schema).parquet(path)
-    complete = drop_incomplete(fresh, [c for c in TABLES["papers"].required if c != "id"])
+    required = [c for c in TABLES["papers"].required if c != "id"]
+    complete = drop_incomplete(fresh, required)
     if options.mode == "strict":
         lacking = fresh.join(complete.select("arxiv_id"), "arxiv_id", "left_anti")
         if not lacking.isEmpty():
@@ -94,17 +99,24 @@ def insert_papers(
     accepted, _ = split_conflicts(
         papers, complete, "title", "arxiv_id", [F.col("arxiv_id")], options.mode
     )
-    append(assign_ids(accepted, "arxiv_id", last_id(papers)), "papers", db, as_of)
-    stored = table(spark, "papers", db).select("arxiv_id")
-    return fresh.join(stored, "arxiv_id", "left_anti")
+    append(assign_ids(accepted, "arxiv_id", last_id(papers)), "papers", db, as_of, load)
+    stored = table(spark, "papers", db, load).select("arxiv_id")
+    lacks = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
+    reason = F.when(lacks != "", F.concat(F.lit("no value in "), lacks)).otherwise(TITLE_TAKEN)
+    return fresh.join(stored, "arxiv_id", "left_anti").select("arxiv_id", reason.alias("reason"))
+
+
+TITLE_TAKEN = "title of another paper"
 
 
-def insert_names(spark: SparkSession, values: DataFrame, name: str, db: str) -> None:
+def insert_names(
+    spark: SparkSession, values: DataFrame, name: str, db: str, load: int | None = None
+) -> None:
     """Append absent values of a one-column dimension with new ids."""
-    existing = table(spark, name, db)
+    existing = table(spark, name, db, load)
     key = values.columns[0]
     absent = insert_absent(existing, values, [key])
-    append(assign_ids(absent, key, last_id(existing)), name, db)
+    append(assign_ids(absent, key, last_id(existing)), name, db, load=load)
 
 
 def distribute(
@@ -113,36 +125,49 @@ def distribute(
     db: str = "default",
     as_of: dt.datetime | str | None = None,
     options: IngestOptions = IngestOptions(),
+    run_id: str = "",
+    load: int | None = None,
 ) -> DataFrame:
-    """Staged rows into papers, authors, categories and the two link tables.
-    Returns the rejected papers."""
-    rejected = insert_papers(spark, staging, db, as_of, options)
-    insert_names(spark, unnest(staging.select("authors"), "authors", "name"), "authors", db)
-    codes = unnest(staging.select("all_categories"), "all_categories", "code")
-    insert_names(spark, codes, "categories", db)
-
-    t = all_tables(spark, db)
+    """Staged rows into papers, authors, categories and the two link tables,
+    or, whole and with a reason, into the rejected papers, which it returns."""
+    reasons = insert_papers(spark, staging, db, as_of, options, load)
+    path = scratch_path(spark, "rejected")
+    staging.join(reasons, "arxiv_id").select(
+        F.lit(run_id).alias("run_id"), "reason", *staging.columns).write.parquet(path)
+    rejected = spark.read.parquet(path)
+    append(rejected, "rejected_papers", db, as_of, load)
+
+    # Names and links of papers that are stored, now or since before.
+    papers = table(spark, "papers", db, load).select("arxiv_id", "id")
+    kept = staging.join(papers.select("arxiv_id"), "arxiv_id", "left_semi")
+    insert_names(spark, unnest(kept.select("authors"), "authors", "name"), "authors", db, load)
+    codes = unnest(kept.select("all_categories"), "all_categories", "code")
+    insert_names(spark, codes, "categories", db, load)
+
+    t = all_tables(spark, db, load)
     # Links are compared with those of the same id ranges only.
     seen = staging.select("arxiv_id").join(t["papers"].select("arxiv_id", "id"), "arxiv_id")
     buckets = touched_buckets(seen.select("id"))
     append(
         insert_absent_links(
-            table_buckets(spark, "paper_authors", buckets, db),
+            table_buckets(spark, "paper_authors", buckets, db, load),
             author_links(staging, t["papers"], t["authors"]),
             ["paper_id", "author_id"],
             least="position",
         ),
         "paper_authors",
         db,
+        load=load,
     )
     append(
         insert_absent(
-            table_buckets(spark, "paper_categories", buckets, db),
+            table_buckets(spark, "paper_categories", buckets, db, load),
             category_links(staging, t["papers"], t["categories"]),
             ["paper_id", "category_id"],
         ),
         "paper_categories",
         db,
+        load=load,
     )
     return rejected
 
@@ -157,24 +182,30 @@ def ingest(
 ) -> DataFrame:
     """Stage, distribute and log one batch; returns the rejected papers.
 
-    A failure is logged with its message and raised again.
+    A failure is logged with its message and raised again; nothing of the
+    batch shows then. So does a batch during which another one was committed:
+    both would have dealt the same new ids.
     """
     spark = raw.sparkSession
     as_of = as_of or dt.datetime.now(dt.timezone.utc)
+    load = new_attempt()
     try:
+        before = committed_loads(spark, db).count()
         staging = stage(raw, db)
-        before = table(spark, "papers", db).select("id")
-        known = last_id(before)
+        known = last_id(table(spark, "papers", db).select("id"))
         if staging.isEmpty():
-            rejected = staged_papers(staging, as_of)
+            rejected = table(spark, "rejected_papers", db).limit(0)
         else:
-            rejected = distribute(spark, staging, db, as_of, options)
-        inserted = table(spark, "papers", db).filter(F.col("id") > known)
-        record = run_record(staging, inserted, run_id, run_date, started_at=as_of)
+            rejected = distribute(spark, staging, db, as_of, options, run_id, load)
+        inserted = table(spark, "papers", db, load).filter(F.col("id") > known)
+        record = run_record(staging, inserted, run_id, run_date, started_at=as_of, attempt=load)
+        if committed_loads(spark, db).count() != before:
+            raise ConflictError("another batch was committed meanwhile; run this one again")
         append(record, "ingestion_runs", db)
         return rejected
     except Exception as error:
-        append(failed_run(spark, run_id, run_date, error, as_of), "ingestion_runs", db)
+        failure = failed_run(spark, run_id, run_date, error, as_of, load)
+        append(failure, "ingestion_runs", db)
         raise
 
 

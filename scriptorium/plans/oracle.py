@@ -401,6 +401,21 @@ repeated AS (SELECT embedding, count(*) AS n FROM copies GROUP BY embedding HAVI
 SELECT paper_id, title, n, {_CHECKSUM.replace('embedding', 'c.embedding')} AS checksum
 FROM copies c JOIN repeated r ON r.embedding = c.embedding JOIN titled ON id = paper_id""",
     "vector_text_form": f"SELECT vec_id, {_CHECKSUM} AS checksum FROM embeddings",
+    "ingest_job": """
+WITH staged AS (
+  SELECT DISTINCT md5(text) AS arxiv_id, substr(md5(text), 1, 3) AS title,
+    CASE WHEN substr(md5(text), 5, 1) < '8' THEN '2024-01-01' ELSE '2024-01-02' END AS day,
+    substr(md5(text), 7, 1) <> '0' AS dated
+  FROM documents WHERE text IS NOT NULL AND substr(md5(text), 32, 1) <> 'f'),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY title, dated ORDER BY day, arxiv_id) AS place FROM staged)
+SELECT arxiv_id, title, day,
+  CASE WHEN NOT dated THEN 'no value in published_at'
+    WHEN place > 1 THEN 'title of another paper' ELSE '' END AS reason,
+  2::BIGINT AS n_authors,
+  (CASE WHEN substr(arxiv_id, 4, 1) = substr(arxiv_id, 6, 1) THEN 1 ELSE 2 END)::BIGINT AS n_categories,
+  'c' || substr(arxiv_id, 4, 1) AS code
+FROM ranked""",
     "stream_ingest": f"""
 WITH {_RAW}
 SELECT DISTINCT arxiv_id, {_SQUEEZED.format('text')} AS abstract

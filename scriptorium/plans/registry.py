@@ -21,7 +21,9 @@ from scriptorium.plans.adapters import Warehouse
 from scriptorium.session import scratch_path
 from scriptorium.sinks.bronze import write_bronze
 from scriptorium.sinks.logs import run_record
-from scriptorium.sources.bronze import path_exists, read_bronze
+from scriptorium.sinks.tables import create_tables
+from scriptorium.sources.bronze import read_bronze
+from scriptorium.sources.catalog import all_tables
 from scriptorium.sources.feed import read_feed
 from scriptorium.streaming.ingest_stream import ingest_stream
 
@@ -686,22 +688,48 @@ def feed_round_trip(w):
     )
 
 
+def _new_tables(w: Warehouse) -> str:
+    """A database of its own with all tables, empty."""
+    path = scratch_path(w.spark, "tables")
+    db = path.rsplit("/", 1)[1].replace("-", "_")
+    create_tables(w.spark, path, db)
+    return db
+
+
 @query
-def stream_ingest(w):
-    """The archive of raw records as a stream: each micro-batch is cleaned and
-    what is absent is appended."""
-    archive, stored = scratch_path(w.spark, "archive"), scratch_path(w.spark, "stored")
-    write_bronze(A.raw_documents(w), archive, "2024-01-01")
+def ingest_job(w):
+    """Two run dates from the archive through staging to the tables: every
+    staged paper is stored with its links, or rejected with a reason."""
+    spark, archive, db = w.spark, scratch_path(w.spark, "archive"), _new_tables(w)
+    write_bronze(A.dated_documents(w), archive)
+    for day in ("2024-01-01", "2024-01-02"):
+        ingest.ingest(read_bronze(spark, archive, day, day), f"daily-{day}", day, db, f"{day} 12:00:00")
+    t = all_tables(spark, db)
+    stored = t["papers"].select(
+        "id", "arxiv_id", "title", F.lit("").alias("reason"), F.to_date("ingested_at").cast("string").alias("day"))
+    by_author = t["paper_authors"].groupBy(F.col("paper_id").alias("id")).agg(F.count(F.lit(1)).alias("n_authors"))
+    codes = t["categories"].select(F.col("id").alias("category_id"), "code")
+    by_code = t["paper_categories"].join(codes, "category_id").groupBy(F.col("paper_id").alias("id")).agg(
+        F.count(F.lit(1)).alias("n_categories"), F.max(F.when(F.col("is_primary"), F.col("code"))).alias("code"))
+    stored = stored.join(by_author, "id").join(by_code, "id").drop("id")
+    rejected = t["rejected_papers"].select(
+        "arxiv_id", "title", "reason", F.substring("run_id", 7, 10).alias("day"),
+        F.size("authors").cast("long").alias("n_authors"),
+        F.size(F.array_distinct("all_categories")).cast("long").alias("n_categories"),
+        F.col("primary_category").alias("code"))
+    return stored.unionByName(rejected)
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        new = clean(batch).select("arxiv_id", "abstract")
-        if path_exists(batch.sparkSession, f"{stored}/part-*"):
-            known = batch.sparkSession.read.schema(new.schema).parquet(stored)
-            new = changes.insert_absent(known, new, ["arxiv_id"])
-        new.write.mode("append").parquet(stored)
 
+@query
+def stream_ingest(w):
+    """The archive of raw records as a stream into the tables: each micro-batch
+    is a run, and each staged paper is stored or rejected."""
+    archive, db = scratch_path(w.spark, "archive"), _new_tables(w)
+    write_bronze(A.raw_documents(w), archive, "2024-01-01")
     ingest_stream(
-        w.spark, archive, scratch_path(w.spark, "progress"), handle,
+        w.spark, archive, scratch_path(w.spark, "progress"), db=db,
         array_files=False, files_per_batch=4,
     ).awaitTermination()
-    return w.spark.read.schema("arxiv_id string, abstract string").parquet(stored)
+    t = all_tables(w.spark, db)
+    rejected = t["rejected_papers"].select("arxiv_id", "abstract")
+    return t["papers"].select("arxiv_id", "abstract").unionByName(rejected).distinct()

@@ -68,6 +68,7 @@ class TableSpec:
     parents: dict[str, tuple[str, str]] = field(default_factory=dict)
     defaults: dict[str, object] = field(default_factory=dict)
     id_col: str | None = None  # partitioned by ranges of this id
+    loaded: bool = False  # rows carry the load that wrote them
 
     @property
     def columns(self) -> list[str]:
@@ -84,6 +85,9 @@ NOW = "now"  # default marker: the run's clock value
 # with time, so a change of recent papers touches few partitions.
 BUCKET = "id_bucket"
 IDS_PER_BUCKET = 1_000_000
+# The load a row came with. A row is visible once the run log holds that load
+# as a success, which is a load's last write; without a load it is at once.
+LOAD = "load_id"
 
 TABLES: dict[str, TableSpec] = {
     "staging_papers": TableSpec(STAGING, unique=(("arxiv_id",),)),
@@ -102,20 +106,24 @@ TABLES: dict[str, TableSpec] = {
         unique=(("id",), ("arxiv_id",), ("title",)),
         defaults={"ingested_at": NOW},
         id_col="id",
+        loaded=True,
     ),
     "authors": TableSpec(
         _struct(("id", _LONG, False), ("name", _STR, False)),
         unique=(("id",), ("name",)),
+        loaded=True,
     ),
     "paper_authors": TableSpec(
         _struct(("paper_id", _LONG, False), ("author_id", _LONG, False), ("position", _INT, False)),
         unique=(("paper_id", "author_id"),),
         parents={"paper_id": ("papers", "id"), "author_id": ("authors", "id")},
         id_col="paper_id",
+        loaded=True,
     ),
     "categories": TableSpec(
         _struct(("id", _LONG, False), ("code", _STR, False), ("name", _STR, True)),
         unique=(("id",), ("code",)),
+        loaded=True,
     ),
     "paper_categories": TableSpec(
         _struct(
@@ -127,6 +135,7 @@ TABLES: dict[str, TableSpec] = {
         parents={"paper_id": ("papers", "id"), "category_id": ("categories", "id")},
         defaults={"is_primary": False},
         id_col="paper_id",
+        loaded=True,
     ),
     "paper_enrichments": TableSpec(
         _struct(
@@ -159,6 +168,7 @@ TABLES: dict[str, TableSpec] = {
     ),
     "ingestion_runs": TableSpec(
         _struct(
+            ("id", _LONG, False),
             ("run_id", _STR, False),
             ("run_date", T.DateType(), False),
             ("category_code", _STR, False),
@@ -169,9 +179,17 @@ TABLES: dict[str, TableSpec] = {
             ("started_at", _TS, False),
             ("finished_at", _TS, True),
         ),
-        unique=(("run_id",),),
+        unique=(("id",),),  # a run has one row per attempt
         defaults={"papers_fetched": 0, "papers_new": 0},
     ),
+    "rejected_papers": TableSpec(
+        T.StructType([
+            *_struct(("run_id", _STR, False), ("reason", _STR, False), ("rejected_at", _TS, False)).fields,
+            *STAGING.fields,
+        ]),
+        defaults={"rejected_at": NOW},
+        loaded=True,
+    ),
     "quality_checks": TableSpec(
         _struct(("check_name", _STR, False), ("violations", _LONG, False), ("run_at", _TS, False)),
         defaults={"violations": 0, "run_at": NOW},

@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
 from scriptorium.functions.temporal import clock
 from scriptorium.operators.quality import report
 from scriptorium.sinks.tables import append
+from scriptorium.sources.catalog import table
+
+
+def new_attempt() -> int:
+    """A random id of 63 bits."""
+    return uuid.uuid4().int >> 65
 
 
 def run_record(
@@ -21,8 +28,11 @@ def run_record(
     error_message: str | None = None,
     started_at: dt.datetime | str | None = None,
     finished_at: dt.datetime | str | None = None,
+    attempt: int | None = None,
 ) -> DataFrame:
-    """One run-log row; both counts come out of one aggregation."""
+    """One run-log row; both counts come out of one aggregation. ``attempt``
+    is its id, by default a new one; rows of the load with that id are visible
+    from a success on."""
     kinds = staging.select(F.lit(1).alias("fetched"), F.lit(0).alias("new")).unionByName(
         inserted.select(F.lit(0).alias("fetched"), F.lit(1).alias("new"))
     )
@@ -30,6 +40,7 @@ def run_record(
         F.coalesce(F.sum("fetched"), F.lit(0)).cast("int").alias("papers_fetched"),
         F.coalesce(F.sum("new"), F.lit(0)).cast("int").alias("papers_new"),
     ).select(
+        F.lit(new_attempt() if attempt is None else attempt).cast("bigint").alias("id"),
         F.lit(run_id).alias("run_id"),
         F.lit(run_date).cast("date").alias("run_date"),
         F.lit(category_code).alias("category_code"),
@@ -43,15 +54,22 @@ def run_record(
 
 
 def failed_run(
-    spark, run_id: str, run_date: str, error: Exception, started_at: dt.datetime | str | None = None
+    spark, run_id: str, run_date: str, error: Exception,
+    started_at: dt.datetime | str | None = None, attempt: int | None = None,
 ) -> DataFrame:
     empty = spark.range(0)
     return run_record(
-        empty, empty, run_id, run_date, status="failed", error_message=str(error)[:2000],
-        started_at=started_at,
+        empty, empty, run_id, run_date, status="failed", error_message=str(error),
+        started_at=started_at, attempt=attempt,
     )
 
 
+def succeeded(spark, run_id: str, db: str = "default") -> bool:
+    """Whether some attempt of a run was committed."""
+    runs = table(spark, "ingestion_runs", db)
+    return not runs.filter((F.col("run_id") == run_id) & (F.col("status") == "success")).isEmpty()
+
+
 class QualityError(ValueError):
     """Some checks found violations."""
 

@@ -15,7 +15,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from scriptorium.functions.temporal import clock
-from scriptorium.schemas import BUCKET, IDS_PER_BUCKET, NOW, TABLES
+from scriptorium.schemas import BUCKET, IDS_PER_BUCKET, LOAD, NOW, TABLES
 from scriptorium.sources.bronze import path_exists
 from scriptorium.sources.catalog import table_buckets
 
@@ -26,6 +26,8 @@ def create_tables(spark: SparkSession, root: str, db: str = "default") -> None:
     for name, spec in TABLES.items():
         # Parquet tables enforce no NOT NULL; the checks do.
         columns = [f"{f.name} {f.dataType.simpleString()}" for f in spec.schema.fields]
+        if spec.loaded:
+            columns.append(f"{LOAD} bigint")
         layout = ""
         if spec.id_col is not None:
             columns.append(f"{BUCKET} bigint")
@@ -54,10 +56,15 @@ def conform(df: DataFrame, name: str, as_of: dt.datetime | str | None = None) ->
 
 
 def append(
-    df: DataFrame, name: str, db: str = "default", as_of: dt.datetime | str | None = None
+    df: DataFrame, name: str, db: str = "default", as_of: dt.datetime | str | None = None,
+    load: int | None = None,
 ) -> None:
-    """Add rows; those present are never touched."""
-    _bucketed(conform(df, name, as_of), name).write.insertInto(f"{db}.{name}")
+    """Add rows; those present are never touched. With a load they become
+    visible when the run log records its success."""
+    rows = conform(df, name, as_of)
+    if TABLES[name].loaded:
+        rows = rows.withColumn(LOAD, F.lit(load).cast("bigint"))
+    _bucketed(rows, name).write.insertInto(f"{db}.{name}")
 
 
 def publish(
@@ -91,7 +98,8 @@ def replace_buckets(
     """Make ``rows`` the whole content of the given id ranges.
 
     ``cluster_by`` sorts each file, so that a filter on that column skips row
-    groups. A range that is left without rows keeps an empty folder: dropping
+    groups. The rows belong to no load any more, so only visible ones may be
+    given. A range that is left without rows keeps an empty folder: dropping
     it would let a later insert find the old files again.
     """
     spark, full = rows.sparkSession, f"{db}.{name}"

@@ -6,6 +6,7 @@ else is kept in state: what is new is decided against the tables.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from scriptorium.plans.ingest import IngestOptions, ingest
 from scriptorium.schemas import BRONZE
+from scriptorium.sinks.logs import succeeded
 from scriptorium.sources.bronze import run_date
 
 
@@ -42,16 +44,24 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Process all files that have landed since the last call, then stop.
 
-    The default handler runs the batch ingest on each micro-batch. A batch that
-    is repeated after a failure inserts nothing twice.
+    The default handler runs the batch ingest on each micro-batch, as a run
+    named by the stream (its id lasts as long as its checkpoint) and the number
+    of the batch: one that is delivered again after its commit is recognised in
+    the run log and left alone. Rejected papers are stored by the ingest. A
+    batch whose files name no run date gets today's.
     """
 
     def default_handler(batch: DataFrame, batch_id: int) -> None:
-        run_date = batch.agg(F.max("ds")).first()[0] or None
-        if run_date is None:
+        session = batch.sparkSession
+        # Fixed value: the property in which Spark gives a stream's id.
+        stream = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        run_id = f"stream-{stream or checkpoint}-{batch_id}"
+        if succeeded(session, run_id, db):
             return
+        run_date = batch.agg(F.max(F.nullif("ds", F.lit("")))).first()[0]
+        run_date = run_date or dt.datetime.now(dt.timezone.utc).date().isoformat()
         ordered = batch.withColumn("source_row", F.monotonically_increasing_id())
-        ingest(ordered, f"stream-{batch_id}", run_date, db, options=options)
+        ingest(ordered, run_id, run_date, db, options=options)
 
     return (
         bronze_stream(spark, folder, **source)

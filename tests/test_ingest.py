@@ -157,6 +157,68 @@ def test_an_interrupted_batch_is_completed_by_its_repetition(spark, db, bronze):
     assert violations(spark, db) == set()
 
 
+def test_a_batch_that_stops_shows_nothing(spark, db, bronze, monkeypatch):
+    ingest(bronze(BATCH_1), "r1", "2026-06-02", db, NOW)
+    before = state(spark, db)
+    whole = I.append
+
+    def failing(df, name, *args, **kwargs):
+        if name == "paper_categories":
+            raise OSError("lost")
+        whole(df, name, *args, **kwargs)
+
+    monkeypatch.setattr(I, "append", failing)
+    with pytest.raises(OSError):
+        ingest(bronze(BATCH_2), "r2", "2026-06-03", db, NOW)
+    assert state(spark, db) == before
+    assert table(spark, "rejected_papers", db).count() == 0
+    assert spark.table(f"{db}.papers").count() == 4  # written, not visible
+    monkeypatch.setattr(I, "append", whole)
+    ingest(bronze(BATCH_2), "r2", "2026-06-03", db, NOW)
+    assert [p[0] for p in state(spark, db)["papers"]] == ["1v1", "2v1", "4v1", "5v1"]
+    assert ("5v1", "Ben", 1) in state(spark, db)["by_author"]
+    runs = {(r["run_id"], r["status"]) for r in table(spark, "ingestion_runs", db).collect()}
+    assert runs == {("r1", "success"), ("r2", "failed"), ("r2", "success")}
+    assert violations(spark, db) == set()
+
+
+def test_two_batches_at_once_do_not_both_count(spark, db, bronze, monkeypatch):
+    stage = I.stage
+
+    def interrupted(raw, db_):
+        monkeypatch.setattr(I, "stage", stage)
+        ingest(bronze(BATCH_2), "other", "2026-06-03", db, NOW)
+        return stage(raw, db_)
+
+    monkeypatch.setattr(I, "stage", interrupted)
+    with pytest.raises(ConflictError, match="another batch"):
+        ingest(bronze(BATCH_1), "r1", "2026-06-02", db, NOW)
+    assert [p[0] for p in state(spark, db)["papers"]] == ["2v1", "4v1", "5v1"]
+    ingest(bronze(BATCH_1), "r1", "2026-06-02", db, NOW)
+    assert [p[0] for p in state(spark, db)["papers"]] == ["1v1", "2v1", "4v1", "5v1"]
+    assert violations(spark, db) == set()
+
+
+def test_rejected_papers_are_kept_whole_with_a_reason(spark, db, bronze):
+    batch = [
+        record("1v1", "One"), record("2v1", "One", authors=["Zed"], all_categories=["x.Y"]),
+        record("3v1", "Three", published_at=None),
+    ]
+    rejected = ingest(bronze(batch), "r1", "2026-06-02", db, NOW)
+    stored = table(spark, "rejected_papers", db)
+    reasons = {r["arxiv_id"]: (r["run_id"], r["reason"], str(r["rejected_at"])) for r in stored.collect()}
+    assert reasons == {
+        "2v1": ("r1", "title of another paper", NOW), "3v1": ("r1", "no value in published_at", NOW)}
+    kept = stored.filter("arxiv_id = '2v1'").first()
+    assert (kept["title"], kept["authors"], kept["all_categories"]) == ("One", ["Zed"], ["x.Y"])
+    assert sorted(r["arxiv_id"] for r in rejected.collect()) == ["2v1", "3v1"]
+    staged = table(spark, "staging_papers", db).count()
+    assert staged == table(spark, "papers", db).count() + stored.count()
+    # Names that only rejected papers have are not added.
+    assert "Zed" not in {r["name"] for r in table(spark, "authors", db).collect()}
+    assert "x.Y" not in {r["code"] for r in table(spark, "categories", db).collect()}
+
+
 def test_planted_faults_are_found(spark, db, bronze):
     ingest(bronze(BATCH_1), "r1", "2026-06-02", db, NOW)
     append(spark.createDataFrame([(77, 1, 1)], "paper_id long, author_id long, position int"),
@@ -276,6 +338,24 @@ def test_stream_file_by_file_equals_batch(spark, db, bronze, tmp_path):
     assert dates == {"2026-06-02", "2026-06-03"}
 
 
+def test_a_batch_delivered_again_is_recognised(spark, db, tmp_path):
+    import shutil
+
+    folder, checkpoint = tmp_path / "landing", tmp_path / "c"
+    folder.mkdir()
+    (folder / "oddly_named.json").write_text(json.dumps([*BATCH_1, record("9v1", "One")]))
+    ingest_stream(spark, str(folder), str(checkpoint), db=db).awaitTermination()
+    papers = [p[0] for p in state(spark, db)["papers"]]
+    assert papers == ["1v1", "2v1"]  # the file names no date; nothing is lost
+    assert [r["arxiv_id"] for r in table(spark, "rejected_papers", db).collect()] == ["9v1"]
+    (run,) = table(spark, "ingestion_runs", db).collect()
+    assert run["run_id"].startswith("stream-") and run["run_id"].endswith("-0")
+    shutil.rmtree(checkpoint / "commits")  # as if it stopped before Spark's own commit
+    ingest_stream(spark, str(folder), str(checkpoint), db=db).awaitTermination()
+    assert table(spark, "ingestion_runs", db).count() == 1
+    assert table(spark, "rejected_papers", db).count() == 1
+
+
 def test_stream_with_own_handler(spark, tmp_path):
     folder = tmp_path / "landing"
     folder.mkdir()

@@ -126,7 +126,7 @@ def test_object_inventory(spark, tmp_path):
 def test_tables_are_listed_without_views(spark, db):
     spark.range(1).createOrReplaceTempView("a_temp_view")
     assert list_tables(spark, db) == sorted(TABLES)
-    assert describe_tables(spark, db).startswith("10 tables: authors, categories")
+    assert describe_tables(spark, db).startswith("11 tables: authors, categories")
     assert describe_tables(spark, "default") == "no tables found"
 
 
