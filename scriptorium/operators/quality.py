@@ -136,39 +136,3 @@ def report(checks: Sequence[DataFrame]) -> DataFrame:
     for check in checks[1:]:
         whole = whole.unionByName(check)
     return whole
-
-
-def standard_checks(tables: dict[str, DataFrame]) -> list[DataFrame]:
-    """The six checks of the daily quality run."""
-    return [
-        duplicate_ids(tables["papers"]),
-        null_keys(tables["papers"]),
-        orphans(tables["paper_authors"], tables["papers"]),
-        duplicate_vectors(tables["paper_embeddings"]),
-        embeddings_excess(tables["paper_embeddings"], tables["papers"]),
-        enrichment_empty(tables["paper_enrichments"]),
-    ]
-
-
-def model_checks(views: dict[str, DataFrame]) -> list[DataFrame]:
-    """The twelve declared tests of the staging views."""
-    papers, authors = views["stg_papers"], views["stg_authors"]
-    links, categories = views["stg_paper_authors"], views["stg_categories"]
-    return [
-        unique(papers, ["paper_id"], "unique_stg_papers_paper_id"),
-        not_null(papers, "paper_id", "not_null_stg_papers_paper_id"),
-        unique(papers, ["arxiv_id"], "unique_stg_papers_arxiv_id"),
-        not_null(papers, "arxiv_id", "not_null_stg_papers_arxiv_id"),
-        unique(authors, ["author_id"], "unique_stg_authors_author_id"),
-        not_null(authors, "author_id", "not_null_stg_authors_author_id"),
-        not_null(links, "paper_id", "not_null_stg_paper_authors_paper_id"),
-        relationships(
-            links, papers, "paper_id", "paper_id", "relationships_stg_paper_authors_paper_id"
-        ),
-        not_null(links, "author_id", "not_null_stg_paper_authors_author_id"),
-        relationships(
-            links, authors, "author_id", "author_id", "relationships_stg_paper_authors_author_id"
-        ),
-        unique(categories, ["category_id"], "unique_stg_categories_category_id"),
-        not_null(categories, "category_id", "not_null_stg_categories_category_id"),
-    ]

@@ -6,7 +6,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scriptorium.operators.quality import freshness, model_checks, standard_checks
+from scriptorium.operators.quality import freshness
+from scriptorium.operators.suite import evaluate, model_rules, standard_rules
 from scriptorium.operators.topics import select_topics
 from scriptorium.plans import marts
 from scriptorium.plans.ingest import IngestOptions, ingest
@@ -76,12 +77,10 @@ def run_quality(
     fail: bool = True,
     with_model_checks: bool = False,
 ) -> DataFrame:
-    """The daily checks as one job, logged, failing together at the end."""
-    t = all_tables(spark, db)
-    checks = standard_checks(t)
-    if with_model_checks:
-        checks += model_checks(staging_views(t))
-    return run_checks(checks, db, as_of, fail)
+    """The daily checks as one job that scans each table once, logged, failing
+    together at the end."""
+    rules = standard_rules() + (model_rules() if with_model_checks else [])
+    return run_checks([evaluate(rules, all_tables(spark, db))], db, as_of, fail)
 
 
 def source_freshness(

@@ -5,10 +5,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from scriptorium.operators import quality
+from scriptorium.operators import quality, suite
 from scriptorium.operators.changes import ConflictError
 from scriptorium.operators.embed import ClientEmbedder, HashingEmbedder
-from scriptorium.plans import ingest as I, views
+from scriptorium.plans import ingest as I
 from scriptorium.plans.embeddings import author_list, embedding_inputs, run_embedding_job
 from scriptorium.plans.ingest import IngestOptions, ingest
 from scriptorium.schemas import TABLES
@@ -53,7 +53,7 @@ def state(spark, db):
 
 def violations(spark, db):
     t = all_tables(spark, db)
-    checks = quality.standard_checks(t) + quality.model_checks(views.staging_views(t))
+    checks = [suite.evaluate(suite.standard_rules() + suite.model_rules(), t)]
     for name, spec in TABLES.items():
         checks += [quality.unique(t[name], k, f"{name}-{k}") for k in spec.unique]
         checks += [quality.not_null(t[name], c, f"{name}-{c}") for c in spec.required]

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from scriptorium.operators import quality
+from scriptorium.operators import quality, suite
 from scriptorium.sinks.logs import QualityError, run_checks
 from scriptorium.sources.catalog import all_tables
 
@@ -85,3 +85,52 @@ def test_runner_logs_all_and_names_all_failures(spark, db):
     ]
     assert run_checks(checks, db, fail=False).count() == 3
     assert all_tables(spark, db)["quality_checks"].count() == 6
+
+
+def test_rules_count_as_the_single_checks_do(spark):
+    papers = spark.createDataFrame(
+        [(1, "a"), (1, "a"), (2, None), (None, "b"), (None, "b"), (3, "c")], "id long, arxiv_id string")
+    links = spark.createDataFrame(
+        [(1, 1), (9, 1), (9, 2), (None, 2), (3, None)], "paper_id long, author_id long")
+    vectors = spark.sql(
+        """SELECT * FROM VALUES (array(float(0))), (array(float('-0.0'))), (array(float(0))),
+        (cast(null AS array<float>)), (array(float(1))), (array(float(1))), (array(float(1))) AS v(embedding)"""
+    )
+    done = spark.createDataFrame(
+        [(None, None, None), ("s", None, None)], "summary string, methods string, datasets string")
+    authors, codes = spark.range(2), spark.range(0)
+    tables = {"papers": papers, "paper_authors": links, "paper_embeddings": vectors,
+              "paper_enrichments": done, "authors": authors, "categories": codes}
+    got = {r["check_name"]: r["violations"] for r in
+           suite.evaluate(suite.standard_rules() + suite.model_rules(), tables).collect()}
+    single = [
+        quality.duplicate_ids(papers), quality.null_keys(papers), quality.orphans(links, papers),
+        quality.duplicate_vectors(vectors), quality.embeddings_excess(vectors, papers),
+        quality.enrichment_empty(done),
+        quality.unique(papers, ["id"], "unique_stg_papers_paper_id"),
+        quality.not_null(papers, "id", "not_null_stg_papers_paper_id"),
+        quality.unique(papers, ["arxiv_id"], "unique_stg_papers_arxiv_id"),
+        quality.relationships(links, papers, "paper_id", "id", "relationships_stg_paper_authors_paper_id"),
+        quality.relationships(links, authors, "author_id", "id", "relationships_stg_paper_authors_author_id"),
+        quality.not_null(links, "author_id", "not_null_stg_paper_authors_author_id"),
+    ]
+    want = {r["check_name"]: r["violations"] for r in quality.report(single).collect()}
+    assert len(got) == 18 and {k: got[k] for k in want} == want
+    assert want["no_orphaned_paper_authors"] == 3 and want["duplicate_papers"] == 3
+    empty = {name: df.limit(0) for name, df in tables.items()}
+    rows = suite.evaluate(suite.standard_rules() + suite.model_rules(), empty).collect()
+    assert len(rows) == 18 and all(r["violations"] == 0 for r in rows)
+
+
+def test_each_table_is_scanned_once(spark, tmp_path):
+    schemas = {
+        "papers": "id long, arxiv_id string", "paper_authors": "paper_id long, author_id long",
+        "paper_embeddings": "embedding array<float>", "authors": "id long", "categories": "id long",
+        "paper_enrichments": "summary string, methods string, datasets string"}
+    tables = {}
+    for name, schema in schemas.items():
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    whole = suite.evaluate(suite.standard_rules() + suite.model_rules(), tables)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == len(tables)
