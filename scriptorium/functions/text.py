@@ -37,8 +37,11 @@ def object_path(arxiv_id: Column, prefix: str = "arxiv_pdfs/", suffix: str = ".p
 
 
 def mentions(term: str, *texts: Column) -> Column:
-    """True when any text contains the term, whatever its case."""
+    """True when any text has the term as a word or a plural, whatever its
+    case: ``LLM`` is in "LLMs" and "LLM-based", not in "Hellman"."""
+    edge = r"[\p{L}\p{N}_]"
+    pattern = rf"(?iu)(?<!{edge})\Q{term}\E(?:s|es)?(?!{edge})"
     hit = F.lit(False)
     for text in texts:
-        hit = hit | F.coalesce(F.contains(F.lower(text), F.lit(term.lower())), F.lit(False))
+        hit = hit | F.coalesce(text.rlike(pattern), F.lit(False))
     return hit

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from scriptorium.session import cut_lineage
 
 
 def digest_of(columns: Sequence[str]) -> Column:
@@ -15,35 +17,52 @@ def digest_of(columns: Sequence[str]) -> Column:
     return F.unhex(F.sha2(F.concat_ws(",", *each).cast("binary"), 256))
 
 
+def duplicate_members(
+    df: DataFrame, by: Sequence[str], id_col: str, other: str
+) -> DataFrame:
+    """The rows that are equal to another one in ``by``: ``(first_id, n,
+    ordinal, id, other)``, one row per member of a group of any size, counted
+    from 1 in the order of the ids. ``first_id`` names the group.
+
+    Rows are grouped by a digest of the texts, so texts stay out of the
+    shuffle. Members are range-partitioned by group and id and pinned by a
+    checkpoint; a member's ordinal is its place in its partition, less that of
+    the group's first member there, plus the members in partitions before: a
+    group may run over many partitions.
+    """
+    slim = df.select(
+        F.col(id_col).alias("id"), F.col(other).alias("other"), digest_of(by).alias("digest"))
+    groups = (
+        slim.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"))
+        .filter(F.col("n") > 1))
+    members = cut_lineage(
+        slim.join(groups, "digest").select("first_id", "n", "id", "other")
+        .repartitionByRange("first_id", "id").sortWithinPartitions("first_id", "id"))
+    place = F.monotonically_increasing_id()  # high bits: the partition
+    placed = members.withColumn("place", place).withColumn("part", F.shiftright("place", 33))
+    spans = placed.groupBy("first_id", "part").agg(
+        F.min("place").alias("opens"), F.count(F.lit(1)).alias("here"))
+    before = Window.partitionBy("first_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select(
+        "first_id", "part",
+        (F.coalesce(F.sum("here").over(before), F.lit(0)) + 1 - F.col("opens")).alias("shift"))
+    return placed.join(spans, ["first_id", "part"]).select(
+        "first_id", "n", (F.col("place") + F.col("shift")).alias("ordinal"), "id", "other")
+
+
 def duplicate_docs(
     df: DataFrame, by: Sequence[str], id_col: str, other: str, part_rows: int = 100_000
 ) -> DataFrame:
     """Groups of rows equal in ``by``: ``(*by, part, n, ids, others)``, the
     two arrays in id order.
 
-    Rows are grouped by a digest of the texts, so texts stay out of the
-    shuffle; one text per group is fetched at the end. A group of any ordinary
-    size is one row with part 0. A larger group comes in several parts by
-    equal id ranges, in id order, so that no array grows with the group: with
-    ids from 1 to N no part passes ``sqrt(part_rows * N)`` ids.
+    Members are listed by their ordinals: part 0 has the first ``part_rows``,
+    part 1 the next, so no array grows with its group.
     """
-    slim = df.select(id_col, other, digest_of(by).alias("digest"))
-    span = F.col("final_id") - F.col("first_id") + 1
-    groups = (
-        slim.groupBy("digest")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(id_col).alias("first_id"),
-            F.max(id_col).alias("final_id"),
-        )
-        .filter(F.col("n") > 1)
-        .withColumn("width", F.ceil(span / F.ceil(F.col("n") / part_rows)))
-        .drop("final_id")
-    )
-    part = F.floor((F.col(id_col) - F.col("first_id")) / F.col("width"))
-    member = F.struct(F.col(id_col).alias("id"), F.col(other).alias("other"))
+    part = F.floor((F.col("ordinal") - 1) / part_rows)
+    member = F.struct("ordinal", "id", "other")
     parts = (
-        slim.join(groups, "digest")
+        duplicate_members(df, by, id_col, other)
         .groupBy("first_id", "n", part.alias("part"))
         .agg(F.array_sort(F.collect_list(member)).alias("members"))
         .select(

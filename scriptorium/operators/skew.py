@@ -6,55 +6,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Rows a broadcast list of hot keys may have: about 2 MB of long keys.
-HOT_KEYS = 100_000
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], above: int, limit: int = HOT_KEYS) -> DataFrame:
-    """Keys with more than ``above`` rows, the heaviest ``limit`` of them.
-
-    The list is small enough to broadcast by construction. A key that does not
-    make the list has at most ``count(df) / limit`` rows and stays on the
-    ordinary path, so the limit bounds memory and loses nothing.
-    """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-    return sizes.filter(F.col("n_rows") > above).orderBy(F.desc("n_rows"), *keys).limit(limit)
-
-
 def member_pairs(df: DataFrame, key: str, member: str, block: int = 2048) -> DataFrame:
     """``(key, a, b)`` for every two members ``a < b`` that share a key.
 
-    Keys of ordinary size are joined with themselves on the key alone. A hot
-    key's members are cut into blocks by hash and each pair of blocks meets in
-    its own task, so no task sees more than ``2 * block`` members of it.
+    The members of each key are cut into blocks of about ``block`` by hash,
+    most keys into one. Blocks ``i <= j`` of a key meet in a group of their
+    own, each pair of blocks once, so no group has more than about two blocks
+    of members, however many a key has.
     """
     rows = df.select(key, member).na.drop()
-    hot = hot_keys(rows, [key], above=block).select(
-        key, F.ceil(F.col("n_rows") / block).cast("int").alias("blocks")
-    )
-    # An outer join, unlike an anti join, is not pushed below what made the
-    # rows, so counting and both paths read one and the same shuffle.
-    marked = rows.join(F.broadcast(hot), key, "left")
-    plain = marked.filter(F.col("blocks").isNull())
-    ordered = F.col("a") < F.col("b")
-
-    left = plain.select(key, F.col(member).alias("a"))
-    right = plain.select(F.col(key).alias("other_key"), F.col(member).alias("b"))
-    light = left.join(right, (F.col(key) == F.col("other_key")) & ordered).select(key, "a", "b")
-
-    cut = (
-        marked.filter(F.col("blocks").isNotNull())
-        .withColumn("own", F.pmod(F.xxhash64(member), F.col("blocks")).cast("int"))
-        .withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    )
-    as_left = cut.select(
-        key, F.col("own").alias("i"), F.col("met").alias("j"), F.col(member).alias("a")
-    )
-    as_right = cut.select(
-        key, F.col("met").alias("i"), F.col("own").alias("j"), F.col(member).alias("b")
-    )
-    heavy = as_left.join(as_right, [key, "i", "j"]).filter(ordered).select(key, "a", "b")
-    return light.unionByName(heavy)
+    sizes = rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    dealt = rows.join(sizes, key).withColumn(
+        "own", F.pmod(F.xxhash64(member), F.col("blocks")).cast("int"))
+    later = F.explode(F.sequence(F.col("own"), F.col("blocks") - 1))
+    earlier = F.explode(F.sequence(F.lit(0), F.col("own")))
+    left = dealt.select(key, F.col(member).alias("x"), F.col("own").alias("i"), later.alias("j"))
+    right = dealt.select(key, F.col(member).alias("y"), F.col("own").alias("j"), earlier.alias("i"))
+    met = left.join(right, [key, "i", "j"])
+    # Within a block each two members meet in both orders, between blocks once.
+    once = met.filter((F.col("x") < F.col("y")) | ((F.col("i") < F.col("j")) & (F.col("x") != F.col("y"))))
+    return once.select(key, F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 def rank_desc(df: DataFrame, by: Sequence[str], measure: str, name: str = "rank") -> DataFrame:
@@ -82,15 +53,13 @@ def top_per_group(
 ) -> DataFrame:
     """The first ``k`` rows of each group in the given order.
 
-    Up to Spark's group-limit threshold the optimizer cuts every map task to
-    ``k`` rows per group before the shuffle. Past it the same cut is made by
-    hand, over salted sub-groups first.
+    The first rows of salted parts of each group come first, so that no task
+    gets a whole group, then those of the groups. For a small ``k`` the
+    optimizer cuts every map task to ``k`` rows per part before the shuffle.
     """
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if k > threshold:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
-        df = _first_rows(df.withColumn("salt", salt), [*by, "salt"], order, k).drop("salt")
-    return _first_rows(df, by, order, k)
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
+    parts = _first_rows(df.withColumn("salt", salt), [*by, "salt"], order, k).drop("salt")
+    return _first_rows(parts, by, order, k)
 
 
 def _first_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
@@ -99,5 +68,6 @@ def _first_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: in
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key: the first in the given order."""
-    return top_per_group(df, key, order, 1)
+    """One row per key: the first in the given order. The optimizer cuts every
+    map task to one row per key."""
+    return _first_rows(df, key, order, 1)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from scriptorium.functions.jsonx import each_string
 from scriptorium.functions.temporal import day_of, period_of, week_of
-from scriptorium.operators.skew import HOT_KEYS, member_pairs, rank_desc
+from scriptorium.operators.skew import member_pairs, rank_desc
 
 
 def author_counts(
@@ -41,20 +41,18 @@ def coauthor_pairs(
     """(author_1, author_2, n_collabs), the smaller id first.
 
     Pairs are counted on ids and then named. ``top`` keeps the most frequent
-    ones, equal counts in id order, so that only those need names.
+    ones, equal counts in id order, so that only those need names; they come
+    in that order.
     """
     counts = pair_counts(links, block)
     if top is not None:
         counts = counts.orderBy(F.desc("n"), "a", "b").limit(top)
-        if top <= HOT_KEYS:
-            counts = F.broadcast(counts)
     first = authors.select(F.col("author_id").alias("a"), F.col("name").alias("author_1"))
     second = authors.select(F.col("author_id").alias("b"), F.col("name").alias("author_2"))
-    return (
-        counts.join(first, "a")
-        .join(second, "b")
-        .select("author_1", "author_2", F.col("n").alias("n_collabs"))
-    )
+    named = counts.join(first, "a").join(second, "b")
+    if top is not None:
+        named = named.orderBy(F.desc("n"), "a", "b")
+    return named.select("author_1", "author_2", F.col("n").alias("n_collabs"))
 
 
 def weekly_by_category(

@@ -90,7 +90,7 @@ wanted AS (
 grouped AS (
   SELECT DISTINCT group_name, arxiv_id, published_at
   FROM papers JOIN typed ON paper_id = id JOIN wanted ON code = p_type
-  WHERE contains(lower(title), 'urgent'))"""
+  WHERE regexp_matches(lower(title), '(^|[^a-z0-9_])urgents?($|[^a-z0-9_])'))"""
 
 _RAW = """
 raw AS (
@@ -277,10 +277,20 @@ FROM documents GROUP BY text""",
 SELECT max(doc_id) AS id, sha256(text) AS title, arg_max(source, doc_id) AS source
 FROM documents GROUP BY text""",
     "dup_docs": """
-SELECT lang, text, 0::BIGINT AS part, count(*) AS n,
+WITH placed AS (
+  SELECT *, count(*) OVER (PARTITION BY lang, text) AS n,
+         row_number() OVER (PARTITION BY lang, text ORDER BY doc_id) AS ordinal
+  FROM documents)
+SELECT lang, text, ((ordinal - 1) // 2)::BIGINT AS part, n,
        string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS ids,
        string_agg(source, ',' ORDER BY doc_id) AS sources
-FROM documents GROUP BY lang, text HAVING count(*) > 1""",
+FROM placed WHERE n > 1 GROUP BY ALL""",
+    "dup_members": """
+SELECT min(doc_id) OVER same AS first_id, count(*) OVER same AS n,
+       row_number() OVER (PARTITION BY lang, text ORDER BY doc_id) AS ordinal,
+       doc_id AS id, source AS other
+FROM documents WINDOW same AS (PARTITION BY lang, text)
+QUALIFY count(*) OVER same > 1""",
     "unnest_authors": f"""
 WITH {_LINES}
 SELECT 'o' || o_orderkey AS arxiv_id, s_name AS author,

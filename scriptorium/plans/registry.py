@@ -193,12 +193,18 @@ def dedup_keep_latest(w):
 
 @query
 def dup_docs(w):
-    found = duplicates.duplicate_docs(w.documents, ["lang", "text"], "doc_id", "source")
+    """Two copies in a part at most, so that groups have several."""
+    found = duplicates.duplicate_docs(w.documents, ["lang", "text"], "doc_id", "source", 2)
     return found.select(
         "lang", "text", "part", "n", _listed("ids").alias("ids"), _listed("others").alias("sources")
     )
 
 
+@query
+def dup_members(w):
+    return duplicates.duplicate_members(w.documents, ["lang", "text"], "doc_id", "source")
+
+
 # Links and inserts
 
 

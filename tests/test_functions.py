@@ -47,9 +47,13 @@ def test_object_path_and_joined(spark):
 
 
 def test_mentions_ignores_case_and_nulls(spark):
-    df = spark.createDataFrame([("An llM", None), (None, None), ("no", "none")], "a string, b string")
+    texts = [("An llM", None), (None, None), ("no", "none"), (None, "many LLMs."), ("LLM-based", ""),
+             ("Diffie-Hellman", "Hellmann"), ("LLM2", "xLLM"), ("\u00e9LLM", "LLM_x")]
+    df = spark.createDataFrame(texts, "a string, b string")
     hits = [r[0] for r in df.select(X.mentions("LLM", F.col("a"), F.col("b"))).collect()]
-    assert hits == [True, False, False]
+    assert hits == [True, False, False, True, True, False, False, False]
+    dotted = spark.createDataFrame([("a.b",), ("axb",)], "a string").select(X.mentions("a.b", F.col("a")))
+    assert [r[0] for r in dotted.collect()] == [True, False]
 
 
 def test_weeks_start_on_monday(spark):
