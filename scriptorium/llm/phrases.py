@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -24,6 +25,18 @@ SHARD_SCHEMA = pa.schema([
 ])
 
 
+def pack_ids(ids: np.ndarray) -> bytes:
+    """Word ids as compressed bytes: all lowest bytes first, then the next,
+    of which most are 0."""
+    planes = ids.astype("<i4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(planes.tobytes())
+
+
+def unpack_ids(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(packed), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel().astype(np.int64)
+
+
 class Shard:
     """Word ids of the texts of one language; -1 stands between pieces."""
 
@@ -45,7 +58,7 @@ class Shard:
     def row(self, number: int, lang: str) -> dict:
         ids = np.concatenate(self.parts)
         words = [w.decode() for w in self.words][2:]
-        return {"shard": number, "lang": lang, "words": words, "ids": ids.astype("<i4").tobytes(),
+        return {"shard": number, "lang": lang, "words": words, "ids": pack_ids(ids),
                 "counts": np.bincount(ids[ids >= 0], minlength=len(words)).tolist()}
 
 
@@ -194,32 +207,31 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
 def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of neighbouring frequent words per shard."""
     for row in _rows(batches):
-        ids, frequent = np.frombuffer(row["ids"], dtype="<i4"), np.zeros(len(row["words"]) + 1, bool)
+        ids, frequent = unpack_ids(row["ids"]), np.zeros(len(row["words"]) + 1, bool)
         frequent[row["frequent"]] = True
         symbols, old = _compact(chains(ids, frequent[ids[:-1]] & frequent[ids[1:]]))
         if not len(symbols):
             continue
         for words, count, _, _ in FmIndex(symbols, 2).grams(2):
             names = np.array([""] + row["words"], dtype=object)[old][words]
-            a, b = old[words[:, 0]] - 1, old[words[:, 1]] - 1
             for at in range(0, len(count), 50_000):
                 part = slice(at, at + 50_000)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([row["shard"]] * len(count[part]), pa.int64()),
                     pa.array([row["lang"]] * len(count[part]), pa.string()),
-                    pa.array(a[part], pa.int32()), pa.array(b[part], pa.int32()),
                     pa.array([" ".join(x) for x in names[part]], pa.string()),
                     pa.array(count[part], pa.int64())],
-                    names=["shard", "lang", "a", "b", "phrase", "n"])
+                    names=["shard", "lang", "phrase", "n"])
 
 
 def _grams(depth: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Counts and sole neighbours of the grams of linked words per shard."""
         for row in _rows(batches):
-            ids = np.frombuffer(row["ids"], dtype="<i4").astype(np.int64)
-            width = len(row["words"]) + 1
-            wanted = np.sort(np.array([a * width + b for a, b in row["links"]], dtype=np.int64))
+            ids, width = unpack_ids(row["ids"]), len(row["words"]) + 1
+            place = {word: i for i, word in enumerate(row["words"])}
+            ends = (link.split(" ") for link in row["links"])
+            wanted = np.sort(np.array([place[a] * width + place[b] for a, b in ends], dtype=np.int64))
             key = np.where((ids[:-1] >= 0) & (ids[1:] >= 0), ids[:-1] * width + ids[1:], -1)
             at = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
             symbols, old = _compact(chains(ids, wanted[at] == key))
@@ -274,15 +286,13 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, shard
         .groupBy("shard").agg(F.collect_list("id").alias("frequent")))
     pairs = (
         shards.drop("counts").join(frequent, "shard").select("shard", "lang", "words", "ids", "frequent")
-        .mapInArrow(_pairs, "shard long, lang string, a int, b int, phrase string, n long"))
+        .mapInArrow(_pairs, "shard long, lang string, phrase string, n long"))
     # A pair has one row per shard at most; they meet once.
     whole = F.sum("n").over(Window.partitionBy("lang", "phrase"))
     links = (
         pairs.withColumn("f", whole).filter(F.col("f") >= least)
-        .groupBy("shard").agg(F.collect_list(F.struct("a", "b")).alias("pairs")))
-    chained = (
-        shards.drop("counts").join(links, "shard")
-        .select("lang", "words", "ids", F.transform("pairs", lambda p: F.array(p["a"], p["b"])).alias("links")))
+        .groupBy("shard").agg(F.collect_list("phrase").alias("links")))
+    chained = shards.drop("counts").join(links, "shard").select("lang", "words", "ids", "links")
     found = chained.mapInArrow(
         _grams(depth), "lang string, phrase string, size int, n long, left string, right string")
     grams = stored(
