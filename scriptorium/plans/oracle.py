@@ -469,7 +469,7 @@ FROM orders""",
     "dq_model_tests": " UNION ALL ".join(_MODEL_TESTS),
     "bronze_round_trip": f"""
 WITH {_RAW}
-SELECT '2024-01-' || lpad(source[4:], 2, '0') AS ds, arxiv_id,
+SELECT strftime(DATE '2023-12-31' + source[4:]::INTEGER, '%Y-%m-%d') AS ds, arxiv_id,
        CASE WHEN lang = 'es' THEN '(none)' ELSE lang || ' ' || chr(9) || chr(10) || ' ' || source
          || ' ' END AS title,
        text AS abstract, source || ', ' || lang AS authors, 'pdf/' || doc_id AS pdf_url

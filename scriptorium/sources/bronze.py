@@ -38,11 +38,11 @@ def empty_bronze(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], T.StructType(BRONZE.fields + ORIGIN.fields))
 
 
-def _in_range(df: DataFrame, start_ds: str | None, end_ds: str | None) -> DataFrame:
+def _in_range(df: DataFrame, ds: Column, start_ds: str | None, end_ds: str | None) -> DataFrame:
     if start_ds is not None:
-        df = df.filter(F.col("ds") >= start_ds)
+        df = df.filter(ds >= start_ds)
     if end_ds is not None:
-        df = df.filter(F.col("ds") <= end_ds)
+        df = df.filter(ds <= end_ds)
     return df
 
 
@@ -65,13 +65,14 @@ def run_date() -> Column:
 def read_landed(
     spark: SparkSession, folder: str, start_ds: str | None = None, end_ds: str | None = None
 ) -> DataFrame:
-    """Array files of the given run dates; an absent date gives no rows."""
-    one_day = start_ds is not None and start_ds == end_ds
-    pattern = f"{folder.rstrip('/')}/arxiv_papers_{start_ds if one_day else '*'}.json"
+    """Array files of the given run dates; an absent date gives no rows. The
+    dates are tested on the file's path, below the row numbers, so that files
+    of other dates are left out before any is read."""
+    pattern = f"{folder.rstrip('/')}/arxiv_papers_*.json"
     if not path_exists(spark, pattern):
         return empty_bronze(spark)
     raw = spark.read.schema(BRONZE).option("multiLine", True).json(pattern)
-    return _in_range(with_origin(raw, run_date()), start_ds, end_ds)
+    return with_origin(_in_range(raw, run_date(), start_ds, end_ds), run_date())
 
 
 def read_bronze(
@@ -82,4 +83,4 @@ def read_bronze(
         return empty_bronze(spark)
     schema = T.StructType(BRONZE.fields + [T.StructField("ds", T.StringType())])
     raw = spark.read.schema(schema).json(folder)
-    return with_origin(_in_range(raw, start_ds, end_ds), F.col("ds"))
+    return with_origin(_in_range(raw, F.col("ds"), start_ds, end_ds), F.col("ds"))

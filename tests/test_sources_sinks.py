@@ -207,3 +207,25 @@ def test_shared_folder_comes_from_the_session(spark):
     cut = cut_lineage(spark.range(10).repartition(2))
     assert "Scan ExistingRDD" in cut._jdf.queryExecution().executedPlan().toString()
     assert cut.count() == 10
+
+
+def test_a_range_of_run_dates_reads_its_files_only(spark, tmp_path):
+    import json
+
+    from tests.conftest import record
+    from scriptorium.sources.bronze import read_landed
+
+    for day in range(1, 6):
+        (tmp_path / f"arxiv_papers_2026-06-0{day}.json").write_text(json.dumps([record(f"{day}v1"), record(f"{day}v2")]))
+    (tmp_path / "other.json").write_text("[]")
+    two = read_landed(spark, str(tmp_path), "2026-06-02", "2026-06-03")
+    assert sorted((r["ds"], r["arxiv_id"]) for r in two.collect()) == [
+        ("2026-06-02", "2v1"), ("2026-06-02", "2v2"), ("2026-06-03", "3v1"), ("2026-06-03", "3v2")]
+    plan = two._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+    scan = plan.collectLeaves().head()
+    assert scan.metrics().apply("numFiles").value() == 2
+    assert read_landed(spark, str(tmp_path), "2026-06-05").count() == 2
+    assert read_landed(spark, str(tmp_path), end_ds="2026-06-01").count() == 2
+    assert read_landed(spark, str(tmp_path), "2027-01-01").count() == 0
+    assert read_landed(spark, str(tmp_path)).count() == 10
