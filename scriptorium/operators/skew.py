@@ -53,11 +53,11 @@ def top_per_group(
 ) -> DataFrame:
     """The first ``k`` rows of each group in the given order.
 
-    The first rows of salted parts of each group come first, so that no task
-    gets a whole group, then those of the groups. For a small ``k`` the
+    The first rows of parts of each group, dealt by the task that has them,
+    come first, so that no task gets a whole group, then those of the groups. For a small ``k`` the
     optimizer cuts every map task to ``k`` rows per part before the shuffle.
     """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
+    salt = F.pmod(F.spark_partition_id(), F.lit(salts))
     parts = _first_rows(df.withColumn("salt", salt), [*by, "salt"], order, k).drop("salt")
     return _first_rows(parts, by, order, k)
 

@@ -61,8 +61,8 @@ def evaluate(rules: Sequence[Rule], tables: dict[str, DataFrame]) -> DataFrame:
             per_table.setdefault(read.table, []).append(_items(number, read))
     read_ = None
     for name, items in per_table.items():
-        given = F.filter(F.array(*items), lambda item: item.isNotNull())
-        keys = tables[name].select(F.explode(given).alias("item")).select("item.*")
+        given = tables[name].select(F.explode(F.array(*items)).alias("item"))
+        keys = given.filter(F.col("item").isNotNull()).select("item.*")
         read_ = keys if read_ is None else read_.unionByName(keys)
     counted = read_.groupBy("rule", "key").agg(F.sum("n").alias("n"), F.sum("parents").alias("parents"))
     n, null_key = F.col("n"), F.col("key").isNull()
