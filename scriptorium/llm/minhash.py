@@ -83,34 +83,64 @@ def bag_of(text: Column, width: int = WIDTH) -> Column:
     ).when(F.size(w) > 0, F.array(F.xxhash64(w))).otherwise(F.array().cast("array<bigint>"))))[0]
 
 
+def entries(bags: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted bags end to end: ``(lengths, values, at, weights)``, ``at`` being
+    where a new shingle begins and ``weights`` how often it repeats."""
+    lengths = np.array([len(b) for b in bags])
+    doc, value = np.repeat(np.arange(len(bags)), lengths), np.concatenate(bags)
+    at = np.nonzero(np.r_[True, (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])])[0]
+    return lengths, value, at, np.diff(np.r_[at, len(value)])
+
+
 def signed(bags: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``(node, size, marks, keys)``: marks tell the repeats of a shingle
-    apart, so multiset overlap is set overlap; keys are the band keys."""
-    m = bands * rows
+    """``(doc_id, node, size, keys)``: the band keys of each bag. Equal bags of
+    one Arrow batch get them once, at the first; the others' are null."""
+    m, kind = bands * rows, bags.schema["doc_id"].dataType.simpleString()
+
+    def keys_of(arrays: list) -> list:
+        lengths, value, at, weight = entries(arrays)
+        doc = np.repeat(np.arange(len(arrays)), lengths)
+        sign = bag_signatures(doc[at], value[at].view(U), weight, len(arrays), m)
+        key = np.zeros((len(arrays), bands), dtype=U) + np.arange(1, bands + 1).astype(U)
+        for r in range(rows):
+            key = mix(key ^ sign.reshape(-1, bands, rows)[:, :, r])
+        return list(key.view(np.int64))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            sizes = frame["bag"].map(len).to_numpy()
+            first = np.nonzero((~frame["node"].duplicated()).to_numpy() & (sizes > 0))[0]
+            keys: list = [None] * len(frame)
+            for begin in range(0, len(first), CHUNK):
+                some = first[begin : begin + CHUNK]
+                bags = [np.asarray(frame["bag"].iat[i], dtype=np.int64) for i in some]
+                for i, key in zip(some, keys_of(bags)):
+                    keys[i] = key
+            yield pd.DataFrame({
+                "doc_id": frame["doc_id"], "node": frame["node"], "size": sizes,
+                "keys": pd.Series(keys, index=frame.index, dtype=object)})
+
+    return bags.mapInPandas(run, f"doc_id {kind}, node long, size int, keys array<long>")
+
+
+def marked(bags: DataFrame) -> DataFrame:
+    """``(node, size, marks)``: marks tell the repeats of a shingle apart, so
+    multiset overlap is set overlap."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for begin in range(0, len(frame), CHUNK):
                 part = frame.iloc[begin : begin + CHUNK]
-                arrays = [np.asarray(b, dtype=np.int64) for b in part["bag"]]
-                lengths = np.array([len(a) for a in arrays])
-                doc, value = np.repeat(np.arange(len(arrays)), lengths), np.concatenate(arrays)
-                new = np.r_[True, (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])]
-                at = np.nonzero(new)[0]
-                weight = np.diff(np.r_[at, len(value)])
-                sign = bag_signatures(doc[at], value[at].view(U), weight, len(arrays), m)
+                lengths, value, at, weight = entries(
+                    [np.asarray(b, dtype=np.int64) for b in part["bag"]])
                 repeat = (np.arange(len(value)) - np.repeat(at, weight)).astype(U)
                 with np.errstate(over="ignore"):
                     marks = np.where(repeat == 0, value.view(U), mix(value.view(U) + mix(repeat)))
-                    key = np.zeros((len(arrays), bands), dtype=U) + np.arange(1, bands + 1).astype(U)
-                    for r in range(rows):
-                        key = mix(key ^ sign.reshape(-1, bands, rows)[:, :, r])
                 yield pd.DataFrame({
                     "node": part["node"].to_numpy(), "size": lengths,
-                    "marks": np.split(marks.view(np.int64), np.cumsum(lengths)[:-1]),
-                    "keys": list(key.view(np.int64))})
+                    "marks": np.split(marks.view(np.int64), np.cumsum(lengths)[:-1])})
 
-    return bags.mapInPandas(run, "node long, size int, marks array<long>, keys array<long>")
+    return bags.mapInPandas(run, "node long, size int, marks array<long>")
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
@@ -182,62 +212,104 @@ def joined_roots(placed: DataFrame, nodes: DataFrame, least: float, block: int =
     return stored(met.applyInPandas(meet, "a long, b long").distinct(), "joined")
 
 
-def near_duplicates(
+def with_node(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``bag``, the shingle multiset of ``text``, and ``node``,
+    its hash. Texts without words are told apart as they are."""
+    node = F.when(F.size("bag") > 0, F.xxhash64("bag")).otherwise(F.xxhash64(F.lit("raw"), F.col("text")))
+    return rows.withColumn("bag", bag_of(F.col("text"))).withColumn("node", node)
+
+
+def classed(
     docs: DataFrame, least: float = SIMILAR, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
-    """``(doc_id, class_id)`` per row: the smallest id of the documents joined
-    to it by links of weighted Jaccard similarity ``least`` or more.
+    """``(doc_id, node, class_id, lead)`` per row with an id and a text:
+    ``class_id`` and ``lead`` are the id and the node of the first row of its
+    class, by id, then node.
 
-    Texts with equal shingle multisets are one node. Nodes of equal band key
-    are first compared with the key's smallest node; then nodes of the key
-    that these links leave in different components are compared with each
-    other in blocks (``joined_roots``). Pairs already joined by links need no
-    comparison, so a large group of copies costs about one comparison per
-    member. Each pair is verified on the whole multisets.
-
-    Texts without words are compared as they are; a null text or id is in no
-    group (its class is its own id). Repeated rows come back repeated. Other
-    columns are ignored; an empty table gives no rows.
+    One pass over the texts writes ids, nodes and band keys only. Texts are
+    read again, and their multisets kept, for nodes that share a key.
     """
-    def bagged(rows: DataFrame) -> DataFrame:
-        text = F.col("text")
-        node = F.when(F.size("bag") > 0, F.xxhash64("bag")).otherwise(F.xxhash64(F.lit("raw"), text))
-        return rows.select("doc_id", bag_of(text).alias("bag"), "text").select(
-            "doc_id", node.alias("node"), "bag")
-
     usable = docs.filter("doc_id is not null and text is not null").select("doc_id", "text")
-    members = stored(bagged(usable).select("doc_id", "node"), "members")
-    heads = members.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    bags = bagged(usable.join(heads.select("doc_id").distinct(), "doc_id", "left_semi"))
-    bags = bags.filter(F.size("bag") > 0).select("node", "bag")
-    nodes = stored(signed(bags, bands, rows).dropDuplicates(["node"]), "nodes")
-    keyed = nodes.select("node", "size", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    signs = stored(signed(with_node(usable).select("doc_id", "node", "bag"), bands, rows), "signs")
+    keyed = signs.select("node", "size", F.explode("keys").alias("key"))
+    shared = stored(
+        keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
+        .filter("pivot <> last").select("key", "pivot"), "shared")
     spread = keyed.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
     copied = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    held = stored(spread.join(copied, ["key", "salt"]).select("key", "salt", "node", "size", "pivot"), "held")
-    star = held.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    held = stored(
+        spread.join(copied, ["key", "salt"]).select("key", "salt", "node", "size", "pivot").distinct(),
+        "held")
+    # One row of each node that shares a key stands for its text.
+    heads = stored(
+        signs.select("doc_id", "node").join(held.select("node").distinct(), "node", "left_semi")
+        .groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct(), "heads")
+    bags = with_node(usable.join(heads, "doc_id", "left_semi")).filter(F.size("bag") > 0)
+    nodes = stored(marked(bags.select("node", "bag").dropDuplicates(["node"])), "nodes")
+    others = held.filter("node <> pivot")
+    star = others.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     links = stored(verified(star, nodes, least), "star")
     roots = components(links)
-    placed = stored(held.join(roots, held["node"] == roots["id"], "left").select(
+    # The pivot has met all nodes of its key, so only the others are left.
+    placed = stored(others.join(roots, others["node"] == roots["id"], "left").select(
         "key", "salt", "node", "size", F.coalesce("root", "node").alias("root")), "placed")
     links = links.unionByName(joined_roots(placed, nodes, least))
     roots = components(links)
-    named = members.join(roots, members["node"] == roots["id"], "left").select(
+    members = signs.select("doc_id", "node")
+    named = members.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(
+        roots, F.col("node") == roots["id"], "left").select(
         "doc_id", "node", F.coalesce("root", "node").alias("root"))
-    classes = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    classes = named.groupBy("root").agg(F.min(F.struct("doc_id", "node")).alias("first"))
     by_node = stored(
-        named.select("node", "root").distinct().join(classes, "root").select("node", "class_id")
+        named.select("node", "root").join(classes, "root").select(
+            "node", F.col("first.doc_id").alias("class_id"), F.col("first.node").alias("lead"))
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), "classes")
-    out = members.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(
-        by_node, ["node", "salt"]).select("doc_id", "class_id")
+    return members.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(
+        by_node, ["node", "salt"]).select("doc_id", "node", "class_id", "lead")
+
+
+def near_duplicates(
+    docs: DataFrame, least: float = SIMILAR, bands: int = BANDS, rows: int = ROWS
+) -> DataFrame:
+    """``(doc_id, class_id)`` per row: the smallest id of the documents joined
+    to it by links of weighted Jaccard similarity ``least`` or more.
+
+    Texts with equal shingle multisets are one node. Nodes of equal band key
+    are first compared with the key's smallest node; then the key's other
+    nodes that these links leave in different components are compared with
+    each other in blocks (``joined_roots``). Pairs already joined by links
+    need no comparison, so a large group of copies costs about one comparison
+    per member. Each pair is verified on the whole multisets.
+
+    Texts without words are compared as they are; a null text or id is in no
+    group (its class is its own id). Repeated rows come back repeated. Other
+    columns are ignored; an empty table gives no rows.
+    """
     alone = docs.filter("doc_id is null or text is null").select("doc_id", F.col("doc_id").alias("class_id"))
-    return out.unionByName(alone)
+    return classed(docs, least, bands, rows).select("doc_id", "class_id").unionByName(alone)
 
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
-    """The documents without all but the one of smallest id of each group;
-    rows without an id stay."""
-    gone = near_duplicates(docs, **settings).filter("doc_id <> class_id").select("doc_id").distinct()
-    first = docs.filter("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return first.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    """One row of each group of near duplicates, with all its columns.
+
+    What stays is judged by row, not by id: of a group the row of the smallest
+    id, and of the smallest node among texts of that id. A row whose id has
+    another, grouped text stays if its own text is in no group or leads one.
+    Of rows equal in id and multiset one stays, whichever comes first. Rows
+    without an id or a text are in no group and all stay.
+
+    Only rows of ids that lose a row are hashed again; all others pass through
+    an anti join with those ids.
+    """
+    found = stored(classed(docs, **settings), "classed")
+    leads = (F.col("doc_id") == F.col("class_id")) & (F.col("node") == F.col("lead"))
+    again = found.filter(leads).groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    touched = stored(
+        found.filter(~leads).select("doc_id").unionByName(again.select("doc_id")).distinct(), "touched")
+    stay = found.filter(leads).select("doc_id", "node").distinct().join(touched, "doc_id", "left_semi")
+    some = docs.join(touched, "doc_id", "left_semi")
+    rows = with_node(some.filter("text is not null").select(
+        "doc_id", "text", F.struct(*docs.columns).alias("row"))).select("doc_id", "node", "row")
+    first = rows.join(stay, ["doc_id", "node"], "left_semi").dropDuplicates(["doc_id", "node"])
+    return docs.join(touched, "doc_id", "left_anti").select(*docs.columns).unionByName(
+        some.filter("text is null").select(*docs.columns)).unionByName(first.select("row.*"))

@@ -39,6 +39,65 @@ def test_minhash(docs):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def brute_classes(rows):
+    """Class per row of ``(doc_id, text)``: every pair of multisets compared."""
+    bags = []
+    for _, text in rows:
+        words = re.findall(r"[^\W_]+", text.lower())
+        bags.append(Counter(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else Counter([text]))
+    root = list(range(len(rows)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sum((bags[i] & bags[j]).values()) >= 0.8 * sum((bags[i] | bags[j]).values()) - 1e-12:
+                root[top(i)] = top(j)
+    return [min(rows[j][0] for j in range(len(rows)) if top(j) == top(i)) for i in range(len(rows))]
+
+
+def varied_rows(seed):
+    """Texts with repeats, exact copies, near copies, chains, and shared ids."""
+    rng, rows = np.random.default_rng(seed), []
+    for family in range(12):
+        words = [f"t{family}x{w}" for w in rng.integers(0, 60, 80)]
+        for copy in range(int(rng.integers(1, 7))):
+            rows.append((len(rows), " ".join(words)))
+            if rng.random() < 0.7:
+                words[int(rng.integers(0, 80))] = f"new{len(rows)}"
+    rows += [(3, "a text of its own under a used id"), (5, rows[0][1]), (5, rows[0][1]), (90, "..."), (91, "..."), (92, "")]
+    return rows
+
+
+def test_minhash_equals_all_pairs(spark):
+    rows = varied_rows(3)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = Counter((i, c) for (i, _), c in zip(rows, brute_classes(rows)))
+    assert Counter(tuple(r) for r in minhash.near_duplicates(frame).collect()) == want
+
+
+def test_keep_one_keeps_a_row_of_every_class(spark):
+    """Classes are of texts: an id that two texts share loses neither."""
+    rows = [(1, LONG), (5, LONG), (5, "a text that only this row has"), (7, "one"), (7, "two"), (9, LONG),
+            (9, None), (9, None), (None, LONG), (8, "same"), (8, "same")]
+    frame = spark.createDataFrame([(i, t, n, "x") for n, (i, t) in enumerate(rows)],
+                                  "doc_id long, text string, node int, lead string")
+    kept = minhash.keep_one(frame)
+    assert kept.columns == frame.columns
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert got == Counter([(1, LONG), (5, rows[2][1]), (7, "one"), (7, "two"), (9, None), (9, None),
+                           (None, LONG), (8, "same")])
+    assert minhash.keep_one(frame.limit(0)).count() == 0
+    varied = varied_rows(4)
+    distinct = [(n, t) for n, (_, t) in enumerate(varied)]
+    classes = brute_classes(distinct)
+    frame = spark.createDataFrame(distinct, "doc_id long, text string")
+    assert sorted(r.doc_id for r in minhash.keep_one(frame).collect()) == sorted(set(classes))
+
+
 def test_bag_signatures_estimate_weighted_jaccard():
     a = {i: 1 + i % 5 for i in range(200)}
     b = {i: 1 + (i * 3) % 4 for i in range(100, 300)}
