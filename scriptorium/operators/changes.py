@@ -5,11 +5,13 @@ Each returns rows to append or a full new snapshot; nothing is written here.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scriptorium.operators.skew import first_per_key
+from scriptorium.schemas import TABLES, referrers
 
 
 def insert_absent(
@@ -94,3 +96,52 @@ def keep_latest(df: DataFrame, by: str, id_col: str = "id") -> DataFrame:
 def cascade(child: DataFrame, deleted: DataFrame, fk: str, key: str = "id") -> DataFrame:
     """The child rows that survive the deletion of the given parents."""
     return child.join(deleted.select(F.col(key).alias(fk)), fk, "left_anti").select(*child.columns)
+
+
+def deleted_rows(
+    tables: Mapping[str, DataFrame], root: str, gone: DataFrame, key: str = "id"
+) -> dict[str, DataFrame]:
+    """Per table the rows that go with the ``root`` rows whose ``key`` is in
+    ``gone``: those rows, and level by level what refers to a deleted row.
+
+    The declared parents say which tables these are; of them only those in
+    ``tables`` are walked. A row that refers to several deleted rows may come
+    back once for each. A null reference refers to nothing.
+    """
+    dead = {root: tables[root].join(gone.select(key), key, "left_semi").select(*tables[root].columns)}
+    for name in referrers(root)[1:]:
+        if name in tables:
+            dead[name] = referring(tables[name], name, dead)
+    return dead
+
+
+def referring(rows: DataFrame, name: str, dead: Mapping[str, DataFrame]) -> DataFrame:
+    """The rows of table ``name`` that refer to a row of ``dead``, once for
+    each parent table in which they do."""
+    hits = [
+        rows.join(dead[parent].select(F.col(key).alias(fk)), fk, "left_semi").select(*rows.columns)
+        for fk, (parent, key) in TABLES[name].parents.items() if parent in dead
+    ]
+    return reduce(DataFrame.unionByName, hits) if hits else rows.filter(F.lit(False))
+
+
+def surviving_rows(
+    tables: Mapping[str, DataFrame], root: str, gone: DataFrame, key: str = "id"
+) -> dict[str, DataFrame]:
+    """Per table that the deletion reaches, the rows that stay. A row is
+    compared with deleted keys only, so no table is read for another's sake
+    unless that one is referred to itself."""
+    dead = deleted_rows(tables, root, gone, key)
+    out = {root: tables[root].join(gone.select(key), key, "left_anti").select(*tables[root].columns)}
+    for name in dead:
+        if name != root:
+            out[name] = without_parents(tables[name], name, dead)
+    return out
+
+
+def without_parents(rows: DataFrame, name: str, dead: Mapping[str, DataFrame]) -> DataFrame:
+    """The rows of table ``name`` that refer to no row of ``dead``."""
+    for fk, (parent, key) in TABLES[name].parents.items():
+        if parent in dead:
+            rows = cascade(rows, dead[parent], fk, key)
+    return rows

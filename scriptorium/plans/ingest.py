@@ -18,17 +18,18 @@ from scriptorium.functions.temporal import clock
 from scriptorium.functions.text import object_path
 from scriptorium.operators.changes import (
     ConflictError,
-    cascade,
     insert_absent,
     insert_absent_links,
     keep_latest,
+    referring,
     split_conflicts,
     update_from,
+    without_parents,
 )
 from scriptorium.operators.clean import clean, drop_incomplete
 from scriptorium.operators.ids import assign_ids, last_id
 from scriptorium.operators.links import author_links, category_links, unnest
-from scriptorium.schemas import TABLES
+from scriptorium.schemas import TABLES, referred_keys, referrers
 from scriptorium.session import scratch_path
 from scriptorium.sinks.logs import failed_run, new_attempt, run_record
 from scriptorium.sinks.tables import append, change_rows, publish, touched_buckets
@@ -237,22 +238,47 @@ def record_objects(spark: SparkSession, inventory: DataFrame, db: str = "default
     return True
 
 
+def delete_rows(
+    spark: SparkSession, root: str, deleted: DataFrame, db: str = "default"
+) -> dict[str, int]:
+    """Delete the rows of ``root`` with the given ids and every row that refers
+    to a deleted one, at any depth; returns the number of rows per table.
+
+    All deleted rows are found before anything is written. Then children go
+    first and the root last, so a deletion that stops midway leaves no row
+    whose parent is gone, and can be run again. Of tables kept by ranges of
+    paper ids only the ranges with deleted rows are rewritten.
+    """
+    gone = _written(deleted.select(F.col(deleted.columns[0]).alias("id")).distinct(), "deleted-ids")
+    tables = {name: table(spark, name, db) for name in referrers(root)}
+    dead, counts = {}, {}
+    for name in referrers(root):
+        spec = TABLES[name]
+        wanted = sorted({*referred_keys(name), spec.id_col or "", *spec.unique[0]} - {""})
+        here = tables[name]
+        rows = here.join(gone, "id", "left_semi") if name == root else referring(here, name, dead)
+        dead[name] = _written(rows.select(*wanted).distinct(), f"deleted-{name}")
+        counts[name] = dead[name].count()
+    for name in reversed(referrers(root)):
+        if not counts[name]:
+            continue
+        spec = TABLES[name]
+        parents = {p: rows for p, rows in dead.items() if p != name}
+
+        def kept(rows: DataFrame, name=name, parents=parents) -> DataFrame:
+            return rows.join(gone, "id", "left_anti") if name == root else without_parents(rows, name, parents)
+
+        cluster = "published_at" if name == "papers" else None
+        if spec.id_col is None:
+            publish(kept(tables[name]), name, db)
+        else:
+            change_rows(spark, name, dead[name].select(spec.id_col), kept, db, cluster_by=cluster)
+    return counts
+
+
 def delete_papers(spark: SparkSession, deleted: DataFrame, db: str = "default") -> None:
-    """Delete the papers with the given ids and every row that refers to one.
-    Children go first, parents last."""
-    path = scratch_path(spark, "deleted-papers")
-    deleted.select("id").write.parquet(path)
-    gone = spark.read.schema("id bigint").parquet(path)
-    for name, spec in TABLES.items():
-        for fk, (parent, key) in spec.parents.items():
-            if parent == "papers":
-                change_rows(
-                    spark, name, gone, lambda rows, fk=fk, key=key: cascade(rows, gone, fk, key), db
-                )
-    change_rows(
-        spark, "papers", gone, lambda rows: rows.join(gone, "id", "left_anti"), db,
-        cluster_by="published_at",
-    )
+    """Delete the papers with the given ids and every row that refers to one."""
+    delete_rows(spark, "papers", deleted.select("id"), db)
 
 
 def delete_older_titles(spark: SparkSession, db: str = "default") -> None:
@@ -266,3 +292,7 @@ def new_on_day(papers: DataFrame, day: str) -> DataFrame:
     return papers.filter(F.to_date("ingested_at") == F.lit(day).cast("date"))
 
 
+def _written(rows: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -366,6 +366,34 @@ FROM links WHERE paper_id NOT IN (SELECT o_orderkey FROM gone)
 UNION ALL
 SELECT 'paper_embeddings', vec_id, vec_id
 FROM embeddings WHERE vec_id NOT IN (SELECT o_orderkey FROM gone)""",
+    "cascade_delete_any": f"""
+WITH {_LINKS}, {_PAPER_CODES}, {_CODES},
+gone AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus = 'P'),
+nation_3 AS (SELECT s_suppkey FROM supplier WHERE s_nationkey = 3)
+SELECT 'papers' AS root, 'papers' AS name, NULL::BIGINT AS paper_id, o_orderkey::VARCHAR AS ref
+FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL
+SELECT 'papers', 'paper_authors', paper_id, author_id::VARCHAR FROM links
+WHERE paper_id NOT IN (SELECT id FROM gone)
+UNION ALL
+SELECT 'papers', 'paper_categories', paper_id, code FROM paper_codes
+WHERE paper_id NOT IN (SELECT id FROM gone)
+UNION ALL
+SELECT 'papers', 'paper_enrichments', event_id, event_id::VARCHAR FROM events
+WHERE event_id NOT IN (SELECT id FROM gone)
+UNION ALL
+SELECT 'papers', 'paper_embeddings', vec_id, vec_id::VARCHAR FROM embeddings
+WHERE vec_id NOT IN (SELECT id FROM gone)
+UNION ALL
+SELECT 'authors', 'authors', NULL, s_suppkey::VARCHAR FROM supplier WHERE s_nationkey <> 3
+UNION ALL
+SELECT 'authors', 'paper_authors', paper_id, author_id::VARCHAR FROM links
+WHERE author_id NOT IN (SELECT s_suppkey FROM nation_3)
+UNION ALL
+SELECT 'categories', 'categories', NULL, code FROM codes WHERE NOT starts_with(code, 'PROMO')
+UNION ALL
+SELECT 'categories', 'paper_categories', paper_id, code FROM paper_codes
+WHERE NOT starts_with(code, 'PROMO')""",
     "new_today": f"""
 WITH {_PAPERS} SELECT arxiv_id, title FROM papers WHERE ingested_at::DATE = DATE '1998-08-02'""",
     "run_log": """

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -371,6 +372,36 @@ def cascade_delete(w):
     )
 
 
+@query
+def cascade_delete_any(w):
+    """What is left in every table that a deletion reaches, for three roots:
+    papers of status P, authors of nation 3, categories of the promo kind."""
+    tables = {
+        "papers": A.papers(w).select("id"),
+        "authors": w.supplier.select(F.col("s_suppkey").alias("id"), "s_nationkey"),
+        "categories": A.category_codes(w).select(F.col("code").alias("id")),
+        "paper_authors": A.paper_authors(w),
+        "paper_categories": A.paper_codes(w),
+        "paper_enrichments": A.enrichments(w).select("id", "paper_id"),
+        "paper_embeddings": A.embeddings(w).select("paper_id"),
+    }
+    gone = {
+        "papers": A.papers(w).filter("status = 'P'"),
+        "authors": tables["authors"].filter("s_nationkey = 3"),
+        "categories": tables["categories"].filter("id like 'PROMO%'"),
+    }
+    refs = {"paper_authors": "author_id", "paper_categories": "category_id"}
+    left = []
+    for root, rows in gone.items():
+        for name, kept in changes.surviving_rows(tables, root, rows.select("id")).items():
+            paper = F.col("paper_id") if "paper_id" in kept.columns else F.lit(None)
+            ref = refs.get(name, "id" if "id" in kept.columns else "paper_id")
+            left.append(kept.select(
+                F.lit(root).alias("root"), F.lit(name).alias("name"),
+                paper.cast("bigint").alias("paper_id"), F.col(ref).cast("string").alias("ref")))
+    return reduce(DataFrame.unionByName, left)
+
+
 @query
 def new_today(w):
     return ingest.new_on_day(A.papers(w), "1998-08-02").select("arxiv_id", "title")

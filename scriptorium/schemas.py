@@ -196,5 +196,27 @@ TABLES: dict[str, TableSpec] = {
     ),
 }
 
+
+def referrers(root: str) -> list[str]:
+    """``root`` and all tables that refer to it, directly or through others;
+    each table comes after all of its parents among them."""
+    order: list[str] = []
+
+    def visit(name: str) -> None:
+        for child, spec in TABLES.items():
+            if child not in order and any(parent == name for parent, _ in spec.parents.values()):
+                visit(child)
+        order.append(name)
+
+    visit(root)
+    return order[::-1]
+
+
+def referred_keys(name: str) -> list[str]:
+    """The columns of a table that others refer to."""
+    return sorted({
+        key for spec in TABLES.values() for parent, key in spec.parents.values() if parent == name})
+
+
 EMBEDDING_DIM = 768  # fixed value
 EMBEDDING_MODEL = "embeddinggemma"  # fixed value

@@ -263,6 +263,22 @@ def test_delete_cascades(spark, db, bronze):
     assert table(spark, "authors", db).count() == 3
 
 
+def test_delete_from_any_root(spark, db, bronze):
+    ingest(bronze(BATCH_1), "r1", "2026-06-02", db, NOW)
+    authors = table(spark, "authors", db).filter("name = 'Ada'").select("id")
+    assert I.delete_rows(spark, "authors", authors, db) == {"authors": 1, "paper_authors": 1}
+    assert sorted(r["name"] for r in table(spark, "authors", db).collect()) == ["Ben", "Cy"]
+    assert [r[:2] for r in state(spark, db)["by_author"]] == [("1v1", "Ben"), ("2v1", "Cy")]
+    codes = table(spark, "categories", db).filter("code = 'cs.CL'").select("id")
+    assert I.delete_rows(spark, "categories", codes, db) == {"categories": 1, "paper_categories": 2}
+    assert [r["code"] for r in table(spark, "categories", db).collect()] == ["cs.LG"]
+    assert table(spark, "paper_categories", db).count() == 1
+    nothing = I.delete_rows(spark, "papers", codes.limit(0), db)
+    assert set(nothing.values()) == {0} and nothing.keys() == {
+        "papers", "paper_authors", "paper_categories", "paper_enrichments", "paper_embeddings"}
+    assert table(spark, "papers", db).count() == 2
+
+
 def test_new_on_day(spark, db, bronze):
     ingest(bronze(BATCH_1), "r1", "2026-06-02", db, NOW)
     papers = table(spark, "papers", db)

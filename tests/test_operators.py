@@ -241,3 +241,25 @@ def test_duplicate_vectors_against_brute_force(spark):
     counts = Counter(map(tuple, vectors))
     want = sorted((i, counts[tuple(v)]) for i, v in enumerate(vectors) if counts[tuple(v)] > 1)
     assert rows(duplicates.duplicate_vectors(df, papers), "paper_id", "n") == want
+
+
+def test_cascade_goes_through_all_levels(spark, monkeypatch):
+    """A table that refers to a child: rows two levels below go as well."""
+    from scriptorium.schemas import TABLES, TableSpec, referrers
+
+    notes = TableSpec(TABLES["paper_enrichments"].schema, parents={
+        "enrichment_id": ("paper_enrichments", "id"), "author_id": ("authors", "id")})
+    monkeypatch.setitem(TABLES, "notes", notes)
+    assert referrers("papers").index("notes") > referrers("papers").index("paper_enrichments")
+    tables = {
+        "papers": spark.createDataFrame([(1,), (2,)], "id long"),
+        "paper_enrichments": spark.createDataFrame([(10, 1), (20, 2), (30, None)], "id long, paper_id long"),
+        "notes": spark.createDataFrame(
+            [(1, 10, 5), (2, 20, 5), (3, None, None), (4, 30, 6)], "id long, enrichment_id long, author_id long"),
+    }
+    gone = spark.createDataFrame([(1,), (1,), (7,), (None,)], "id long")
+    left = changes.surviving_rows(tables, "papers", gone)
+    assert {n: sorted(r["id"] for r in rows.collect()) for n, rows in left.items()} == {
+        "papers": [2], "paper_enrichments": [20, 30], "notes": [2, 3, 4]}
+    dead = changes.deleted_rows(tables, "papers", gone)
+    assert [r["id"] for r in dead["notes"].collect()] == [1]
