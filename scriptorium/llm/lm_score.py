@@ -7,11 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from scriptorium.llm.common import stored
 
-SMOOTH = 0.1
+SMOOTH, DRAWS = 0.1, 1 << 32
 WORD = re.compile(r"\w+|[^\w\s]")
 GRAM = "doc_id long, target int, n_tokens long, kind int, gram string, c int"
 
@@ -42,18 +42,23 @@ def grams(docs: DataFrame) -> DataFrame:
 def score_difference(docs: DataFrame, target_ids: DataFrame, alpha: float = SMOOTH) -> DataFrame:
     """``(doc_id, n_tokens, target_loss, background_loss, score)`` per id of ``docs``.
 
-    Two bigram models are counted over whole texts: the target model over the
-    documents in ``target_ids``, the background model over all documents. Both
-    are smoothed by ``alpha`` over one vocabulary, the bigram words of all
+    Two matched bigram models are counted over whole texts: the target model
+    over the documents in ``target_ids``, the background model over documents
+    outside them, drawn by a hash of the id over all of them so that both are
+    expected to hold equally many tokens. Where the target holds more tokens
+    than the rest, it is the target model that is drawn and the background
+    that is whole. A document's own counts are left out of the model it is in.
+
+    Both models are smoothed by ``alpha`` over one vocabulary, the bigram words of all
     documents. The loss of a token is ``ln (c(v) + alpha V) - ln (c(v w) +
     alpha)``, so a document's loss is a sum over its contexts and bigrams, and
     no model is collected or broadcast. ``score`` is the mean of background
     loss less target loss: higher is more like the target.
 
     A document without tokens, or with a null text, scores 0. Rows that
-    repeat an id are scored as one text after another; null ids as one
-    document. An empty table gives no rows; without target documents the
-    target model is uniform.
+    repeat an id are scored as one text after another, each less its own
+    counts; null ids as one document, outside the target. An empty table gives no rows; without target documents both
+    models are empty, hence uniform. Other columns are ignored.
     """
     chosen = target_ids.select("doc_id").filter("doc_id is not null").distinct()
     marked = docs.select("doc_id", "text").join(chosen.withColumn("t", F.lit(1)), "doc_id", "left").select(
@@ -62,14 +67,17 @@ def score_difference(docs: DataFrame, target_ids: DataFrame, alpha: float = SMOO
     # One word follows another, so the words of the vocabulary are the contexts
     # and each text's last word; the contexts' number stands for it.
     v = rows.filter("kind = 1").agg(F.count_distinct("gram")).first()[0] or 1
+    tokens = rows.filter("kind = 2").agg(
+        F.sum(F.col("c") * F.col("target")), F.sum(F.col("c") * (1 - F.col("target")))).first()
+    rows = with_shares(rows, *(n or 0 for n in tokens))
     model = rows.groupBy("gram").agg(
-        F.sum("c").alias("bg"), F.sum(F.col("c") * F.col("target")).alias("tg"))
+        F.sum(F.col("c") * F.col("in_bg")).alias("bg"), F.sum(F.col("c") * F.col("in_tg")).alias("tg"))
     pseudo = F.when(F.col("kind") == 1, F.lit(alpha * v)).otherwise(F.lit(alpha))
     sign = F.when(F.col("kind") == 1, F.lit(1.0)).otherwise(F.lit(-1.0))
     part = rows.join(model, "gram").select(
         "doc_id", F.col("kind"), "c",
-        (sign * F.col("c") * F.log(F.col("tg") + pseudo)).alias("t"),
-        (sign * F.col("c") * F.log(F.col("bg") + pseudo)).alias("b"))
+        (sign * F.col("c") * F.log(F.col("tg") - F.col("c") * F.col("in_tg") + pseudo)).alias("t"),
+        (sign * F.col("c") * F.log(F.col("bg") - F.col("c") * F.col("in_bg") + pseudo)).alias("b"))
     sums = part.groupBy("doc_id").agg(
         F.sum(F.when(F.col("kind") == 2, F.col("c")).otherwise(0)).alias("n"),
         F.sum("t").alias("t"), F.sum("b").alias("b"))
@@ -79,3 +87,16 @@ def score_difference(docs: DataFrame, target_ids: DataFrame, alpha: float = SMOO
         F.coalesce(F.col("t") / F.col("n"), F.lit(0.0)).alias("target_loss"),
         F.coalesce(F.col("b") / F.col("n"), F.lit(0.0)).alias("background_loss"),
         F.coalesce((F.col("b") - F.col("t")) / F.col("n"), F.lit(0.0)).alias("score"))
+
+
+def drawn(share: float) -> Column:
+    """Whether an id is drawn, by its hash: a share of all ids, the same each time."""
+    return (F.pmod(F.xxhash64("doc_id", F.lit("drawn")), F.lit(DRAWS)) < int(share * DRAWS)).cast("int")
+
+
+def with_shares(rows: DataFrame, target: int, rest: int) -> DataFrame:
+    """``in_tg`` and ``in_bg``: 1 where the row's document is in that model.
+    ``target`` and ``rest`` are the tokens inside and outside the target."""
+    least = min(target, rest)
+    return rows.withColumn("in_tg", F.col("target") * drawn(least / max(target, 1))).withColumn(
+        "in_bg", (1 - F.col("target")) * drawn(least / max(rest, 1)))
