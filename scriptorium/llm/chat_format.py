@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from scriptorium.llm.secrets import let
+
 START, END = "<|im_start|>", "<|im_end|>"
+BLOCK = 4096
 PART = "struct<type:string,text:string,ref:string,tokens:long>"
 
 
@@ -94,11 +97,24 @@ def read_back(formatted: Column) -> Column:
     ))
 
 
+def cut(text: Column, spans: Column) -> Column:
+    """The texts of ``spans``, structs (start, end) in code points. The text is
+    cut into blocks once, and a span is read from its blocks only, so the work
+    grows with the text and not with its square."""
+    def one(blocks: Column, s: Column) -> Column:
+        first = F.floor(s["start"] / BLOCK).cast("int")
+        n = F.floor(s["end"] / BLOCK).cast("int") - first + 1
+        return F.substring(
+            F.concat_ws("", F.slice(blocks, first + 1, n)),
+            (s["start"] - first * BLOCK + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
+
+    blocks = F.regexp_extract_all(text, F.lit(r"(?s).{1,%d}" % BLOCK), F.lit(0))
+    return let(blocks, lambda b: F.transform(spans, lambda s: one(b, s)))
+
+
 def digest(chats: DataFrame) -> DataFrame:
     """Figures read back from ``formatted`` and ``loss_spans``."""
-    loss = F.concat_ws("", F.transform("loss_spans", lambda s: unescape(F.substring(
-        F.col("formatted"), (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")
-    ))))
+    loss = F.concat_ws("", F.transform(cut(F.col("formatted"), F.col("loss_spans")), unescape))
     return chats.withColumn("turns", read_back(F.col("formatted"))).withColumn("loss", loss).select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
