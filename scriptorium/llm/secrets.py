@@ -208,8 +208,10 @@ def joined(spans: Column) -> Column:
 def mask_secrets(docs: DataFrame) -> DataFrame:
     """The rows with each found span replaced by ``[secret]``; spans that
     overlap are replaced as one. Texts without secrets are untouched, and
-    ``n_chars``, where there is one, is the new text's length."""
-    found = scan_secrets(docs)
+    ``n_chars``, where there is one, is the new text's length. All other
+    columns stay as they are, whatever their names. A null text stays null;
+    an empty table gives no rows."""
+    found = scan_secrets(docs.select(F.struct(*docs.columns).alias("row"), "text"))
     step = "struct<at:int,out:array<string>>"
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")).cast(step)
     cut = F.aggregate("secrets", start, lambda a, s: F.struct(
@@ -219,9 +221,10 @@ def mask_secrets(docs: DataFrame) -> DataFrame:
         ))).alias("out")).cast(step))
     masked = F.concat(
         F.concat_ws("", cut["out"]), F.substring(F.col("text"), cut["at"] + 1, F.length("text")))
-    out = found.withColumn("text", F.when(F.size("secrets") > 0, masked).otherwise(F.col("text")))
+    hit = F.size("secrets") > 0
+    out = found.withColumn("text", F.when(hit, masked).otherwise(F.col("text")))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(
-            F.size("secrets") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)
-        ).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.when(
+            hit, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    return out.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
