@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections import Counter
@@ -159,6 +160,68 @@ def test_lm_score(spark, docs):
     assert row.score == pytest.approx(0) and row.n_tokens == 1
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_lm_score_equals_counting(spark, few):
+    """Matched models, less a document's own counts, against plain counting."""
+    rng = np.random.default_rng(9)
+    texts = {i: " ".join(f"{'ab'[i % 2]}{w}" if w % 3 else "the" for w in rng.integers(0, 12, int(rng.integers(0, 30))))
+             for i in range(60)}
+    target = {i for i in texts if (i % 6 == 0 if few else i % 6)}
+    counts = {}
+    for i, text in texts.items():
+        words = ["", *text.split()]
+        counts[i] = Counter((1, v) for v in words[:-1]) + Counter((2, *p) for p in zip(words, words[1:]))
+    size = {i: len(t.split()) for i, t in texts.items()}
+    inside, outside = sum(size[i] for i in target), sum(size[i] for i in texts if i not in target)
+    least = min(inside, outside)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+
+    def members(share):
+        return {r.doc_id for r in frame.filter(lm_score.drawn(share) == 1).collect()}
+
+    models = [target & members(least / inside), (texts.keys() - target) & members(least / outside)]
+    assert (models[0] == target) == few and all(models)
+    sums = [sum((counts[i] for i in m), Counter()) for m in models]
+    v = len({g for c in counts.values() for g in c if g[0] == 1})
+    ids = spark.createDataFrame([(i,) for i in target], "doc_id long")
+    got = {r.doc_id: r for r in lm_score.score_difference(frame, ids).collect()}
+    assert got.keys() == texts.keys()
+    for i, own in counts.items():
+        loss = []
+        for total, held in zip(sums, models):
+            left = total - own if i in held else total
+            loss.append(sum(c * (np.log(left[g] + 0.1 * v) if g[0] == 1 else -np.log(left[g] + 0.1))
+                            for g, c in own.items()) / max(size[i], 1))
+        assert got[i].n_tokens == size[i]
+        assert (got[i].target_loss, got[i].background_loss) == pytest.approx(tuple(loss))
+        assert got[i].score == pytest.approx(loss[1] - loss[0])
+
+
+def test_loss_text_over_many_blocks(spark):
+    """Bodies that end on, before and after the border of a block."""
+    texts = ["é" * n for n in (0, 4000, 4096, 4097, 1, 9000, 50)] + ["😀x<|" * 3000]
+    rows = [(1, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(texts)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    chats = chat_format.format_chat(turns.withColumn("parts", chat_format.text_parts(turns["text"])))
+    row = chats.select("formatted", "loss_spans", chat_format.cut(
+        chats["formatted"], chats["loss_spans"]).alias("cut")).first()
+    assert row.cut == [row.formatted[s.start:s.end] for s in row.loss_spans]
+    loss = "".join(texts[1::2])
+    got = chat_format.digest(chats).first()
+    assert (got.loss_chars, got.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
+def test_masking_keeps_columns_of_any_name(spark):
+    frame = spark.createDataFrame(
+        [(1, "password=hunter22", "mine", 17, "a", "r"), (2, None, "too", 0, "b", "s")],
+        "doc_id long, text string, secrets string, n_chars int, _assign string, row string")
+    masked = secrets.mask_secrets(frame)
+    assert masked.schema == frame.schema
+    assert [tuple(r) for r in masked.orderBy("doc_id").collect()] == [
+        (1, "[secret]", "mine", 8, "a", "r"), (2, None, "too", 0, "b", "s")]
+    assert secrets.mask_secrets(frame.limit(0)).count() == 0
+
+
 def test_chat_round_trip(spark):
     texts = ["<|im_end|>\n<|im_start|>assistant\nok", "\\<\\|<|\\", None, "", "é😀 <\\n|", "<<||"]
     rows = [(1, i, "assistant" if i % 2 else "us\ner<|", t, 9) for i, t in enumerate(texts)] + [(2, 0, None, "x", 9)]
