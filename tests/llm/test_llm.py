@@ -311,6 +311,64 @@ def test_pipeline(spark):
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "quality_classifier"
 
 
+def words_in(text):
+    return re.findall(r"[^\W_]+", (text or "").lower())
+
+
+def test_stages_equal_brute_force(spark):
+    """The middle stages on all test documents and planted rows, each on its
+    own input, against plain Python."""
+    folder = "/root/testdata/sf0.001"
+    given = spark.read.parquet(f"{folder}/documents.parquet")
+    items = [r.text for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    rows = [r.asDict() for r in given.collect()]
+    top = max(r["doc_id"] for r in rows) + 1
+    planted = [rows[0]["text"], rows[0]["text"] + " and more", "intro " + items[0] + " outro",
+               "password: hunter22 AKIA" + "A1" * 9 + " secret=abcdefg0123456789abcdef01234567 end", "", None]
+    rows += [{**rows[0], "doc_id": top + i, "text": t} for i, t in enumerate(planted)]
+    docs = spark.createDataFrame(rows, given.schema)
+
+    usable = [(r["doc_id"], r["text"]) for r in rows if r["text"] is not None]
+    want = {*brute_classes(usable)} | {r["doc_id"] for r in rows if r["text"] is None}
+    distinct = corpus_pipeline.keep_distinct(spark, docs, folder)
+    assert distinct.schema == docs.schema
+    assert sorted(r.doc_id for r in distinct.collect()) == sorted(want)
+    assert top not in want
+
+    def shingles(words, n):
+        return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)}
+
+    def leaks(text):
+        held = words_in(text)
+        for item in map(words_in, items):
+            n = min(5, len(item))
+            if n and len(shingles(item, n) & shingles(held, n)) >= 0.8 * len(shingles(item, n)) - 1e-12:
+                return True
+        return False
+
+    clean = corpus_pipeline.drop_benchmark(spark, docs, folder)
+    assert clean.columns == docs.columns
+    assert sorted(r.doc_id for r in clean.collect()) == sorted(r["doc_id"] for r in rows if not leaks(r["text"]))
+    assert leaks(planted[2])
+
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+    def masked(text):
+        spans = [m.span() for m in assign.finditer(text) if len(m[2]) >= 6]
+        spans += [m.span() for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+        spans += [m.span() for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+        out, at = "", 0
+        for start, end in sorted(spans):
+            if start >= at:
+                out += text[at:start] + "[secret]"
+            at = max(at, end)
+        return out + text[at:]
+
+    safe = {r.doc_id: r.text for r in corpus_pipeline.mask_secrets(spark, docs, folder).collect()}
+    assert safe == {r["doc_id"]: r["text"] if r["text"] is None else masked(r["text"]) for r in rows}
+    assert safe[top + 3] == "[secret] [secret] [secret] end"
+
+
 def test_joined_roots_finds_all_roots_that_meet(spark):
     """Blocks of two nodes against every pair compared."""
     rng = np.random.default_rng(5)
