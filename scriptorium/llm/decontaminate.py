@@ -84,8 +84,8 @@ def contained(
         part = again.select("doc_id", F.explode(F.array_distinct(
             shingles_at("words", F.lit(k)))).alias("shingle"))
         own = part if own is None else own.unionByName(part)
-    known = shingled.select("shingle").distinct()
-    own = own.join(F.broadcast(known) if small else known, "shingle", "left_semi")
+    # Shingles are texts of any length and number: Spark judges by their size.
+    own = own.join(shingled.select("shingle").distinct(), "shingle", "left_semi")
     shared = (
         own.distinct().join(shingled, "shingle").join(pairs, ["doc_id", "item_id"])
         .groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_shared"))
