@@ -32,7 +32,7 @@ from scriptorium.operators.links import author_links, category_links, unnest
 from scriptorium.schemas import TABLES, referred_keys, referrers
 from scriptorium.session import scratch_path
 from scriptorium.sinks.logs import failed_run, new_attempt, run_record
-from scriptorium.sinks.tables import append, change_rows, publish, touched_buckets
+from scriptorium.sinks.tables import append, change_rows, mark_removal, publish, touched_buckets
 from scriptorium.sources.bronze import BRONZE_ORDER
 from scriptorium.sources.catalog import all_tables, committed_loads, table, table_buckets
 
@@ -272,7 +272,9 @@ def delete_rows(
         if spec.id_col is None:
             publish(kept(tables[name]), name, db)
         else:
+            mark_removal(spark, name, db)
             change_rows(spark, name, dead[name].select(spec.id_col), kept, db, cluster_by=cluster)
+            mark_removal(spark, name, db)
     return counts
 
 

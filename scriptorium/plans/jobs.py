@@ -49,7 +49,9 @@ def build_models(spark: SparkSession, db: str = "default", as_tables: bool = Fal
     """Rebuild the staging views and the four marts; returns their names.
 
     Staging models are views. Marts are views too unless asked for as tables;
-    then they are written unsorted and in parallel, and read in any order.
+    then they are written unsorted and in parallel, and read in any order. All
+    views end with the session; ``plans.live_marts`` keeps lasting ones, with
+    marts that grow by load.
     """
     t = all_tables(spark, db)
     stg = staging_views(t)

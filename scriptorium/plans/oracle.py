@@ -454,6 +454,18 @@ SELECT arxiv_id, title, day,
   (CASE WHEN substr(arxiv_id, 4, 1) = substr(arxiv_id, 6, 1) THEN 1 ELSE 2 END)::BIGINT AS n_categories,
   'c' || substr(arxiv_id, 4, 1) AS code
 FROM ranked""",
+    "marts_by_load": f"""
+SELECT 'authors_paper_counts' AS mart, name AS key_1, '' AS key_2, n_papers AS n FROM (
+  WITH {_LINKS}
+  SELECT s_name AS name, count(*) AS n_papers
+  FROM links JOIN supplier ON s_suppkey = author_id GROUP BY s_name)
+UNION ALL
+SELECT 'fct_coauthor_pairs', author_1, author_2, n_collabs
+FROM (WITH {_PAIR_COUNTS} {_NAMED_PAIRS.format('pair_counts')})
+UNION ALL
+SELECT 'fct_weekly_papers_by_category', week, category, n_papers FROM ({_weekly("true")})
+UNION ALL
+SELECT 'fct_ingestion_health', o_orderdate::DATE::VARCHAR, '', count(*) FROM orders GROUP BY ALL""",
     "stream_ingest": f"""
 WITH {_RAW}
 SELECT DISTINCT arxiv_id, {_SQUEEZED.format('text')} AS abstract

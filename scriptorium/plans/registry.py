@@ -18,12 +18,12 @@ from scriptorium.operators.clean import clean
 from scriptorium.operators.embed import HashingEmbedder, embed
 from scriptorium.operators.ids import assign_ids
 from scriptorium.operators.inverted import Inverted, write_inverted
-from scriptorium.plans import adapters as A, embeddings as E, ingest, marts, views
+from scriptorium.plans import adapters as A, embeddings as E, ingest, live_marts, marts, views
 from scriptorium.plans.adapters import Warehouse
 from scriptorium.session import scratch_path
 from scriptorium.sinks.bronze import write_bronze
-from scriptorium.sinks.logs import run_record
-from scriptorium.sinks.tables import create_tables
+from scriptorium.sinks.logs import new_attempt, run_record
+from scriptorium.sinks.tables import append, create_tables
 from scriptorium.sources.bronze import read_bronze
 from scriptorium.sources.catalog import all_tables
 from scriptorium.sources.feed import read_feed
@@ -758,6 +758,44 @@ def ingest_job(w):
     return stored.unionByName(rejected)
 
 
+@query
+def marts_by_load(w):
+    """The stored marts after three loads, refreshed after each. Papers come by
+    key in turn; links behind a paper's first line come with the last load, so
+    that old papers gain authors."""
+    spark, db = w.spark, _new_tables(w)
+    live_marts.create_marts(spark, scratch_path(spark, "marts"), db)
+    papers, codes = A.papers(w), A.categories(w)
+    links, ids = A.paper_authors(w), codes.select("code", F.col("id").alias("category_id"))
+    coded = A.paper_codes(w).withColumnRenamed("category_id", "code").join(ids, "code").drop("code")
+    for turn in range(3):
+        load, first = new_attempt(), F.pmod("paper_id", F.lit(3))
+        now = papers.filter(F.pmod("id", F.lit(3)) == turn)
+        by_turn = F.when(F.col("position") > 1, 2).otherwise(first)
+        append(now, "papers", db, load=load)
+        append(links.filter(by_turn == turn), "paper_authors", db, load=load)
+        append(coded.filter(F.when(F.col("is_primary"), first).otherwise(2) == turn),
+               "paper_categories", db, load=load)
+        if turn == 0:
+            append(A.authors(w), "authors", db, load=load)
+            append(codes, "categories", db, load=load)
+        append(run_record(now, now, f"turn-{turn}", "2024-01-01", attempt=load), "ingestion_runs", db)
+        live_marts.refresh(spark, db, merge_after=2)
+
+    def shown(name: str, first: str, second: Column, n: str) -> DataFrame:
+        return spark.table(f"{db}.{name}").select(
+            F.lit(name).alias("mart"), F.col(first).cast("string").alias("key_1"),
+            second.alias("key_2"), F.col(n).cast("bigint").alias("n"))
+
+    none = F.lit("")
+    return reduce(DataFrame.unionByName, [
+        shown("authors_paper_counts", "name", none, "n_papers"),
+        shown("fct_coauthor_pairs", "author_1", F.col("author_2"), "n_collabs"),
+        shown("fct_weekly_papers_by_category", "week", F.col("category"), "n_papers"),
+        shown("fct_ingestion_health", "day", none, "papers_ingested"),
+    ])
+
+
 @query
 def stream_ingest(w):
     """The archive of raw records as a stream into the tables: each micro-batch

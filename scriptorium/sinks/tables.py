@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from scriptorium.functions.temporal import clock
 from scriptorium.schemas import BUCKET, IDS_PER_BUCKET, LOAD, NOW, TABLES
 from scriptorium.sources.bronze import path_exists
-from scriptorium.sources.catalog import table_buckets
+from scriptorium.sources.catalog import committed_loads, table_buckets
 
 
 def create_tables(spark: SparkSession, root: str, db: str = "default") -> None:
@@ -76,15 +76,18 @@ def publish(
 ) -> None:
     """Replace all rows of a table."""
     spark, full = df.sparkSession, f"{db}.{name}"
+    mark_removal(spark, name, db)
     if TABLES[name].id_col is not None:
         new = df.select(bucket_of(F.col(TABLES[name].id_col)).alias(BUCKET)).distinct()
         buckets = {row[0] for row in new.collect()} | set(_stored_buckets(spark, full))
         replace_buckets(df, sorted(buckets), name, db, as_of, cluster_by)
+        mark_removal(spark, name, db)
         return
     target = _fresh_path(_root_of(spark, full), name, "snapshot")
     conform(df, name, as_of).write.parquet(target)
     spark.sql(f"ALTER TABLE {full} SET LOCATION '{target}'")
     spark.catalog.refreshTable(full)
+    mark_removal(spark, name, db)
 
 
 def replace_buckets(
@@ -108,6 +111,8 @@ def replace_buckets(
     if cluster_by is not None:
         written = written.sortWithinPartitions(BUCKET, cluster_by)
     written.write.partitionBy(BUCKET).parquet(target)
+    if TABLES[name].loaded:
+        _mark(spark, full, FOLDED, committed_loads(spark, db).count())
     stored = set(_stored_buckets(spark, full))
     for bucket in buckets:
         folder, partition = f"{target}/{BUCKET}={bucket}", f"PARTITION ({BUCKET}={bucket})"
@@ -120,6 +125,29 @@ def replace_buckets(
     spark.catalog.refreshTable(full)
 
 
+# Table properties: a word that is new after each removal of rows, and the
+# number of loads that were committed when rows last lost the mark of theirs.
+REMOVED, FOLDED = "scriptorium.removed", "scriptorium.folded"
+
+
+def mark_removal(spark: SparkSession, name: str, db: str = "default") -> None:
+    """Say that rows of a table go, before and after they do, so that what was
+    counted over them is counted anew."""
+    if TABLES[name].loaded:
+        _mark(spark, f"{db}.{name}", REMOVED, uuid.uuid4().hex)
+
+
+def change_marks(spark: SparkSession, name: str, db: str = "default") -> tuple[str, int]:
+    """The word of the last removal and the number of folded loads."""
+    shown = spark.sql(f"SHOW TBLPROPERTIES {db}.{name}").collect()
+    found = {row["key"]: row["value"] for row in shown}
+    return found.get(REMOVED, ""), int(found.get(FOLDED, 0))
+
+
+def _mark(spark: SparkSession, full: str, key: str, value: object) -> None:
+    spark.sql(f"ALTER TABLE {full} SET TBLPROPERTIES ('{key}' = '{value}')")
+
+
 def touched_buckets(ids: DataFrame) -> list[int]:
     """The id ranges in which the one column of ``ids`` falls. The list is
     short: one entry per million ids at most."""
@@ -151,11 +179,20 @@ def truncate(spark: SparkSession, db: str = "default") -> None:
 
 
 def materialize(df: DataFrame, name: str, as_table: bool = False, db: str = "default") -> None:
-    """A model as a view, or as a table rebuilt by each call."""
-    if as_table:
-        df.write.mode("overwrite").format("parquet").saveAsTable(f"{db}.{name}")
-    else:
+    """A model as a view, or as a table rebuilt by each call. The table's
+    files are written to a new folder before its location moves there."""
+    if not as_table:
         df.createOrReplaceTempView(name)
+        return
+    spark, full = df.sparkSession, f"{db}.{name}"
+    target = _fresh_path(spark.catalog.getDatabase(db).locationUri, name, "snapshot")
+    df.write.parquet(target)
+    if spark.catalog.tableExists(full) and spark.table(full).schema.simpleString() == df.schema.simpleString():
+        spark.sql(f"ALTER TABLE {full} SET LOCATION '{target}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{target}'")
+    spark.catalog.refreshTable(full)
 
 
 def _bucketed(df: DataFrame, name: str) -> DataFrame:
