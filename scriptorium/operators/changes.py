@@ -68,8 +68,12 @@ def split_conflicts(
     return accepted.select(*new.columns), rejected.select(*new.columns)
 
 
-def upsert(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """A full snapshot in which ``new`` replaces rows of the same key."""
+def upsert(
+    existing: DataFrame, new: DataFrame, key: str, order: Sequence[Column] = ()
+) -> DataFrame:
+    """A full snapshot in which ``new`` replaces rows of the same key. With an
+    order the first new row of a key is taken; else keys must be unique."""
+    new = first_per_key(new, [key], order) if order else new
     kept = existing.join(new.select(key), key, "left_anti")
     return kept.unionByName(new.select(*existing.columns)).select(*existing.columns)
 

@@ -8,11 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scriptorium.functions.temporal import clock
 from scriptorium.functions.text import embedding_text
-from scriptorium.operators.changes import upsert
 from scriptorium.operators.embed import ClientEmbedder, HashingEmbedder, embed, pending
 from scriptorium.schemas import EMBEDDING_MODEL
 from scriptorium.session import scratch_path
-from scriptorium.sinks.tables import append, change_rows
+from scriptorium.sinks.tables import upsert_rows
 from scriptorium.sources.catalog import all_tables
 
 # Author positions that form one piece of a list before pieces are joined.
@@ -69,8 +68,8 @@ def run_embedding_job(
     """Embed what is due and upsert it; False when nothing was due.
 
     Vectors are written once to the shared folder, so a lost executor or a
-    second read never calls the model again. New vectors alone are appended;
-    when some are replaced, the id ranges they fall into are rewritten.
+    second read never calls the model again. Only the id ranges in which some
+    vector is replaced are rewritten; to others the new ones are appended.
     """
     t = all_tables(spark, db)
     due = pending_papers(t["papers"], t["paper_embeddings"], model, recompute)
@@ -83,12 +82,5 @@ def run_embedding_job(
     fresh = spark.read.parquet(path).withColumn("created_at", clock(as_of))
     if fresh.isEmpty():
         return False
-    stored = t["paper_embeddings"]
-    if stored.select("paper_id").join(fresh.select("paper_id"), "paper_id", "left_semi").isEmpty():
-        append(fresh, "paper_embeddings", db, as_of)
-    else:
-        change_rows(
-            spark, "paper_embeddings", fresh.select("paper_id"),
-            lambda rows: upsert(rows, fresh, "paper_id"), db, as_of,
-        )
+    upsert_rows(fresh, "paper_embeddings", db, as_of)
     return True

@@ -32,7 +32,7 @@ from scriptorium.operators.links import author_links, category_links, unnest
 from scriptorium.schemas import TABLES, referred_keys, referrers
 from scriptorium.session import scratch_path
 from scriptorium.sinks.logs import failed_run, new_attempt, run_record
-from scriptorium.sinks.tables import append, change_rows, mark_removal, publish, touched_buckets
+from scriptorium.sinks.tables import append, change_rows, mark_removal, publish, touched_buckets, update_rows
 from scriptorium.sources.bronze import BRONZE_ORDER
 from scriptorium.sources.catalog import all_tables, committed_loads, table, table_buckets
 
@@ -215,27 +215,26 @@ def pending_objects(papers: DataFrame) -> DataFrame:
     return papers.filter(F.col("pdf_object_path").isNull()).select("arxiv_id", "pdf_url")
 
 
-def with_object_paths(papers: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Papers with the path set for every object that has landed."""
-    landed = inventory.select(
+def landed_paths(inventory: DataFrame) -> DataFrame:
+    """(arxiv_id, pdf_object_path), one row per paper with a landed object."""
+    return inventory.select(
         "arxiv_id", object_path(F.col("arxiv_id")).alias("pdf_object_path")
     ).dropDuplicates(["arxiv_id"])
-    return update_from(papers, landed, "arxiv_id", "pdf_object_path")
+
+
+def with_object_paths(papers: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Papers with the path set for every object that has landed."""
+    return update_from(papers, landed_paths(inventory), "arxiv_id", "pdf_object_path")
 
 
 def record_objects(spark: SparkSession, inventory: DataFrame, db: str = "default") -> bool:
-    """Store the paths of landed objects; False when no paper waits for one.
-    Only the id ranges of papers that get a path are rewritten."""
-    papers = table(spark, "papers", db)
-    waiting = papers.filter(F.col("pdf_object_path").isNull())
-    if waiting.isEmpty():
-        return False
-    arrived = waiting.join(inventory.select("arxiv_id"), "arxiv_id", "left_semi").select("id")
-    change_rows(
-        spark, "papers", arrived, lambda rows: with_object_paths(rows, inventory), db,
-        cluster_by="published_at",
-    )
-    return True
+    """Store the paths of landed objects; False when no paper waits for one of
+    them. Only the id ranges of papers that get a path are rewritten, found in
+    row groups that can hold a landed id."""
+    landed = _written(landed_paths(inventory), "landed")
+    waiting = F.col("pdf_object_path").isNull()
+    return bool(update_rows(
+        landed, "papers", "arxiv_id", "pdf_object_path", db, of=waiting, cluster_by="published_at"))
 
 
 def delete_rows(

@@ -525,3 +525,7 @@ SELECT arxiv_id, title, abstract, first(p_type ORDER BY l_linenumber, l_partkey,
 FROM papers JOIN lines ON paper_id = id
 GROUP BY arxiv_id, title, abstract, published_at, status, pdf_url""",
 }
+
+# Through stored tables, with the same rows.
+ORACLE["upsert_stored"] = ORACLE["upsert_embeddings"]
+ORACLE["update_stored_paths"] = ORACLE["update_object_path"]

@@ -23,7 +23,7 @@ from scriptorium.plans.adapters import Warehouse
 from scriptorium.session import scratch_path
 from scriptorium.sinks.bronze import write_bronze
 from scriptorium.sinks.logs import new_attempt, run_record
-from scriptorium.sinks.tables import append, create_tables
+from scriptorium.sinks.tables import append, create_tables, upsert_rows
 from scriptorium.sources.bronze import read_bronze
 from scriptorium.sources.catalog import all_tables
 from scriptorium.sources.feed import read_feed
@@ -352,6 +352,34 @@ def upsert_embeddings(w):
     )
 
 
+@query
+def upsert_stored(w):
+    """The same arrivals, into the stored table: only id ranges in which a
+    vector is replaced are rewritten."""
+    db, vectors = _new_tables(w), A.embeddings(w)
+    label = w.embeddings.select(F.col("vec_id").alias("paper_id"), "label")
+    labelled = vectors.join(label, "paper_id")
+    append(labelled.filter("label <= 5").drop("label"), "paper_embeddings", db, "2024-01-01")
+    arriving = labelled.filter("label >= 4").select(
+        "paper_id", F.transform("embedding", lambda x: -x).alias("embedding"),
+        F.lit("model-new").alias("model_used"))
+    upsert_rows(arriving, "paper_embeddings", db, "2024-01-02")
+    return all_tables(w.spark, db)["paper_embeddings"].select(
+        "paper_id", "model_used", _checksum().alias("checksum"))
+
+
+@query
+def update_stored_paths(w):
+    """Object paths recorded in the stored papers, by their feed id."""
+    db = _new_tables(w)
+    append(A.papers(w), "papers", db)
+    landed = w.lineitem.filter("l_linestatus = 'F'").select(
+        A._arxiv_id(F.col("l_orderkey")).alias("arxiv_id"))
+    ingest.record_objects(w.spark, landed, db)
+    return all_tables(w.spark, db)["papers"].select(
+        "arxiv_id", F.coalesce("pdf_object_path", F.lit("")).alias("path"))
+
+
 def _checksum() -> Column:
     total = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double"))
     return F.round(total, 4) + F.lit(0.0)

@@ -15,9 +15,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from scriptorium.functions.temporal import clock
+from scriptorium.operators.changes import update_from, upsert
+from scriptorium.operators.pruning import key_intervals, within
+from scriptorium.operators.skew import first_per_key
 from scriptorium.schemas import BUCKET, IDS_PER_BUCKET, LOAD, NOW, TABLES
 from scriptorium.sources.bronze import path_exists
-from scriptorium.sources.catalog import committed_loads, table_buckets
+from scriptorium.sources.catalog import committed_loads, table, table_buckets
 
 
 def create_tables(spark: SparkSession, root: str, db: str = "default") -> None:
@@ -113,7 +116,7 @@ def replace_buckets(
     written.write.partitionBy(BUCKET).parquet(target)
     if TABLES[name].loaded:
         _mark(spark, full, FOLDED, committed_loads(spark, db).count())
-    stored = set(_stored_buckets(spark, full))
+    stored, added = set(_stored_buckets(spark, full)), []
     for bucket in buckets:
         folder, partition = f"{target}/{BUCKET}={bucket}", f"PARTITION ({BUCKET}={bucket})"
         if not path_exists(spark, folder):
@@ -121,7 +124,9 @@ def replace_buckets(
         if bucket in stored:
             spark.sql(f"ALTER TABLE {full} {partition} SET LOCATION '{folder}'")
         else:
-            spark.sql(f"ALTER TABLE {full} ADD {partition} LOCATION '{folder}'")
+            added.append(f"{partition} LOCATION '{folder}'")
+    if added:
+        spark.sql(f"ALTER TABLE {full} ADD {' '.join(added)}")
     spark.catalog.refreshTable(full)
 
 
@@ -172,6 +177,69 @@ def change_rows(
         replace_buckets(rows, buckets, name, db, as_of, cluster_by)
 
 
+def upsert_rows(
+    rows: DataFrame,
+    name: str,
+    db: str = "default",
+    as_of: dt.datetime | str | None = None,
+    order: Sequence[Column] = (),
+) -> list[int]:
+    """Store ``rows`` by the table's id; a stored row of the same id goes.
+    Returns the id ranges that were rewritten.
+
+    Stored keys are read only in the id ranges of the new ones, and there only
+    in row groups that can hold one. A range in which none is stored gets the
+    new rows appended; just the others are rewritten. Run again after a stop,
+    it ends with the same rows. ``order`` as in ``upsert``; rows without an id
+    are left out.
+    """
+    spark, key = rows.sparkSession, TABLES[name].id_col
+    new = conform(rows.na.drop(subset=[key]), name, as_of)
+    buckets = touched_buckets(new.select(key))
+    if not buckets:
+        return []
+    stored = table_buckets(spark, name, buckets, db).select(key)
+    met = stored.filter(within(F.col(key), key_intervals(new, key)))
+    hit = touched_buckets(met.join(new.select(key), key, "left_semi"))
+    in_hit = bucket_of(F.col(key)).isin(hit)
+    if hit:
+        changed = upsert(table_buckets(spark, name, hit, db), new.filter(in_hit), key, order)
+        replace_buckets(changed, hit, name, db, as_of)
+    if len(hit) < len(buckets):
+        absent = new.filter(~in_hit)
+        append(first_per_key(absent, [key], order) if order else absent, name, db, as_of)
+    return hit
+
+
+def update_rows(
+    updates: DataFrame,
+    name: str,
+    key: str,
+    column: str,
+    db: str = "default",
+    of: Column | None = None,
+    cluster_by: str | None = None,
+) -> list[int]:
+    """Set ``column`` of the stored rows whose ``key``, not the id, is among
+    the updates; returns the id ranges that were rewritten.
+
+    The ranges are found on (key, id), in row groups that can hold an update
+    and among the rows that ``of`` names; rows are read only there.
+    """
+    spark, id_col = updates.sparkSession, TABLES[name].id_col
+    intervals = key_intervals(updates, key)
+    if not intervals:
+        return []
+    stored = table(spark, name, db).filter(within(F.col(key), intervals))
+    stored = stored if of is None else stored.filter(of)
+    ids = stored.select(id_col, key).join(updates.select(key), key, "left_semi").select(id_col)
+    buckets = touched_buckets(ids)
+    if buckets:
+        rows = update_from(table_buckets(spark, name, buckets, db), updates, key, column)
+        replace_buckets(rows, buckets, name, db, cluster_by=cluster_by)
+    return buckets
+
+
 def truncate(spark: SparkSession, db: str = "default") -> None:
     """Empty every table. Ids start at 1 again, as no largest id is left."""
     for name, spec in TABLES.items():
