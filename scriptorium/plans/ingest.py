@@ -234,7 +234,7 @@ def record_objects(spark: SparkSession, inventory: DataFrame, db: str = "default
     landed = _written(landed_paths(inventory), "landed")
     waiting = F.col("pdf_object_path").isNull()
     return bool(update_rows(
-        landed, "papers", "arxiv_id", "pdf_object_path", db, of=waiting, cluster_by="published_at"))
+        landed, "papers", "arxiv_id", "pdf_object_path", db, of=waiting))
 
 
 def delete_rows(
@@ -267,12 +267,11 @@ def delete_rows(
         def kept(rows: DataFrame, name=name, parents=parents) -> DataFrame:
             return rows.join(gone, "id", "left_anti") if name == root else without_parents(rows, name, parents)
 
-        cluster = "published_at" if name == "papers" else None
         if spec.id_col is None:
             publish(kept(tables[name]), name, db)
         else:
             mark_removal(spark, name, db)
-            change_rows(spark, name, dead[name].select(spec.id_col), kept, db, cluster_by=cluster)
+            change_rows(spark, name, dead[name].select(spec.id_col), kept, db)
             mark_removal(spark, name, db)
     return counts
 

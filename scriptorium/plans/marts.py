@@ -5,11 +5,13 @@ Marts come unsorted; ``sorted_mart`` gives the order a reader expects.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scriptorium.functions.jsonx import each_string
 from scriptorium.functions.temporal import day_of, period_of, week_of
 from scriptorium.operators.skew import member_pairs, rank_desc
+from scriptorium.sinks.tables import touched_buckets
+from scriptorium.sources.catalog import table, table_buckets
 
 
 def author_counts(
@@ -78,6 +80,26 @@ def weekly_by_category(
     )
 
 
+def weekly_between(
+    spark: SparkSession, first: str, until: str, db: str = "default", primary_only: bool = False
+) -> DataFrame:
+    """``weekly_by_category`` of the stored papers published from ``first`` on
+    and before ``until``.
+
+    The dates are a filter on the scan of the papers, whose files are in that
+    order; links are read only in the id ranges of the papers it finds.
+    """
+    at = F.col("published_at")
+    papers = table(spark, "papers", db).filter(
+        (at >= F.lit(first).cast("timestamp")) & (at < F.lit(until).cast("timestamp"))
+    ).select(F.col("id").alias("paper_id"), "published_at")
+    ranges = touched_buckets(papers.select("paper_id"))
+    links = table_buckets(spark, "paper_categories", ranges, db) if ranges else table(
+        spark, "paper_categories", db).limit(0)
+    codes = table(spark, "categories", db).select(F.col("id").alias("category_id"), "code")
+    return weekly_by_category(papers, links, codes, primary_only)
+
+
 def ingestion_health(
     papers: DataFrame, embeddings: DataFrame, enrichments: DataFrame
 ) -> DataFrame:

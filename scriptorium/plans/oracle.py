@@ -248,6 +248,8 @@ leaders AS (SELECT * FROM pair_counts ORDER BY n_collabs DESC, a, b LIMIT 20)
 {_NAMED_PAIRS.format('leaders')}""",
     "weekly_by_category": _weekly("true"),
     "weekly_primary": _weekly("is_primary"),
+    "weekly_between": _weekly(
+        "published_at >= TIMESTAMP '1995-01-01' AND published_at < TIMESTAMP '1996-01-01'"),
     "ingestion_health": """
 SELECT day::VARCHAR AS day,
        count(*) FILTER (WHERE kind = 'order') AS papers_ingested,

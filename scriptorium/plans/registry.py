@@ -824,6 +824,18 @@ def marts_by_load(w):
     ])
 
 
+@query
+def weekly_between(w):
+    """Weekly counts of the stored papers of one year."""
+    db, codes = _new_tables(w), A.categories(w)
+    ids = codes.select("code", F.col("id").alias("category_id"))
+    append(A.papers(w), "papers", db)
+    append(codes, "categories", db)
+    append(A.paper_codes(w).withColumnRenamed("category_id", "code").join(ids, "code").drop("code"),
+           "paper_categories", db)
+    return _text_date(marts.weekly_between(w.spark, "1995-01-01", "1996-01-01", db), "week")
+
+
 @query
 def stream_ingest(w):
     """The archive of raw records as a stream into the tables: each micro-batch

@@ -69,6 +69,7 @@ class TableSpec:
     defaults: dict[str, object] = field(default_factory=dict)
     id_col: str | None = None  # partitioned by ranges of this id
     loaded: bool = False  # rows carry the load that wrote them
+    cluster_by: str | None = None  # order of the rows in each file
 
     @property
     def columns(self) -> list[str]:
@@ -107,6 +108,7 @@ TABLES: dict[str, TableSpec] = {
         defaults={"ingested_at": NOW},
         id_col="id",
         loaded=True,
+        cluster_by="published_at",
     ),
     "authors": TableSpec(
         _struct(("id", _LONG, False), ("name", _STR, False)),

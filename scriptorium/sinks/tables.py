@@ -103,16 +103,14 @@ def replace_buckets(
 ) -> None:
     """Make ``rows`` the whole content of the given id ranges.
 
-    ``cluster_by`` sorts each file, so that a filter on that column skips row
-    groups. The rows belong to no load any more, so only visible ones may be
+    ``cluster_by`` orders each file by another column than the table's own.
+    The rows belong to no load any more, so only visible ones may be
     given. A range that is left without rows keeps an empty folder: dropping
     it would let a later insert find the old files again.
     """
     spark, full = rows.sparkSession, f"{db}.{name}"
     target = _fresh_path(_root_of(spark, full), name, "change")
-    written = _bucketed(conform(rows, name, as_of), name)
-    if cluster_by is not None:
-        written = written.sortWithinPartitions(BUCKET, cluster_by)
+    written = _bucketed(conform(rows, name, as_of), name, cluster_by)
     written.write.partitionBy(BUCKET).parquet(target)
     if TABLES[name].loaded:
         _mark(spark, full, FOLDED, committed_loads(spark, db).count())
@@ -167,14 +165,13 @@ def change_rows(
     change: Callable[[DataFrame], DataFrame],
     db: str = "default",
     as_of: dt.datetime | str | None = None,
-    cluster_by: str | None = None,
 ) -> None:
     """Rewrite the id ranges of the changed ids. ``change`` maps the present
     rows of those ranges to the new ones."""
     buckets = touched_buckets(changed_ids)
     if buckets:
         rows = change(table_buckets(spark, name, buckets, db))
-        replace_buckets(rows, buckets, name, db, as_of, cluster_by)
+        replace_buckets(rows, buckets, name, db, as_of)
 
 
 def upsert_rows(
@@ -218,7 +215,6 @@ def update_rows(
     column: str,
     db: str = "default",
     of: Column | None = None,
-    cluster_by: str | None = None,
 ) -> list[int]:
     """Set ``column`` of the stored rows whose ``key``, not the id, is among
     the updates; returns the id ranges that were rewritten.
@@ -236,7 +232,7 @@ def update_rows(
     buckets = touched_buckets(ids)
     if buckets:
         rows = update_from(table_buckets(spark, name, buckets, db), updates, key, column)
-        replace_buckets(rows, buckets, name, db, cluster_by=cluster_by)
+        replace_buckets(rows, buckets, name, db)
     return buckets
 
 
@@ -263,13 +259,16 @@ def materialize(df: DataFrame, name: str, as_table: bool = False, db: str = "def
     spark.catalog.refreshTable(full)
 
 
-def _bucketed(df: DataFrame, name: str) -> DataFrame:
+def _bucketed(df: DataFrame, name: str, cluster_by: str | None = None) -> DataFrame:
     """Add the id range and gather its rows; a range that holds a large share
-    of all rows is split over several files."""
+    of all rows is split over several files. Each file has the table's order,
+    so that a filter on that column skips row groups."""
     id_col = TABLES[name].id_col
     if id_col is None:
         return df
-    return df.withColumn(BUCKET, bucket_of(F.col(id_col))).hint("rebalance", BUCKET)
+    gathered = df.withColumn(BUCKET, bucket_of(F.col(id_col))).hint("rebalance", BUCKET)
+    cluster_by = cluster_by or TABLES[name].cluster_by
+    return gathered if cluster_by is None else gathered.sortWithinPartitions(BUCKET, cluster_by)
 
 
 def _stored_buckets(spark: SparkSession, full: str) -> list[int]:
