@@ -26,7 +26,14 @@ def insert_absent(
     key = list(key)
     new = new.na.drop(how="any", subset=key)
     unique = first_per_key(new, key, order) if order else new.dropDuplicates(key)
-    return unique.join(existing.select(*key), key, "left_anti")
+    return unique.join(met_keys(existing, new, key), key, "left_anti")
+
+
+def met_keys(existing: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The stored keys that new rows have too. The stored side is only probed,
+    so it is not shuffled where Spark knows the new keys to be few, as those of
+    a written batch; and what is left of it is no larger than the batch."""
+    return existing.select(*key).join(new.select(*key), list(key), "left_semi")
 
 
 def insert_absent_links(
@@ -35,7 +42,7 @@ def insert_absent_links(
     """The same for a composite key; a repeated link keeps its least value."""
     key = list(key)
     unique = new.na.drop(how="any", subset=key).groupBy(*key).agg(F.min(least).alias(least))
-    return unique.join(existing.select(*key), key, "left_anti").select(*new.columns)
+    return unique.join(met_keys(existing, new, key), key, "left_anti").select(*new.columns)
 
 
 class ConflictError(ValueError):
@@ -58,7 +65,7 @@ def split_conflicts(
     if mode not in ("strict", "quarantine"):
         raise ValueError(f"unknown mode {mode!r}")
     accepted = first_per_key(new, [unique_col], order).join(
-        existing.select(unique_col), unique_col, "left_anti"
+        met_keys(existing, new, [unique_col]), unique_col, "left_anti"
     )
     rejected = new.join(accepted.select(key), key, "left_anti")
     if mode == "strict":

@@ -29,6 +29,7 @@ from scriptorium.operators.changes import (
 from scriptorium.operators.clean import clean, drop_incomplete
 from scriptorium.operators.ids import assign_ids, last_id
 from scriptorium.operators.links import author_links, category_links, unnest
+from scriptorium.operators.pruning import key_intervals, within
 from scriptorium.schemas import TABLES, referred_keys, referrers
 from scriptorium.session import scratch_path
 from scriptorium.sinks.logs import failed_run, new_attempt, run_record
@@ -87,7 +88,9 @@ def insert_papers(
     """
     papers = table(spark, "papers", db, load)
     staged = staged_papers(staging, as_of, options.now_as_updated)
-    fresh = insert_absent(papers, staged, ["arxiv_id"], [F.col("published_at"), F.col("title")])
+    # Feed ids grow with time: stored row groups of other times are skipped.
+    near = papers.filter(within(F.col("arxiv_id"), key_intervals(staged, "arxiv_id")))
+    fresh = insert_absent(near, staged, ["arxiv_id"], [F.col("published_at"), F.col("title")])
     path = scratch_path(spark, "new-papers")
     fresh.write.parquet(path)
     fresh = spark.read.schema(fresh.schema).parquet(path)
@@ -113,9 +116,11 @@ TITLE_TAKEN = "title of another paper"
 def insert_names(
     spark: SparkSession, values: DataFrame, name: str, db: str, load: int | None = None
 ) -> None:
-    """Append absent values of a one-column dimension with new ids."""
+    """Append absent values of a one-column dimension with new ids. The values
+    are read twice, so they are taken out of the records once."""
     existing = table(spark, name, db, load)
     key = values.columns[0]
+    values = _written(values.distinct(), f"new-{name}")
     absent = insert_absent(existing, values, [key])
     append(assign_ids(absent, key, last_id(existing)), name, db, load=load)
 

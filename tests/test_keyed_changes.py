@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from scriptorium.operators.changes import insert_absent, met_keys
 from scriptorium.operators.pruning import key_intervals, within
 from scriptorium.schemas import IDS_PER_BUCKET
 from scriptorium.sinks.tables import append, update_rows, upsert_rows
@@ -73,3 +74,17 @@ def test_update_by_another_key(spark, db):
     missing = F.col("pdf_object_path").isNull()
     assert update_rows(paths, "papers", "arxiv_id", "pdf_object_path", db, of=missing) == []
     assert update_rows(paths.limit(0), "papers", "arxiv_id", "pdf_object_path", db) == []
+
+
+def test_a_small_batch_does_not_shuffle_the_stored_keys(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    spark.range(200_000).selectExpr("concat('p', id) AS k").write.parquet(path)
+    batch = str(tmp_path / "batch")  # written, as a staged batch is: Spark knows its size
+    spark.createDataFrame([("p5",), ("x",), ("x",), (None,)], "k string").write.parquet(batch)
+    new = spark.read.parquet(batch)
+    met = met_keys(spark.read.parquet(path), new, ["k"])
+    assert [r["k"] for r in met.collect()] == ["p5"]
+    text = met._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    absent = insert_absent(spark.read.parquet(path), new, ["k"])
+    assert [r["k"] for r in absent.collect()] == ["x"]
