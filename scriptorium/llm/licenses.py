@@ -6,7 +6,6 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -62,17 +61,16 @@ class Wording:
         for i, w in enumerate(self.words):
             self.bits[w] = self.bits.get(w, 0) | 1 << i
 
-    def runs(self, own: list[str], places: dict[str, list[int]]):
-        """``(similarity, first word, end word)`` of the runs of ``own`` of at
-        least ``least``, without those that only add words to a better one."""
-        m, last = len(self.words), -1
-        for p in sorted({p for w in self.anchors for p in places.get(w, ())}):
-            first = max(p - self.longest + 1, last + 1)
-            end = min(p + self.longest, len(own))
-            for i in range(first, min(p + 1, end)):
+    def runs(self, own: list[str], blocks: list[tuple[int, int]]):
+        """``(similarity, first word, end word)`` of the runs of at least
+        ``least`` that begin in one of the sorted blocks, without those that
+        only add words to a better one."""
+        last = -1
+        for first, end in blocks:
+            for i in range(max(first, last + 1), end):
                 last = i
                 if own[i] in self.bits and self.enough(own, i):
-                    yield from self.from_word(own, i, m)
+                    yield from self.from_word(own, i, len(self.words))
 
     def enough(self, own: list[str], i: int) -> bool:
         seen = Counter(w for w in own[i : i + self.longest] if w in self.bits)
@@ -121,55 +119,80 @@ def scan_licenses(docs: DataFrame, templates: dict | None = None, least: float =
     """One row per notice found: its document, license, span in code points
     (end exclusive), size reduction, similarity and wording differences.
 
-    A candidate is a run of words, across line ends. Its similarity to
-    a wording is the length of their longest common subsequence over the
-    wording's words and the run's added ones; at least ``least`` is needed.
-    Runs are looked for in windows around the wording's telling words, so
-    that none is missed and none depends on the words around it. Every
-    run that overlaps no better one is a row.
-    The better of two has the higher similarity, then the longer wording, then
-    the larger reduction: the share of bytes saved when the run's text is
-    compressed with the wording as a raw zstandard dictionary; then the
-    smaller name, the earlier start and end. Null or empty texts give no rows;
-    repeated rows repeat theirs.
+    Candidates are blocks of words around the wordings' telling words, across
+    line ends, cut to the size of a wording. Each is compressed alone and with
+    every wording of that size as a raw zstandard dictionary (lower-cased words,
+    one space between them). Only wordings that save bytes on a block are looked
+    for in it. As a block is no longer than the runs that hold its telling word,
+    the saving does not depend on the length of the text.
+
+    Word differences confirm: the similarity of a run of the block to a wording
+    is the length of their longest common subsequence over the wording's words
+    and the run's added ones; at least ``least`` is needed. Per wording the runs
+    of highest similarity count. Of overlapping runs of several wordings that
+    one is a row which compression with its wording shrinks by the most bytes,
+    then the higher similarity, the longer wording, the smaller name, the
+    earlier start and end; then the other wordings are looked for in what is
+    left. ``reduction`` is the share of bytes saved on the run's own text. Null
+    or empty texts give no rows; repeated rows repeat theirs.
     """
     wordings = [
         w for n, ts in sorted((templates or TEMPLATES).items()) for t in ts if (w := Wording(n, t, least)).words]
     anchors = sorted({a for w in wordings for a in w.anchors})
-    vocabulary = {a for w in wordings for a in w.bits}
+    telling = set(anchors)
+    sizes: dict[int, list[Wording]] = {}
+    for w in wordings:
+        sizes.setdefault(w.longest, []).append(w)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard as z
 
         plain = z.ZstdCompressor(level=LEVEL)
-        primed = {w: z.ZstdCompressor(level=LEVEL, dict_data=z.ZstdCompressionDict(
-            w.text.encode(), dict_type=z.DICT_TYPE_RAWCONTENT)) for w in wordings}
-
-        def reduction(raw: bytes, w: Wording) -> float:
-            return 1 - len(primed[w].compress(raw)) / len(plain.compress(raw))
+        primed, primed_words = ({w: z.ZstdCompressor(level=LEVEL, dict_data=z.ZstdCompressionDict(
+            text.encode(), dict_type=z.DICT_TYPE_RAWCONTENT)) for w, text in of.items()} for of in (
+                {w: w.text for w in wordings}, {w: " ".join(w.words) for w in wordings}))
+
+        def shrunk(own: list[str], places: dict[str, list[int]]) -> dict[Wording, list[tuple[int, int]]]:
+            """Per wording the blocks that it saves bytes on."""
+            out = {}
+            for longest, alike in sizes.items():
+                held = sorted({p for a in {a for w in alike for a in w.anchors} for p in places.get(a, ())})
+                for p in held:
+                    # All runs of up to this size that hold the word.
+                    first, end = max(p - longest + 1, 0), min(p + longest, len(own))
+                    raw = " ".join(own[first:end]).encode("utf-8", "replace")
+                    alone = len(plain.compress(raw))
+                    for w in alike:
+                        if len(primed_words[w].compress(raw)) < alone:
+                            out.setdefault(w, []).append((first, end))
+            return out
 
         def notices(text: str):
             tokens = [m.span() for m in TOKEN.finditer(text)]
             own = [text[a:b].lower() for a, b in tokens]
             places: dict[str, list[int]] = {}
             for at, w in enumerate(own):
-                if w in vocabulary:
+                if w in telling:
                     places.setdefault(w, []).append(at)
-            found = sorted(
-                ((s, len(w.words), i, j, w) for w in wordings for s, i, j in w.runs(own, places)),
-                key=lambda f: (-f[0], -f[1]))
+            runs = {w: sorted(w.runs(own, blocks), key=lambda r: (-r[0], *r[1:]))
+                    for w, blocks in shrunk(own, places).items()}
             taken = bytearray(len(own))
-            for _, equal in groupby(found, key=lambda f: f[:2]):
+            while runs:
                 ranked = []
-                for s, _, i, j, w in equal:
+                for w, found in runs.items():
+                    seen = bytearray(taken)
+                    for s, i, j in found:
+                        if not any(seen[i:j]):
+                            seen[i:j] = b"\1" * (j - i)
+                            raw = text[tokens[i][0] : tokens[j - 1][1]].encode("utf-8", "replace")
+                            alone, given = len(plain.compress(raw)), len(primed[w].compress(raw))
+                            ranked.append((given - alone, -s, -len(w.words), w.name, i, j, 1 - given / alone, w))
+                for _, s, _, name, i, j, gain, w in sorted(ranked, key=lambda r: r[:6]):
                     if not any(taken[i:j]):
-                        raw = text[tokens[i][0] : tokens[j - 1][1]].encode("utf-8", "replace")
-                        ranked.append((-reduction(raw, w), w.name, i, j, s, w))
-                for gain, name, i, j, s, w in sorted(ranked, key=lambda r: r[:4]):
-                    if any(taken[i:j]):
-                        continue
-                    taken[i:j] = b"\1" * (j - i)
-                    yield (name, tokens[i][0], tokens[j - 1][1], -gain, s, *differences(own[i:j], w.words))
+                        taken[i:j] = b"\1" * (j - i)
+                        yield (name, tokens[i][0], tokens[j - 1][1], gain, -s, *differences(own[i:j], w.words))
+                left = {w: [r for r in found if not any(taken[r[1] : r[2]])] for w, found in runs.items()}
+                runs = {w: found for w, found in left.items() if found}
 
         for frame in frames:
             out = []

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import random
+import sys
 import textwrap
 
+import pandas as pd
+
 from scriptorium.llm import licenses
 
 
@@ -90,3 +93,57 @@ def test_scan_against_all_runs_of_words(spark):
         texts.append("".join(w + rng.choice([" ", "\n", ", "]) for w in parts))
     want = [(d, *r) for d, t in enumerate(texts) for r in brute(t, [(n, x) for n, xs in held.items() for x in xs], 0.8)]
     assert scanned(spark, *texts, templates=held) == want and len(want) > 100
+
+
+class Stub:
+    """In place of zstandard: a dictionary saves what ``savings`` says, else nothing."""
+
+    savings: dict[str, int] = {}
+    DICT_TYPE_RAWCONTENT = None
+
+    @staticmethod
+    def ZstdCompressionDict(raw, dict_type):
+        return raw.decode().lower()
+
+    class ZstdCompressor:
+        def __init__(self, level, dict_data=""):
+            self.saved = next((n for end, n in Stub.savings.items() if dict_data.rstrip(".").endswith(end)), 0)
+
+        def compress(self, raw):
+            return b"0" * (100 - self.saved)
+
+
+def stubbed(monkeypatch, savings, text):
+    """The scan of one text in this process, without Spark."""
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInPandas(self, run, schema):
+            return pd.concat(run(iter([pd.DataFrame({"doc_id": [1], "text": [text]})])))
+
+    monkeypatch.setitem(sys.modules, "zstandard", Stub)
+    monkeypatch.setattr(Stub, "savings", savings)
+    return licenses.scan_licenses(Docs())["license"].tolist()
+
+
+def test_compression_selects_blocks_and_licenses(monkeypatch):
+    text = "a b " + licenses.TEMPLATES["GPL-3.0"][0] + " c d"
+    assert stubbed(monkeypatch, {}, text) == []
+    assert stubbed(monkeypatch, {"version 3": 9, "version 2": 5}, text) == ["GPL-3.0"]
+    assert stubbed(monkeypatch, {"version 3": 5, "version 2": 9}, text) == ["GPL-2.0"]
+    assert stubbed(monkeypatch, {"version 2": 9}, text) == ["GPL-2.0"]
+    # Word differences confirm: no saving makes another text a notice.
+    assert stubbed(monkeypatch, {"version 3": 9}, "licensed by a gnu under a license of the public") == []
+
+
+def test_wordings_that_differ_in_one_word_are_told_apart(spark):
+    texts, want = [], []
+    for name, wordings in licenses.TEMPLATES.items():
+        for wording in wordings:
+            w = wording.split()
+            for cut in range(len(w) + 1):
+                if cut == len(w) or len(w) > 6 and w[cut].lower() not in ("2.", "3."):
+                    texts.append(" ".join(["Some", "lines", *w[:cut], *w[cut + 1 :], "and", "others"]))
+                    want.append(name)
+    assert [r[3] for r in scanned(spark, *texts)] == want
