@@ -84,25 +84,53 @@ class TopRows:
 
     A matrix product finds which rows come into question: those not farther
     than the k-th held, give or take its rounding. Their distances are then
-    summed element by element, so that copies of a vector tie exactly.
+    summed element by element, so that copies of a vector tie exactly. At most
+    ``CELLS`` pairs of a query and a row are looked at together, so memory is
+    that of the queries, ``k`` rows for each, and one such tile.
     """
 
+    CELLS = 1 << 18
+
+    def __init__(self, queries: np.ndarray, k: int, rows: int = 1024):
+        step = max(self.CELLS // rows, 1)
+        self.rows, self.parts = rows, [
+            (at, TopOfPart(queries[at : at + step], k)) for at in range(0, len(queries), step)]
+
+    def add(self, vectors: np.ndarray, ids: np.ndarray) -> None:
+        for at in range(0, len(ids), self.rows):
+            near = vectors[at : at + self.rows].astype("float64")
+            sizes = np.sqrt(np.cumsum(near * near, axis=1)[:, -1])
+            for _, part in self.parts:
+                part.add(near, sizes, ids[at : at + self.rows])
+
+    def found(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(number of the query, distance, id), part by part."""
+        for at, part in self.parts:
+            query, distance, ids = part.held
+            yield query + at, distance, ids
+
+
+class TopOfPart:
+    """``TopRows`` of so few queries that one block of rows makes one tile."""
+
     def __init__(self, queries: np.ndarray, k: int):
         self.queries, self.k = queries, k
         self.sizes = np.sqrt(np.cumsum(queries * queries, axis=1)[:, -1])
         self.edge = np.full(len(queries), np.inf)
         self.held = [np.zeros(0, int), np.zeros(0), np.zeros(0, int)]
 
-    def add(self, vectors: np.ndarray, ids: np.ndarray) -> None:
-        sizes = np.sqrt(np.cumsum(vectors * vectors, axis=1)[:, -1])
+    def add(self, vectors: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
         rough = 1.0 - (self.queries @ vectors.T) / (self.sizes[:, None] * sizes[None, :])
         edge = self.edge
         if len(ids) > self.k:
             edge = np.minimum(edge, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1])
         q, r = np.nonzero(rough <= (edge + 1e-9)[:, None])
+        if not len(q):
+            return
         exact = np.empty(len(q))
-        for at in range(0, len(q), 50_000):
-            part = slice(at, at + 50_000)
+        step = max(TopRows.CELLS // vectors.shape[1], 1)
+        for at in range(0, len(q), step):
+            part = slice(at, at + step)
             dots = np.cumsum(self.queries[q[part]] * vectors[r[part]], axis=1)[:, -1]
             exact[part] = 1.0 - dots / (self.sizes[q[part]] * sizes[r[part]])
         held = [np.concatenate(x) for x in zip(self.held, (q, np.maximum(exact, 0.0), ids[r]))]
@@ -158,12 +186,11 @@ def _nearest_of(asked: list, rows: DataFrame, dim: int, k: int) -> DataFrame:
         top = TopRows(matrix, k)
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(-1, dim)
-            for at in range(0, len(ids), 2048):
-                top.add(flat[at : at + 2048], ids[at : at + 2048])
-        query, distance, ids = top.held
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(numbers[query]), pa.array(ids, pa.int64()), pa.array(distance)],
-            names=["query_id", "id", "distance"])
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+            top.add(flat, ids)
+        for query, distance, ids in top.found():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(numbers[query]), pa.array(ids, pa.int64()), pa.array(distance)],
+                names=["query_id", "id", "distance"])
 
     return rows.mapInArrow(run, "query_id long, id long, distance double")

@@ -181,3 +181,18 @@ def test_inverted_file_is_exact_and_reads_a_part(spark, tmp_path):
     assert [r["paper_id"] for r in index.search([0.0] * 16, 5).collect()] == [0, 1, 2, 3, 4]
     write_inverted(corpus.filter("paper_id >= 1200"), str(tmp_path / "none"), 16)
     assert [r["paper_id"] for r in Inverted(spark, str(tmp_path / "none")).search(query, 3).collect()] == [1200, 1201, 1202]
+
+
+def test_many_queries_take_memory_by_tiles():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    for rows in (rng.standard_normal((4096, 16)), np.ones((4096, 16))):
+        queries, ids = rows[:2048].copy(), np.arange(4096)
+        top = search.TopRows(queries, 10)
+        tracemalloc.start()
+        top.add(rows, ids)
+        _, peak = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        # A matrix of all pairs alone would be 64 MB.
+        assert peak < 45e6
