@@ -15,13 +15,23 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # What a task reads, so that its memory does not grow with the tables: rows
+    # of ids take ten times their compressed size and more in a hash map or sort.
+    "spark.sql.files.maxPartitionBytes": "32m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
 }
+# Shuffles are cut into at least so many parts, of which AQE puts small ones
+# together again: 8 GB of compressed shuffle at the size above. A session with
+# more shuffle partitions has as many.
+PARTS = 1000
 
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply ``SETTINGS`` to a running session (all are runtime settings)."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    parts = max(PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
     return spark
 
 

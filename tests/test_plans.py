@@ -6,6 +6,7 @@ import re
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 
@@ -54,3 +55,12 @@ def test_texts_stay_out_of_the_grouping_shuffle(spark):
     for line in text.splitlines():
         if "Exchange hashpartitioning" in line:
             assert "text#" not in line
+
+
+def test_a_shuffle_is_cut_by_its_size_not_by_a_fixed_number(spark):
+    # About 50 MB of rows, in a session of 4 shuffle partitions.
+    hashed = spark.range(3_000_000).select(F.xxhash64("id").alias("a"), F.xxhash64("id", "id").alias("b"))
+    parts = hashed.groupBy("a", "b").count().select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    small = spark.range(100).groupBy("id").count().select(F.spark_partition_id().alias("p")).distinct().count()
+    assert small <= 4
