@@ -6,25 +6,30 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-def member_pairs(df: DataFrame, key: str, member: str, block: int = 2048) -> DataFrame:
-    """``(key, a, b)`` for every two members ``a < b`` that share a key.
+def member_pairs(
+    df: DataFrame, key: str, member: str, block: int = 2048, new: str | None = None
+) -> DataFrame:
+    """``(key, a, b)`` for every two members ``a < b`` that share a key. With
+    ``new``, a boolean column, only those of which one row at least is new.
 
     The members of each key are cut into blocks of about ``block`` by hash,
     most keys into one. Blocks ``i <= j`` of a key meet in a group of their
     own, each pair of blocks once, so no group has more than about two blocks
     of members, however many a key has.
     """
-    rows = df.select(key, member).na.drop()
+    is_new = F.lit(True) if new is None else F.coalesce(F.col(new), F.lit(False))
+    rows = df.select(key, member, is_new.alias("new")).na.drop(subset=[key, member])
     sizes = rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     dealt = rows.join(sizes, key).withColumn(
         "own", F.pmod(F.xxhash64(member), F.col("blocks")).cast("int"))
     later = F.explode(F.sequence(F.col("own"), F.col("blocks") - 1))
     earlier = F.explode(F.sequence(F.lit(0), F.col("own")))
-    left = dealt.select(key, F.col(member).alias("x"), F.col("own").alias("i"), later.alias("j"))
-    right = dealt.select(key, F.col(member).alias("y"), F.col("own").alias("j"), earlier.alias("i"))
+    left = dealt.select(key, F.col(member).alias("x"), F.col("new").alias("p"), F.col("own").alias("i"), later.alias("j"))
+    right = dealt.select(key, F.col(member).alias("y"), F.col("new").alias("q"), F.col("own").alias("j"), earlier.alias("i"))
     met = left.join(right, [key, "i", "j"])
     # Within a block each two members meet in both orders, between blocks once.
     once = met.filter((F.col("x") < F.col("y")) | ((F.col("i") < F.col("j")) & (F.col("x") != F.col("y"))))
+    once = once if new is None else once.filter("p or q")
     return once.select(key, F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 

@@ -74,9 +74,9 @@ def refresh(spark: SparkSession, db: str = "default", merge_after: int = 16) ->
     removals = ",".join(marks[name][0] for name in COUNTED)
 
     # The set of loads is fixed here; one that is committed later waits.
-    known = _written(committed_loads(spark, db), "loads")
+    known = written(committed_loads(spark, db), "loads")
     counted = _table(spark, "mart_loads", db).join(live, "part", "left_semi").select(LOAD)
-    fresh = _written(known.join(counted, LOAD, "left_anti"), "new-loads")
+    fresh = written(known.join(counted, LOAD, "left_anti"), "new-loads")
     n_counted = counted.count()
     changed = generation is None or live.filter(F.col("removals") != removals).count() > 0
     # Rewritten rows have lost their load: all of these must have been counted.
@@ -117,18 +117,15 @@ def new_counts(
         name: spark.table(f"{db}.{name}").join(fresh, LOAD, "left_semi") for name in COUNTED
     }
     papers, authors, codes = (new[name] for name in COUNTED)
-    touched = _written(authors.select("paper_id").distinct(), "touched")
+    touched = written(authors.select("paper_id").distinct(), "touched")
     # A range without stored rows prunes to nothing; -1 keeps the list from being empty.
     ranges = [-1, *touched_buckets(touched)]
     nearby = spark.table(f"{db}.paper_authors").filter(F.col(BUCKET).isin(ranges)).join(
         touched, "paper_id", "left_semi")
-    now = _loaded(nearby, known).select("paper_id", "author_id", LOAD)
-    before = now.join(fresh, LOAD, "left_anti")
-    # Papers that are new as a whole have no pairs to take off.
-    older = before.select("paper_id").distinct()
-    pairs = pair_counts(now).unionByName(
-        pair_counts(before).withColumn("n", -F.col("n"))
-    ).groupBy("a", "b").agg(F.sum("n").alias("n")).filter("n <> 0") if not older.isEmpty() else pair_counts(now)
+    mark = fresh.withColumn("new", F.lit(True))
+    now = _loaded(nearby, known).join(mark, LOAD, "left").select("paper_id", "author_id", "new")
+    # What a paper's new links add: the pairs in which one of the two is new.
+    pairs = pair_counts(now, new="new")
     dated = _loaded(
         spark.table(f"{db}.papers").filter(
             F.col(BUCKET).isin([-1, *touched_buckets(codes.select("paper_id"))])), known)
@@ -190,7 +187,7 @@ def _table(spark: SparkSession, name: str, db: str) -> DataFrame:
     return spark.table(f"{db}.{name}")
 
 
-def _written(rows: DataFrame, label: str) -> DataFrame:
+def written(rows: DataFrame, label: str) -> DataFrame:
     path = scratch_path(rows.sparkSession, label)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -31,9 +31,10 @@ def author_counts(
     return counts if min_papers is None else counts.filter(F.col("n_papers") > min_papers)
 
 
-def pair_counts(links: DataFrame, block: int = 2048) -> DataFrame:
-    """(a, b, n) over author ids, a < b."""
-    pairs = member_pairs(links, "paper_id", "author_id", block)
+def pair_counts(links: DataFrame, block: int = 2048, new: str | None = None) -> DataFrame:
+    """(a, b, n) over author ids, a < b; with ``new``, a boolean column, of
+    pairs with a new link."""
+    pairs = member_pairs(links, "paper_id", "author_id", block, new)
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 

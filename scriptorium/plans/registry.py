@@ -794,8 +794,10 @@ def marts_by_load(w):
     spark, db = w.spark, _new_tables(w)
     live_marts.create_marts(spark, scratch_path(spark, "marts"), db)
     papers, codes = A.papers(w), A.categories(w)
-    links, ids = A.paper_authors(w), codes.select("code", F.col("id").alias("category_id"))
-    coded = A.paper_codes(w).withColumnRenamed("category_id", "code").join(ids, "code").drop("code")
+    # Derived once, as each load takes a part of them.
+    links, ids = live_marts.written(A.paper_authors(w), "links"), codes.select("code", F.col("id").alias("category_id"))
+    coded = live_marts.written(
+        A.paper_codes(w).withColumnRenamed("category_id", "code").join(ids, "code").drop("code"), "coded")
     for turn in range(3):
         load, first = new_attempt(), F.pmod("paper_id", F.lit(3))
         now = papers.filter(F.pmod("id", F.lit(3)) == turn)

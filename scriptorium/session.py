@@ -21,9 +21,9 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
 }
 # Shuffles are cut into at least so many parts, of which AQE puts small ones
-# together again: 8 GB of compressed shuffle at the size above. A session with
+# together again: 3 GB of compressed shuffle at the size above. A session with
 # more shuffle partitions has as many.
-PARTS = 1000
+PARTS = 400
 
 
 def tune(spark: SparkSession) -> SparkSession:

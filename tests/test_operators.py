@@ -263,3 +263,13 @@ def test_cascade_goes_through_all_levels(spark, monkeypatch):
         "papers": [2], "paper_enrichments": [20, 30], "notes": [2, 3, 4]}
     dead = changes.deleted_rows(tables, "papers", gone)
     assert [r["id"] for r in dead["notes"].collect()] == [1]
+
+
+def test_member_pairs_of_new_rows_are_all_less_the_old_ones(spark):
+    links = [(k, m, (k + m) % 3 == 0 or None) for k in range(6) for m in range(9)] + [(1, 2, True), (1, 2, None)]
+    df = spark.createDataFrame(links, "k int, m int, new boolean")
+    whole = Counter(map(tuple, skew.member_pairs(df, "k", "m").collect()))
+    old = Counter(map(tuple, skew.member_pairs(df.filter("new is null"), "k", "m").collect()))
+    for block in (2048, 4):
+        got = Counter(map(tuple, skew.member_pairs(df, "k", "m", block=block, new="new").collect()))
+        assert got == whole - old and got
