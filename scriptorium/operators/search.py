@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scriptorium.functions.vector import has_direction
 
@@ -68,15 +68,11 @@ def knn(
 
 def with_titles(nearest: DataFrame, papers: DataFrame) -> DataFrame:
     """The rows found, nearest first, with their titles; a row without a paper
-    has none. The rows of a top-k, already in order, come to the driver, so that
-    the papers are looked up by a pushed-down list of their ids."""
-    rows = nearest.collect()
-    titles: dict[int, list[str | None]] = {}
-    for paper in papers.filter(F.col("id").isin([r["paper_id"] for r in rows])).select("id", "title").collect():
-        titles.setdefault(paper["id"], []).append(paper["title"])
-    named = [(*r, title) for r in rows for title in titles.get(r["paper_id"], [None])]
-    schema = T.StructType([*nearest.schema.fields, T.StructField("title", T.StringType())])
-    return nearest.sparkSession.createDataFrame(named, schema)
+    has none. The ids of a top-k come to the driver, so that the papers are
+    looked up by a pushed-down list of them."""
+    ids = [r["paper_id"] for r in nearest.select("paper_id").collect()]
+    titles = papers.filter(F.col("id").isin(ids)).select(F.col("id").alias("paper_id"), "title")
+    return nearest.join(titles, "paper_id", "left").orderBy(F.col("distance").asc_nulls_last(), "paper_id")
 
 
 class TopRows:
