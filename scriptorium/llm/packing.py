@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -14,6 +16,11 @@ from pyspark.sql import DataFrame, functions as F
 from scriptorium.llm.common import stored
 
 LENGTH, OPEN, BATCH = 1024, 64, 16
+# Chunks kept by a worker (about 200 MB), and their longest; what ends a text.
+KNOWN, SHORT, END = 1 << 20, 32, bytes(4)
+CHUNK = re.compile(
+    r"\n(?=\S)| ?[A-Za-zÀ-ÖØ-öø-ſ]++(?=[!-/:-@\[-`{-~ \t\n\r])"
+    r"|\s*+\S++(?:[^\S \t\n\r]\s*+\S*+)*+|\s+")
 PIECE = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, ids binary, part long"
@@ -49,15 +56,55 @@ class Windows:
             insort(self.rooms, (room - size, window))
 
 
-def ids_of(texts: list[str], path: str, cache: dict = {}) -> list[np.ndarray]:
-    if path not in cache:
+class Coder:
+    """Token ids by a tokenizer; short chunks of text coded before are kept.
+
+    A byte-level tokenizer cuts a text by a fixed pattern before it merges
+    bytes. It always cuts between a character that is no white space and a
+    blank, tab or line break, between a letter and ASCII punctuation and after
+    a single line break, so texts are cut there first: the ids of a text are
+    those of its chunks in order. Other white space does not end a chunk. Of
+    tokenizers with another pattern or steps before it, whole texts are coded.
+    """
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        cache[path] = Tokenizer.from_file(path)
-        cache[path].encode_special_tokens = True
-    coded = cache[path].encode_batch_fast(texts, add_special_tokens=False)
-    return [np.append(np.array(c.ids, dtype="<u4"), np.uint32(0)).astype("<u4") for c in coded]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.known: dict[str, bytes] = {}
+        made = json.loads(self.tokenizer.to_str())
+        before = made["pre_tokenizer"] or {}
+        self.cuts = (
+            before.get("type") == "ByteLevel" and before.get("use_regex", True)
+            and not before["add_prefix_space"] and not made["normalizer"] and not made["truncation"]
+            and not made["padding"] and made["model"]["type"] == "BPE" and not made["model"]["dropout"]
+            and all(x["special"] for x in made["added_tokens"]))
+
+    def coded(self, texts: list[str]) -> Iterator[bytes]:
+        for code in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            yield np.array(code.ids, dtype="<u4").tobytes()
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        if not self.cuts:
+            return list(self.coded(texts))
+        if len(self.known) > KNOWN:
+            self.known.clear()
+        cut = [CHUNK.findall(t) for t in texts]
+        held = [list(map(self.known.get, c)) for c in cut]
+        new = list({x for c, h in zip(cut, held) for x, ids in zip(c, h) if ids is None})
+        here = dict(zip(new, self.coded(new)))
+        out = [b"".join([h or here[x] for x, h in zip(c, hs)]) for c, hs in zip(cut, held)]
+        self.known.update((x, ids) for x, ids in here.items() if len(x) <= SHORT)
+        return out
+
+
+def ids_of(texts: list[str], path: str, coders: dict = {}) -> list[np.ndarray]:
+    """Per text its ids and the id 0."""
+    if path not in coders:
+        coders[path] = Coder(path)
+    return [np.frombuffer(c + END, dtype="<u4") for c in coders[path].ids(texts)]
 
 
 def piece_row(doc, start, ids, total, sequence, offset, part, keep):

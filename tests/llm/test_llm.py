@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -259,6 +260,36 @@ def test_packing(docs):
     assert packing.pack(docs.limit(0), path).count() == 0
 
 
+def test_ids_of_chunks_are_those_of_whole_texts():
+    """Also around white space of all kinds, contractions and control strings."""
+    coder, dice = packing.Coder(public_tokenizers.path("byte_bpe_50k.json")), random.Random(1)
+    marks = list("ab1'sS !.\n\t\r\x0b\x0c\x1c\x1f\x85\xa0\u1680\u180e\u2003\u200b\u2028\u3000\ufeffé中١²ſ\u0301😀<|>")
+    marks += ["  ", "'ll", "'S", "<|endoftext|>", " \n", "word", " word", "été,"]
+    texts = ["".join(dice.choices(marks, k=dice.randrange(40))) for _ in range(20_000)] + ["", " ", "x" * 99]
+    assert coder.cuts
+    for at in range(0, len(texts), 500):
+        some = texts[at : at + 500]
+        assert coder.ids(some) == list(coder.coded(some))
+    assert max(map(len, coder.known)) <= packing.SHORT
+
+
+def test_words_are_coded_once():
+    class Counting:
+        def __init__(self, inner):
+            self.inner, self.chars = inner, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.chars += sum(map(len, texts))
+            return self.inner.encode_batch_fast(texts, **options)
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coders = {path: packing.Coder(path)}
+    counting = coders[path].tokenizer = Counting(coders[path].tokenizer)
+    for _ in range(3):
+        packing.ids_of(["alpha, beta\n" * 1000, "beta alpha"], path, coders)
+    assert counting.chars < 100
+
+
 def test_licenses(spark, docs):
     texts = spark.createDataFrame(
         [(1, "é\nreleased under the MIT license.\nmore"), (2, "my driving license"), (3, None),
