@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -161,6 +162,24 @@ def test_lm_score(spark, docs):
     assert row.score == pytest.approx(0) and row.n_tokens == 1
 
 
+def test_lm_score_does_not_depend_on_shards(spark, docs):
+    target = spark.createDataFrame([(1,), (8,)], "doc_id long")
+    whole, cut = ({r.doc_id: r for r in lm_score.score_difference(docs.repartition(n), target, 0.1, size).collect()}
+                  for n, size in ((1, 1 << 21), (3, 100)))
+    assert whole.keys() == cut.keys() and len(whole) == 9
+    for doc, row in whole.items():
+        assert tuple(row)[1:] == pytest.approx(tuple(cut[doc])[1:])
+
+
+def test_lm_score_sends_a_gram_once_per_shard():
+    """Not once for each document that holds it."""
+    texts = pa.record_batch({"doc_id": range(500), "text": ["one two three four"] * 500})
+    row, = (r for batch in lm_score.cut_shards([texts]) for r in batch.to_pylist())
+    grams = lm_score.Grams(row)
+    assert len(grams.hashes(lm_score.BIGRAM)) == len(grams.hashes(lm_score.CONTEXT)) == 4
+    assert all(len(grams.counts(kind)[0]) == 2000 for kind in (lm_score.CONTEXT, lm_score.BIGRAM))
+
+
 @pytest.mark.parametrize("few", [True, False])
 def test_lm_score_equals_counting(spark, few):
     """Matched models, less a document's own counts, against plain counting."""
