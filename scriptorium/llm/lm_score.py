@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import itertools
 import re
 from collections.abc import Iterable, Iterator
@@ -14,6 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scriptorium.llm.common import stored
+from scriptorium.llm.hashed import bucketed, mixed, pack, pair_hashes, unpack, word_hashes
 from scriptorium.llm.phrases import pack_ids, unpack_ids
 
 SMOOTH, DRAWS, SHARD_WORDS = 0.1, 1 << 32, 1 << 21
@@ -30,16 +30,6 @@ MORE = pa.schema([
 LOSS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("t", pa.float64()), ("b", pa.float64())])
 
 
-def pack(numbers: np.ndarray) -> bytes:
-    """Numbers from 0 as compressed bytes: all lowest bytes first, then the next."""
-    return zstandard.compress(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes())
-
-
-def unpack(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(packed), dtype=np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view("<u8").ravel()
-
-
 def cut_shards(batches: Iterable[pa.RecordBatch], limit: int = SHARD_WORDS) -> Iterator[pa.RecordBatch]:
     """Texts to shards of about ``limit`` words: ids and lengths of the texts,
     the distinct words, and all words as numbers from 1 into those. Shards are
@@ -70,13 +60,6 @@ def cut_shards(batches: Iterable[pa.RecordBatch], limit: int = SHARD_WORDS) -> I
         yield written()
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A 64-bit number for a number, its bits mixed."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 class Grams:
     """Contexts and bigrams of a shard. A text begins with a start mark, which
     is a context only and the word 0."""
@@ -107,22 +90,11 @@ class Grams:
     def hashes(self, kind: int) -> np.ndarray:
         """Per gram a hash of its words, the same in all shards."""
         words = ["", *zstandard.decompress(self.words).decode("utf-8", "surrogatepass").split(" ")]
-        own = np.array([int.from_bytes(hashlib.blake2b(
-            w.encode("utf-8", "surrogatepass"), digest_size=8).digest()) for w in words], dtype=np.uint64)
+        own = word_hashes(words)
         if kind == CONTEXT:
             return mixed(own[self.distinct[kind]])
         v, w = np.divmod(self.distinct[kind], self.width)
-        return mixed(own[v] * np.uint64(0x9E3779B97F4A7C15) + own[w] * np.uint64(0xD6E8FEB86659FD93))
-
-
-def bucketed(hashes: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray, bytes]]:
-    """Per bucket, a range of hashes: the places of its hashes in order, and these packed."""
-    order = np.argsort(hashes)
-    bounds = [((i << 64) // buckets) for i in range(1, buckets)]
-    ends = np.searchsorted(hashes[order], np.array(bounds, dtype=np.uint64)) if bounds else np.zeros(0, int)
-    for bucket, at in enumerate(np.split(order, ends)):
-        if len(at):
-            yield bucket, at, pack(np.diff(hashes[at], prepend=np.uint64(0)))
+        return pair_hashes(own[v], own[w])
 
 
 def _contexts(buckets: int):

@@ -12,8 +12,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scriptorium.llm.common import stored
+from scriptorium.llm.hashed import bucketed, pack, pair_hashes, unpack, word_hashes
 
-DEPTH, LEAST, TOP, SHARD_WORDS = 5, 100, 2000, 1 << 21
+DEPTH, LEAST, TOP, SHARD_WORDS, PAIR_BITS = 5, 100, 2000, 1 << 21, 40
 # Lower case for A-Z, a line feed for what ends a piece, a space for a tab.
 _FOLD = bytes(
     10 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c
@@ -197,58 +198,85 @@ def _compact(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(old, symbols), old
 
 
-def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
-    """One shard at a time; its words are Python objects only meanwhile."""
-    for batch in batches:
-        for at in range(len(batch)):
-            yield batch.slice(at, 1).to_pylist()[0]
-
-
-def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of neighbouring frequent words per shard."""
-    for row in _rows(batches):
-        ids, frequent = unpack_ids(row["ids"]), np.zeros(len(row["words"]) + 1, bool)
-        frequent[row["frequent"]] = True
-        symbols, old = _compact(chains(ids, frequent[ids[:-1]] & frequent[ids[1:]]))
-        if not len(symbols):
-            continue
-        for words, count, _, _ in FmIndex(symbols, 2).grams(2):
-            names = np.array([""] + row["words"], dtype=object)[old][words]
-            for at in range(0, len(count), 50_000):
-                part = slice(at, at + 50_000)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([row["shard"]] * len(count[part]), pa.int64()),
-                    pa.array([row["lang"]] * len(count[part]), pa.string()),
-                    pa.array([" ".join(x) for x in names[part]], pa.string()),
-                    pa.array(count[part], pa.int64())],
-                    names=["shard", "lang", "phrase", "n"])
-
-
-def _grams(depth: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Counts and sole neighbours of the grams of linked words per shard."""
-        for row in _rows(batches):
-            ids, width = unpack_ids(row["ids"]), len(row["words"]) + 1
-            place = {word: i for i, word in enumerate(row["words"])}
-            ends = (link.split(" ") for link in row["links"])
-            wanted = np.sort(np.array([place[a] * width + place[b] for a, b in ends], dtype=np.int64))
-            key = np.where((ids[:-1] >= 0) & (ids[1:] >= 0), ids[:-1] * width + ids[1:], -1)
-            at = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
-            symbols, old = _compact(chains(ids, wanted[at] == key))
-            if not len(symbols):
-                continue
-            names = np.array([None] + row["words"], dtype=object)[old]
-            for words, count, left, right in FmIndex(symbols, depth).grams(depth):
-                for begin in range(0, len(count), 50_000):
-                    part = slice(begin, begin + 50_000)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([row["lang"]] * len(count[part]), pa.string()),
-                        pa.array([" ".join(x) for x in names[words[part]]], pa.string()),
-                        pa.array(np.full(len(count[part]), words.shape[1]), pa.int32()),
-                        pa.array(count[part], pa.int64()),
-                        pa.array(names[left[part]], pa.string()),
-                        pa.array(names[right[part]], pa.string())],
-                        names=["lang", "phrase", "size", "n", "left", "right"])
+CHUNK = pa.schema([
+    ("lang", pa.string()), ("bucket", pa.int64()), ("shard", pa.int64()), ("hashes", pa.binary()),
+    ("counts", pa.binary())])
+HITS = pa.schema([("of", pa.int64()), ("bucket", pa.int64()), ("linked", pa.binary())])
+FOUND = pa.schema([
+    ("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("n", pa.int64()),
+    ("left", pa.string()), ("right", pa.string())])
+
+
+def _linked(ids: np.ndarray, frequent: np.ndarray, words: int) -> np.ndarray:
+    """Where two neighbours are frequent words."""
+    known = np.zeros(words + 1, bool)  # the last for -1, what ends a piece
+    known[frequent] = True
+    return known[ids[:-1]] & known[ids[1:]]
+
+
+def _pair_hashes(words: list[str], first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
+    used = np.unique(np.concatenate([first, second]))
+    own = np.zeros(len(words), dtype=np.uint64)
+    own[used] = word_hashes(words[i] for i in used.tolist())
+    return pair_hashes(own[first], own[second]) >> np.uint64(64 - bits)
+
+
+def _pairs(buckets: int, bits: int):
+    def run(shard: pa.Table, frequent: pa.Table) -> pa.Table:
+        """Counts of neighbouring frequent words of a shard, by bucket of their hash."""
+        row = shard.to_pylist()[0]
+        ids, out = unpack_ids(row["ids"]), []
+        symbols, old = _compact(chains(ids, _linked(ids, frequent["id"].to_numpy(), len(row["words"]))))
+        for words, count, _, _ in FmIndex(symbols, 2).grams(2) if len(symbols) else ():
+            hashes = _pair_hashes(row["words"], *(old[words] - 1).T, bits)
+            out += [
+                {"lang": row["lang"], "bucket": bucket, "shard": row["shard"], "hashes": packed,
+                 "counts": pack(count[at])}
+                for bucket, at, packed in bucketed(hashes, buckets, bits)]
+        return pa.Table.from_pylist(out, schema=CHUNK)
+    return run
+
+
+def _often(least: int):
+    def run(chunks: pa.Table) -> pa.Table:
+        """Which pairs of each shard's chunk of a bucket occur ``least`` times over all shards."""
+        hashes = [np.cumsum(unpack(x.as_py())) for x in chunks["hashes"]]
+        _, pair = np.unique(np.concatenate(hashes), return_inverse=True)
+        counts = np.concatenate([unpack(x.as_py()) for x in chunks["counts"]])
+        often = (np.bincount(pair, weights=counts) >= least)[pair]
+        masks = np.split(often, np.cumsum([len(x) for x in hashes])[:-1])
+        return pa.Table.from_pylist([
+            {"of": shard, "bucket": bucket, "linked": zstandard.compress(np.packbits(mask).tobytes())}
+            for shard, bucket, mask in zip(chunks["shard"].to_pylist(), chunks["bucket"].to_pylist(), masks)
+            if mask.any()], schema=HITS)
+    return run
+
+
+def _grams(buckets: int, depth: int, bits: int):
+    def run(shard: pa.Table, right: pa.Table) -> pa.Table:
+        """Counts and sole neighbours of the grams of linked words of a shard."""
+        row = shard.to_pylist()[0]
+        ids, width = unpack_ids(row["ids"]), len(row["words"]) + 1
+        linked = _linked(ids, right["id"].drop_null().to_numpy(), len(row["words"]))
+        hits = right.filter(right["bucket"].is_valid()).to_pylist()
+        masks = {x["bucket"]: np.frombuffer(zstandard.decompress(x["linked"]), np.uint8) for x in hits}
+        pairs, place = np.unique((ids[:-1] * width + ids[1:])[linked], return_inverse=True)
+        often = np.zeros(len(pairs), bool)
+        if masks:
+            hashes = _pair_hashes(row["words"], *np.divmod(pairs, width), bits)
+            for bucket, at, _ in bucketed(hashes, buckets, bits):
+                if bucket in masks:
+                    often[at] = np.unpackbits(masks[bucket], count=len(at)).astype(bool)
+        linked[linked] = often[place]
+        symbols, old = _compact(chains(ids, linked))
+        names, out = np.array([None] + row["words"], dtype=object)[old], [FOUND.empty_table()]
+        for words, count, left, right in FmIndex(symbols, depth).grams(depth) if len(symbols) else ():
+            out.append(pa.table([
+                pa.array([row["lang"]] * len(count), pa.string()),
+                pa.array([" ".join(x) for x in names[words]], pa.string()),
+                pa.array(np.full(len(count), words.shape[1]), pa.int32()), pa.array(count, pa.int64()),
+                pa.array(names[left], pa.string()), pa.array(names[right], pa.string())], schema=FOUND))
+        return pa.concat_tables(out)
     return run
 
 
@@ -257,7 +285,10 @@ def _sole(column: str) -> Column:
     return (F.count(column) == F.count(F.lit(1))) & (F.min(column) == F.max(column))
 
 
-def phrase_counts(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, shard_words: int = SHARD_WORDS):
+def phrase_counts(
+    docs: DataFrame, least: int = LEAST, depth: int = DEPTH, shard_words: int = SHARD_WORDS,
+    pair_bits: int = PAIR_BITS,
+):
     """``(words, grams)``: the words (lang, phrase, f) and the phrases of 2 to
     ``depth`` words (also ``size`` and ``covered``) that occur at least
     ``least`` times in a language; words holds rarer ones too. ``covered``:
@@ -265,8 +296,10 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, shard
 
     Texts are dealt into shards. What a shard may leave out is decided on sums
     over all shards: a frequent phrase holds only frequent words and frequent
-    neighbouring pairs, so two rounds send each shard the list of those it has
-    and cut its text at all others. Every list is shorter than its shard.
+    neighbouring pairs, so two rounds tell each shard which of its own those
+    are, and it cuts its text at all others. Pairs are summed up as hashes of
+    ``pair_bits`` bits, in buckets that are ranges of them: two pairs of one
+    hash can only let a rarer pair pass, as phrases are counted by their words.
     """
     spark = docs.sparkSession
     texts = docs.filter("text is not null").select(
@@ -280,21 +313,20 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, shard
         "shard", "lang", F.col("pos").alias("id"), F.col("col.words").alias("phrase"),
         F.col("col.counts").alias("n"))
     words = stored(local.groupBy("lang", "phrase").agg(F.sum("n").alias("f")), "words")
-    common = words.filter(F.col("f") >= least)
-    frequent = (
-        local.join(common, ["lang", "phrase"], "left_semi")
-        .groupBy("shard").agg(F.collect_list("id").alias("frequent")))
-    pairs = (
-        shards.drop("counts").join(frequent, "shard").select("shard", "lang", "words", "ids", "frequent")
-        .mapInArrow(_pairs, "shard long, lang string, phrase string, n long"))
-    # A pair has one row per shard at most; they meet once.
+    total = words.agg(F.sum("f")).first()[0] or 0
+    buckets = -(-total // shard_words) or 1
+    # A word has one row per shard at most; they meet once.
     whole = F.sum("n").over(Window.partitionBy("lang", "phrase"))
-    links = (
-        pairs.withColumn("f", whole).filter(F.col("f") >= least)
-        .groupBy("shard").agg(F.collect_list("phrase").alias("links")))
-    chained = shards.drop("counts").join(links, "shard").select("lang", "words", "ids", "links")
-    found = chained.mapInArrow(
-        _grams(depth), "lang string, phrase string, size int, n long, left string, right string")
+    frequent = stored(
+        local.withColumn("f", whole).filter(F.col("f") >= least)
+        .select(F.col("shard").alias("of"), "id"), "frequent")
+    dealt = shards.select("shard", "lang", "words", "ids").groupBy("shard")
+    hits = (
+        dealt.cogroup(frequent.groupBy("of")).applyInArrow(
+            _pairs(buckets, pair_bits), "lang string, bucket long, shard long, hashes binary, counts binary")
+        .groupBy("lang", "bucket").applyInArrow(_often(least), "of long, bucket long, linked binary"))
+    found = dealt.cogroup(frequent.unionByName(hits, allowMissingColumns=True).groupBy("of")).applyInArrow(
+        _grams(buckets, depth, pair_bits), "lang string, phrase string, size int, n long, left string, right string")
     grams = stored(
         found.groupBy("lang", "phrase", "size")
         .agg(F.sum("n").alias("f"), (_sole("left") | _sole("right")).alias("covered"))
@@ -304,7 +336,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, shard
 
 def collocations(
     docs: DataFrame, least: int = LEAST, depth: int = DEPTH, top: int = TOP,
-    shard_words: int = SHARD_WORDS,
+    shard_words: int = SHARD_WORDS, pair_bits: int = PAIR_BITS,
 ) -> DataFrame:
     """``(lang, rank, phrase, a, l, r, n, score)``: per language the phrases of
     2 to ``depth`` words with the highest association at their weakest cut.
@@ -315,7 +347,7 @@ def collocations(
     lang is ``und``; repeated rows count each; tables without words give no
     rows; columns other than ``text`` and ``lang`` are not looked at.
     """
-    words, grams = phrase_counts(docs, least, depth, shard_words)
+    words, grams = phrase_counts(docs, least, depth, shard_words, pair_bits)
     total = words.groupBy("lang").agg(F.sum("f").alias("n"))
     parts = words.filter(F.col("f") >= least).unionByName(grams.select("lang", "phrase", "f"))
     kept = grams.filter((F.col("size") == depth) | ~F.col("covered"))

@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from scriptorium.llm import phrases
 from scriptorium.llm.phrases import FmIndex
@@ -100,3 +101,24 @@ def test_long_text_and_long_piece(spark):
     docs = spark.createDataFrame([(long, "en")], "text string, lang string")
     got = phrases.collocations(docs, shard_words=1000).collect()
     assert sorted(tuple(r) for r in got) == brute([(long, "en")], 100, 5, 2000)
+
+
+def test_pairs_of_one_hash_change_nothing(spark):
+    """A hash of few bits lets rare pairs pass; phrases are counted by words."""
+    rows = texts(5)
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(2)
+    got = phrases.collocations(docs, 4, 5, 2000, 500, 3).collect()
+    assert sorted(tuple(r) for r in got) == brute(rows, 4, 5, 2000)
+
+
+def test_pairs_are_sent_packed():
+    """Pairs leave a shard as a few packed rows."""
+    shard, = (r for b in phrases.cut_shards([pa.record_batch({
+        "lang": ["en"], "text": [" ".join(f"w{i * i % 997}" for i in range(20_000)).encode()]})])
+        for r in [b.slice(0, 1)])
+    table = pa.Table.from_batches([shard])
+    frequent = pa.table({"id": range(len(shard["words"].to_pylist()[0]))})
+    chunks = phrases._pairs(4, 40)(table, frequent)
+    pairs = sum(len(phrases.unpack(x.as_py())) for x in chunks["hashes"])
+    assert chunks.num_rows == 4 and pairs > 900
+    assert sum(len(x.as_py()) for x in chunks["hashes"]) < 6 * pairs
