@@ -6,10 +6,11 @@ import itertools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from scriptorium.llm.common import stored
 from scriptorium.llm.hashed import bucketed, pack, pair_hashes, unpack, word_hashes
@@ -203,8 +204,19 @@ CHUNK = pa.schema([
     ("counts", pa.binary())])
 HITS = pa.schema([("of", pa.int64()), ("bucket", pa.int64()), ("linked", pa.binary())])
 FOUND = pa.schema([
-    ("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("n", pa.int64()),
-    ("left", pa.string()), ("right", pa.string())])
+    ("lang", pa.string()), ("bucket", pa.int64()), ("phrases", pa.binary()), ("counts", pa.binary()),
+    ("left", pa.binary()), ("right", pa.binary())])
+GRAMS = pa.schema([
+    ("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("f", pa.int64()), ("covered", pa.bool_())])
+
+
+def _pack_lines(lines: Iterable[str]) -> bytes:
+    """Words and phrases hold no line break."""
+    return zstandard.compress("\n".join(lines).encode())
+
+
+def _unpack_lines(packed: bytes) -> list[str]:
+    return zstandard.decompress(packed).decode().split("\n")
 
 
 def _linked(ids: np.ndarray, frequent: np.ndarray, words: int) -> np.ndarray:
@@ -254,7 +266,8 @@ def _often(least: int):
 
 def _grams(buckets: int, depth: int, bits: int):
     def run(shard: pa.Table, right: pa.Table) -> pa.Table:
-        """Counts and sole neighbours of the grams of linked words of a shard."""
+        """Counts and sole neighbours of the grams of linked words of a shard,
+        by bucket of a hash of their words, in which they stand sorted."""
         row = shard.to_pylist()[0]
         ids, width = unpack_ids(row["ids"]), len(row["words"]) + 1
         linked = _linked(ids, right["id"].drop_null().to_numpy(), len(row["words"]))
@@ -269,20 +282,47 @@ def _grams(buckets: int, depth: int, bits: int):
                     often[at] = np.unpackbits(masks[bucket], count=len(at)).astype(bool)
         linked[linked] = often[place]
         symbols, old = _compact(chains(ids, linked))
-        names, out = np.array([None] + row["words"], dtype=object)[old], [FOUND.empty_table()]
+        names, out = np.array([""] + row["words"], dtype=object)[old], []
+        own = word_hashes(names)
         for words, count, left, right in FmIndex(symbols, depth).grams(depth) if len(symbols) else ():
-            out.append(pa.table([
-                pa.array([row["lang"]] * len(count), pa.string()),
-                pa.array([" ".join(x) for x in names[words]], pa.string()),
-                pa.array(np.full(len(count), words.shape[1]), pa.int32()), pa.array(count, pa.int64()),
-                pa.array(names[left], pa.string()), pa.array(names[right], pa.string())], schema=FOUND))
-        return pa.concat_tables(out)
+            key = own[words[:, 0]]
+            for at in range(1, words.shape[1]):
+                key = pair_hashes(key, own[words[:, at]])
+            for bucket, at, _ in bucketed(key, buckets):
+                made = sorted((" ".join(x), i) for x, i in zip(names[words[at]], at.tolist()))
+                at = np.array([i for _, i in made])
+                out.append({
+                    "lang": row["lang"], "bucket": bucket, "phrases": _pack_lines(x for x, _ in made),
+                    "counts": pack(count[at]), "left": _pack_lines(names[left[at]]),
+                    "right": _pack_lines(names[right[at]])})
+        return pa.Table.from_pylist(out, schema=FOUND)
     return run
 
 
-def _sole(column: str) -> Column:
-    """Whether all shards name the same one neighbour."""
-    return (F.count(column) == F.count(F.lit(1))) & (F.min(column) == F.max(column))
+def _frequent_grams(least: int):
+    def run(chunks: pa.Table) -> pa.Table:
+        """The phrases of a bucket that occur ``least`` times over all shards."""
+        def lines(column: str) -> np.ndarray:
+            parts = [_unpack_lines(x.as_py()) for x in chunks[column]]
+            return pd.factorize(np.array(list(itertools.chain.from_iterable(parts)), dtype=object))
+
+        gram, phrases = lines("phrases")
+        count = np.bincount(gram, weights=np.concatenate([unpack(x.as_py()) for x in chunks["counts"]]))
+        order = np.argsort(gram, kind="stable")
+        first = np.searchsorted(gram[order], np.arange(len(phrases)))
+        covered = np.zeros(len(phrases), bool)
+        for column in ("left", "right"):
+            # Whether all shards name the same one neighbour.
+            word, words = lines(column)
+            word = word[order]
+            covered |= (np.minimum.reduceat(word, first) == np.maximum.reduceat(word, first)) & (
+                words[word[first]] != "")
+        kept = np.flatnonzero(count >= least)
+        return pa.table([
+            pa.array([chunks["lang"][0].as_py()] * len(kept), pa.string()), pa.array(phrases[kept], pa.string()),
+            pa.array([x.count(" ") + 1 for x in phrases[kept]], pa.int32()),
+            pa.array(count[kept].astype(np.int64)), pa.array(covered[kept])], schema=GRAMS)
+    return run
 
 
 def phrase_counts(
@@ -300,6 +340,7 @@ def phrase_counts(
     are, and it cuts its text at all others. Pairs are summed up as hashes of
     ``pair_bits`` bits, in buckets that are ranges of them: two pairs of one
     hash can only let a rarer pair pass, as phrases are counted by their words.
+    Phrases, too, are sent as sorted lists of one bucket and shard.
     """
     spark = docs.sparkSession
     texts = docs.filter("text is not null").select(
@@ -326,11 +367,11 @@ def phrase_counts(
             _pairs(buckets, pair_bits), "lang string, bucket long, shard long, hashes binary, counts binary")
         .groupBy("lang", "bucket").applyInArrow(_often(least), "of long, bucket long, linked binary"))
     found = dealt.cogroup(frequent.unionByName(hits, allowMissingColumns=True).groupBy("of")).applyInArrow(
-        _grams(buckets, depth, pair_bits), "lang string, phrase string, size int, n long, left string, right string")
+        _grams(buckets, depth, pair_bits),
+        "lang string, bucket long, phrases binary, counts binary, left binary, right binary")
     grams = stored(
-        found.groupBy("lang", "phrase", "size")
-        .agg(F.sum("n").alias("f"), (_sole("left") | _sole("right")).alias("covered"))
-        .filter(F.col("f") >= least), "grams")
+        found.groupBy("lang", "bucket").applyInArrow(
+            _frequent_grams(least), "lang string, phrase string, size int, f long, covered boolean"), "grams")
     return words, grams
 
 
