@@ -11,13 +11,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from scriptorium.llm.common import stored
 
 LENGTH, OPEN, BATCH = 1024, 64, 16
-# Chunks kept by a worker (about 200 MB), and their longest; what ends a text.
-KNOWN, SHORT, END = 1 << 20, 32, bytes(4)
+# Chunks kept in each of a worker's two tables (about 35 MB), and their longest; what ends a text.
+KNOWN, SHORT, END = 1 << 18, 32, bytes(4)
+MARK = "\U0010ffff"  # stands between chunks that are coded by one call
 CHUNK = re.compile(
     r"\n(?=\S)| ?[A-Za-zÀ-ÖØ-öø-ſ]++(?=[!-/:-@\[-`{-~ \t\n\r])"
     r"|\s*+\S++(?:[^\S \t\n\r]\s*+\S*+)*+|\s+")
@@ -59,6 +61,10 @@ class Windows:
 class Coder:
     """Token ids by a tokenizer; short chunks of text coded before are kept.
 
+    They are kept in two tables: when the first is full it becomes the second,
+    whose chunks go back to the first when they are met again. So a worker's
+    memory does not grow with the rows, and frequent chunks stay.
+
     A byte-level tokenizer cuts a text by a fixed pattern before it merges
     bytes. It always cuts between a character that is no white space and a
     blank, tab or line break, between a letter and ASCII punctuation and after
@@ -69,34 +75,61 @@ class Coder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import AddedToken, Tokenizer
+
+        def made():
+            tokenizer = Tokenizer.from_file(path)
+            tokenizer.encode_special_tokens = True
+            return tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer, self.made, self.plain = made(), made, None
         self.known: dict[str, bytes] = {}
-        made = json.loads(self.tokenizer.to_str())
-        before = made["pre_tokenizer"] or {}
+        self.older: dict[str, bytes] = {}
+        steps = json.loads(self.tokenizer.to_str())
+        before = steps["pre_tokenizer"] or {}
         self.cuts = (
             before.get("type") == "ByteLevel" and before.get("use_regex", True)
-            and not before["add_prefix_space"] and not made["normalizer"] and not made["truncation"]
-            and not made["padding"] and made["model"]["type"] == "BPE" and not made["model"]["dropout"]
-            and all(x["special"] for x in made["added_tokens"]))
+            and not before["add_prefix_space"] and not steps["normalizer"] and not steps["truncation"]
+            and not steps["padding"] and steps["model"]["type"] == "BPE" and not steps["model"]["dropout"]
+            and all(x["special"] for x in steps["added_tokens"]))
+        if self.cuts:
+            self.tokenizer.add_tokens([AddedToken(MARK, normalized=False, special=False)])
+            self.mark = self.tokenizer.token_to_id(MARK)
 
     def coded(self, texts: list[str]) -> Iterator[bytes]:
-        for code in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+        tokenizer = self.tokenizer
+        if self.cuts and any(MARK in t for t in texts):
+            tokenizer = self.plain = self.plain or self.made()
+        for code in tokenizer.encode_batch_fast(texts, add_special_tokens=False):
             yield np.array(code.ids, dtype="<u4").tobytes()
 
+    def coded_chunks(self, chunks: list[str]) -> dict[str, bytes]:
+        """The ids of each, by one call: added tokens part a text before all else."""
+        out = {x: next(self.coded([x])) for x in chunks if MARK in x}
+        chunks = [x for x in chunks if x not in out]
+        for code in self.tokenizer.encode_batch_fast(
+                ["".join(x + MARK for x in chunks)], add_special_tokens=False):
+            ids = np.array(code.ids, dtype="<u4")
+            ends, raw, start = np.flatnonzero(ids == self.mark).tolist(), ids.tobytes(), 0
+            for x, end in zip(chunks, ends, strict=True):
+                out[x] = raw[4 * start : 4 * end]
+                start = end + 1
+        return out
+
     def ids(self, texts: list[str]) -> list[bytes]:
         if not self.cuts:
             return list(self.coded(texts))
-        if len(self.known) > KNOWN:
-            self.known.clear()
         cut = [CHUNK.findall(t) for t in texts]
-        held = [list(map(self.known.get, c)) for c in cut]
-        new = list({x for c, h in zip(cut, held) for x, ids in zip(c, h) if ids is None})
-        here = dict(zip(new, self.coded(new)))
-        out = [b"".join([h or here[x] for x, h in zip(c, hs)]) for c, hs in zip(cut, held)]
-        self.known.update((x, ids) for x, ids in here.items() if len(x) <= SHORT)
+        new = set().union(*cut).difference(self.known)
+        here = {x: self.older[x] for x in new if x in self.older}
+        here |= self.coded_chunks([x for x in new if x not in here])
+        self.known.update(here)
+        out = [b"".join(map(self.known.__getitem__, c)) for c in cut]
+        for x in here:
+            if len(x) > SHORT or len(here) > KNOWN:
+                del self.known[x]
+        if len(self.known) > KNOWN:
+            self.older, self.known = self.known, {}
         return out
 
 
@@ -112,6 +145,11 @@ def piece_row(doc, start, ids, total, sequence, offset, part, keep):
     return (doc, start, len(ids), zlib.crc32(raw), total, sequence, offset, raw if keep else None, part)
 
 
+def arrow(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(x), t) for x, t in zip(zip(*rows), ARROW)], names=COLUMNS)
+
+
 def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, open_windows: int = OPEN) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset``.
@@ -128,7 +166,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, open_windows: in
     a sequence of some size is padded to.
     """
 
-    def rows_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
@@ -142,23 +180,22 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, open_windows: in
                     doc, start, ids, total, base + window, offset, part >> 6, keep))
                 offset += len(ids)
 
-        for frame in frames:
-            for begin in range(0, len(frame), BATCH):
-                some = frame.iloc[begin : begin + BATCH]
-                coded = ids_of([t or "" for t in some["text"]], tokenizer)
-                for doc, ids in zip(some["doc_id"], coded):
-                    doc = None if pd.isna(doc) else int(doc)
+        for batch in batches:
+            for begin in range(0, batch.num_rows, BATCH):
+                docs, texts = (batch.column(c).slice(begin, BATCH).to_pylist() for c in ("doc_id", "text"))
+                for doc, ids in zip(docs, ids_of([t or "" for t in texts], tokenizer)):
                     for start in range(0, len(ids), length):
-                        piece = ids[start : start + length]
+                        # A copy: a window's piece would hold its whole document.
+                        piece = ids[start : start + length].copy()
                         for window, pieces in windows.place((doc, start, piece, len(ids)), len(piece)):
                             emit(window, pieces)
                 if len(out) >= 4096:
-                    yield pd.DataFrame(out, columns=COLUMNS)
+                    yield arrow(out)
                     out.clear()
         for window, pieces in sorted(windows.held.items()):
             emit(window, pieces, keep=True)
         if out:
-            yield pd.DataFrame(out, columns=COLUMNS)
+            yield arrow(out)
 
     def merged(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["sequence_id", "offset"], kind="stable")
@@ -174,13 +211,14 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, open_windows: in
                 at, start, ids = at + take, start + take, ids[take:]
         return pd.DataFrame(out, columns=COLUMNS)
 
-    first = stored(docs.select("doc_id", "text").mapInPandas(rows_of, PIECE), "pieces")
+    first = stored(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows_of, PIECE), "pieces")
     rest = first.filter("ids is not null").groupBy("part").applyInPandas(merged, PIECE)
     pieces = first.filter("ids is null").unionByName(rest)
     return pieces.drop("ids", "part")
 
 
 COLUMNS = [c.split()[0] for c in PIECE.split(", ")]
+ARROW = [{"long": pa.int64(), "binary": pa.binary()}[c.split()[1]] for c in PIECE.split(", ")]
 
 
 def padded_length(size, length: int = LENGTH):

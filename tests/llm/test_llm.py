@@ -292,6 +292,27 @@ def test_ids_of_chunks_are_those_of_whole_texts():
     assert max(map(len, coder.known)) <= packing.SHORT
 
 
+def test_kept_chunks_are_bounded(monkeypatch):
+    """However many distinct words a worker meets; frequent ones stay."""
+    monkeypatch.setattr(packing, "KNOWN", 100)
+    coder = packing.Coder(public_tokenizers.path("byte_bpe_50k.json"))
+    calls = [[f"the w{i}x{j}, " for j in range(40)] for i in range(20)] + [[f"v{j} " * 2 for j in range(5000)]]
+    for texts in calls:
+        assert coder.ids(texts) == list(coder.coded(texts))
+        assert len(coder.known) <= 200 and len(coder.older) <= 200
+    assert "the" in coder.known or "the" in coder.older
+
+
+def test_texts_may_hold_the_mark_between_chunks():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain, m = Tokenizer.from_file(path), packing.MARK
+    texts = [f"a{m}b {m} c", m, m * 3, f"x {m}\n{m}y, plain words", "plain words"]
+    got = [x.tolist() for x in packing.ids_of(texts, path)]
+    assert got == [plain.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+
+
 def test_words_are_coded_once():
     class Counting:
         def __init__(self, inner):
